@@ -9,10 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from offerlake.functions import parse, vocab
 from offerlake.operators import sites
-from offerlake.operators.clean import standardize
-from offerlake.operators.dedup import deduplicate
+from offerlake.operators.clean import (
+    drop_all_null,
+    drop_columns,
+    null_tokens,
+    one_line,
+    require,
+    source_filter,
+    standardize,
+)
+from offerlake.operators.dedup import deduplicate, distinct_sources, exists_frame, keep_first
+from offerlake.sources.lake import union_evolving
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
 from offerlake.plans.pipeline import bronze_to_silver
@@ -88,3 +99,256 @@ def p10_ensure_schema(spark, sf_dir):
 @register("b12_shared_rules")
 def b12_shared_rules(spark, sf_dir):
     return sites.shared_rules(standardize(bronze(spark, sf_dir, "olx")))
+
+
+# --------------------------------------------------------- row-wise operators
+
+def olx_tokens(spark, sf_dir):
+    """F4 with placeholder strings already NULL."""
+    return null_tokens(bronze(spark, sf_dir, "olx"))
+
+
+def otodom_tokens(spark, sf_dir):
+    return null_tokens(bronze(spark, sf_dir, "otodom"))
+
+
+def both_bronze(spark, sf_dir):
+    return union_evolving([bronze(spark, sf_dir, "olx"), bronze(spark, sf_dir, "otodom")])
+
+
+@register("p1_null_tokens")
+def p1_null_tokens(spark, sf_dir):
+    return olx_tokens(spark, sf_dir)
+
+
+@register("p2_drop_all_null")
+def p2_drop_all_null(spark, sf_dir):
+    return drop_all_null(null_tokens(bronze(spark, sf_dir, "otodom").select("floor", "year_built", "lift")))
+
+
+@register("p3_require_keys")
+def p3_require_keys(spark, sf_dir):
+    return require(olx_tokens(spark, sf_dir))
+
+
+@register("p4_one_line")
+def p4_one_line(spark, sf_dir):
+    return one_line(bronze(spark, sf_dir, "olx"))
+
+
+@register("p4_one_line_documents")
+def p4_one_line_documents(spark, sf_dir):
+    return one_line(fixtures.table(spark, sf_dir, "documents"), ("text",))
+
+
+@register("p11_drop_consumed")
+def p11_drop_consumed(spark, sf_dir):
+    return drop_columns(bronze(spark, sf_dir, "otodom"), vocab.OTODOM_CONSUMED_COLUMNS)
+
+
+@register("p16_source_filter")
+def p16_source_filter(spark, sf_dir):
+    return source_filter(both_bronze(spark, sf_dir), "olx")
+
+
+@register("s5_union_evolving")
+def s5_union_evolving(spark, sf_dir):
+    return both_bronze(spark, sf_dir)
+
+
+@register("d1_dedup_offer_id")
+def d1_dedup_offer_id(spark, sf_dir):
+    return keep_first(standardize(bronze(spark, sf_dir, "olx")), "offer_id", FIXTURE_ORDER)
+
+
+@register("d2_dedup_short_description")
+def d2_dedup_short_description(spark, sf_dir):
+    return keep_first(standardize(bronze(spark, sf_dir, "olx")), "short_description", FIXTURE_ORDER)
+
+
+@register("d2_keep_null_keys")
+def d2_keep_null_keys(spark, sf_dir):
+    std = standardize(bronze(spark, sf_dir, "olx"))
+    return keep_first(std, "short_description", FIXTURE_ORDER, keep_null_keys=True)
+
+
+@register("d3_documents")
+def d3_documents(spark, sf_dir):
+    """Exact-copy removal over whole document texts: the lowest doc_id per text survives."""
+    return keep_first(fixtures.table(spark, sf_dir, "documents"), "text", ("doc_id",))
+
+
+@register("d4_distinct_sources")
+def d4_distinct_sources(spark, sf_dir):
+    return distinct_sources(both_bronze(spark, sf_dir))
+
+
+@register("a1_exists")
+def a1_exists(spark, sf_dir):
+    return exists_frame(both_bronze(spark, sf_dir), F.col("offer_source").contains("olx"), "has_olx")
+
+
+@register("c1_legacy_int")
+def c1_legacy_int(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", "floor", "n_rooms", parse.legacy_int("floor").alias("floor_int"),
+                    parse.legacy_int("n_rooms").alias("n_rooms_int"))
+
+
+@register("c1_legacy_int_year")
+def c1_legacy_int_year(spark, sf_dir):
+    b = bronze(spark, sf_dir, "otodom")
+    return b.select("seq", "year_built", "n_rooms", parse.legacy_int("year_built").alias("year_int"),
+                    parse.legacy_int("n_rooms").alias("n_rooms_int"))
+
+
+@register("c2_to_float")
+def c2_to_float(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", parse.to_float("price_per_msq").alias("price_per_msq"), parse.to_float("size").alias("size"))
+
+
+@register("c3_money")
+def c3_money(spark, sf_dir):
+    b = bronze(spark, sf_dir, "otodom")
+    return b.select("seq", "rent", parse.money("price_total").alias("price_total_f"), parse.money("rent").alias("rent_f"))
+
+
+@register("c4_round")
+def c4_round(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", parse.round2(parse.to_float("price_per_msq")).alias("price_per_msq"),
+                    parse.round2(parse.money("price_total")).alias("price_total"))
+
+
+@register("t1_to_date")
+def t1_to_date(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", "offer_date", parse.to_date_text("offer_date").alias("real_date"),
+                    parse.to_date_text("offer_date", compat=True).alias("compat_date"))
+
+
+@register("t2_scrape_date")
+def t2_scrape_date(spark, sf_dir):
+    b = bronze(spark, sf_dir, "otodom")
+    return b.select("seq", parse.scrape_date("date_scraped").alias("real_date"),
+                    parse.scrape_date("date_scraped", compat=True).alias("compat_date"))
+
+
+@register("t3_to_timestamp")
+def t3_to_timestamp(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", parse.to_timestamp_any("date_scraped", b.schema["date_scraped"].dataType).alias("ts"),
+                    parse.to_timestamp_any("offer_date", b.schema["offer_date"].dataType).alias("offer_ts"))
+
+
+def iso_texts(spark, sf_dir):
+    """ISO instants written from the events' timestamps in three zone styles."""
+    ev = fixtures.table(spark, sf_dir, "events", ["event_id", "ts"])
+    suffix = F.when(F.col("event_id") % 3 == 0, "+01:00").when(F.col("event_id") % 3 == 1, "Z").otherwise(".123Z")
+    return ev.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), suffix).alias("created_at"))
+
+
+@register("t4_iso_date")
+def t4_iso_date(spark, sf_dir):
+    return iso_texts(spark, sf_dir).select("event_id", "created_at", parse.iso_local_date("created_at").alias("offer_date"))
+
+
+def polish_texts(spark, sf_dir):
+    """Polish long dates written from the order dates; some capitalised, some 'today' texts."""
+    o = fixtures.table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    months = F.array(*[F.lit(m) for m in vocab.POLISH_MONTHS])
+    name = F.element_at(months, F.month("o_orderdate"))
+    name = F.when(F.col("o_orderkey") % 5 == 1, F.initcap(name)).otherwise(name)
+    text = F.concat_ws(" ", F.dayofmonth("o_orderdate").cast("string"), name, F.year("o_orderdate").cast("string"))
+    text = F.when(F.col("o_orderkey") % 5 == 0, F.lit("Dzisiaj o 12:00")).otherwise(text)
+    return o.select("o_orderkey", text.alias("posted"))
+
+
+@register("t5_polish_date")
+def t5_polish_date(spark, sf_dir):
+    return polish_texts(spark, sf_dir).select("o_orderkey", "posted", parse.polish_long_date("posted").alias("offer_date"))
+
+
+@register("t6_today")
+def t6_today(spark, sf_dir):
+    b = bronze(spark, sf_dir, "olx")
+    return b.select("seq", parse.offer_date("offer_date", "date_scraped").alias("real_date"),
+                    parse.offer_date("offer_date", "date_scraped", compat=True).alias("compat_date"))
+
+
+@register("b1_qualified_id")
+def b1_qualified_id(spark, sf_dir):
+    return olx_tokens(spark, sf_dir).select("seq", parse.qualified_id("offer_source", "offer_id").alias("offer_id"))
+
+
+@register("b2_lower_city")
+def b2_lower_city(spark, sf_dir):
+    return bronze(spark, sf_dir, "olx").select("seq", parse.lower("city").alias("city"))
+
+
+@register("b3_split_get")
+def b3_split_get(spark, sf_dir):
+    t = bronze(spark, sf_dir, "olx").select("seq", F.col("date_scraped").cast("string").alias("txt"))
+    return t.select("seq", parse.split_part("txt", " ", 0).alias("day"), parse.split_part("txt", " ", 1).alias("time"),
+                    parse.split_part("txt", " ", 5).alias("past_end"))
+
+
+@register("b4_offer_type")
+def b4_offer_type(spark, sf_dir):
+    return otodom_tokens(spark, sf_dir).select("seq", parse.offer_type("offer_type", vocab.PRIVATE_OWNER_WORD["otodom"]).alias("offer_type"))
+
+
+@register("b5_primary_market")
+def b5_primary_market(spark, sf_dir):
+    return otodom_tokens(spark, sf_dir).select("seq", parse.primary_market("market").alias("primary_market"))
+
+
+@register("b6_lift")
+def b6_lift(spark, sf_dir):
+    return otodom_tokens(spark, sf_dir).select("seq", parse.yes_flag("lift").alias("has_lift"))
+
+
+@register("b7_parking")
+def b7_parking(spark, sf_dir):
+    return otodom_tokens(spark, sf_dir).select("seq", parse.present_flag("parking").alias("has_parking"))
+
+
+@register("b8_flags")
+def b8_flags(spark, sf_dir):
+    t = otodom_tokens(spark, sf_dir)
+    return t.select("seq", *[e.alias(n) for n, e in sites.containment_flags(t).items()])
+
+
+@register("b9_value_maps")
+def b9_value_maps(spark, sf_dir):
+    t = bronze(spark, sf_dir, "otodom")
+    return t.select("seq", *[e.alias(n) for n, e in sites.value_maps(t, vocab.OTODOM_VALUE_MAPS).items()])
+
+
+@register("b9_value_maps_olx")
+def b9_value_maps_olx(spark, sf_dir):
+    t = bronze(spark, sf_dir, "olx")
+    return t.select("seq", *[e.alias(n) for n, e in sites.value_maps(t, vocab.OLX_VALUE_MAPS).items()])
+
+
+@register("b10_location")
+def b10_location(spark, sf_dir):
+    return otodom_tokens(spark, sf_dir).select("seq", parse.join_location("floor", "city", "lift").alias("location"))
+
+
+@register("b11_image_path")
+def b11_image_path(spark, sf_dir):
+    p = fixtures.table(spark, sf_dir, "pages", ["page_id", "url"])
+    stored = F.concat(F.lit("full/"), F.sha1(F.col("url")), F.lit(".jpg"))
+    return p.select("page_id", parse.stored_image_path(stored).alias("path"))
+
+
+@register("b13_otodom_rules")
+def b13_otodom_rules(spark, sf_dir):
+    return sites.otodom_rules(sites.shared_rules(standardize(bronze(spark, sf_dir, "otodom"))))
+
+
+@register("b14_olx_rules")
+def b14_olx_rules(spark, sf_dir):
+    return sites.olx_rules(sites.shared_rules(standardize(bronze(spark, sf_dir, "olx"))))

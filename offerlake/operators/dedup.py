@@ -39,17 +39,21 @@ def keep_first(
 ) -> DataFrame:
     """One row per ``key`` (NULL keys form one group, as in ``dropDuplicates``).
 
-    ``keep_null_keys=True`` passes rows with a NULL key through untouched.
+    The survivor is the minimum of struct(order columns, other columns): each
+    column is carried once through the shuffle.  Columns that cannot be
+    ordered (maps) ride along with ``min_by``.  ``keep_null_keys=True`` passes
+    rows with a NULL key through untouched.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = df.columns
+    order = [c for c in order_by if c not in keys]
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    tie = [c for c in cols if c not in order_by and c not in keys and _orderable(dtypes[c])]
-    ordered = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
-        *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)],
-        F.struct(*[F.col(c) for c in cols]).alias("_row"),
-    )
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    tie = [c for c in rest if _orderable(dtypes[c])]
+    other = [c for c in rest if not _orderable(dtypes[c])]
+    ordered = F.struct(*order, *tie)
+    aggs = [F.min(ordered).alias("_m")]
+    if other:
+        aggs.append(F.min_by(F.struct(*other), ordered).alias("_x"))
     if keep_null_keys:
         null_key = None
         for k in keys:
@@ -57,7 +61,8 @@ def keep_first(
             null_key = e if null_key is None else null_key | e
         passthrough = df.filter(null_key)
         df = df.filter(~null_key)
-    out = df.groupBy(*keys).agg(F.min(ordered).alias("_m")).select("_m._row.*")
+    pick = [F.col(c) if c in keys else F.col(f"_x.{c}" if c in other else f"_m.{c}").alias(c) for c in df.columns]
+    out = df.groupBy(*keys).agg(*aggs).select(*pick)
     if keep_null_keys:
         out = out.unionByName(passthrough)
     return out
@@ -87,6 +92,11 @@ def exists(df: DataFrame, condition=None) -> bool:
     return len(d.limit(1).collect()) > 0
 
 
+def exists_frame(df: DataFrame, condition, name: str = "exists") -> DataFrame:
+    """A1 as a one-row frame: ``limit(1)`` stops every task at its first match."""
+    return df.where(condition).limit(1).agg((F.count(F.lit(1)) > 0).alias(name))
+
+
 def single_source(df: DataFrame, allowed: Sequence[str] = SOURCES, column: str = "offer_source") -> str:
     """The one site a frame holds; ValueError for none, several or an unknown one.
 

@@ -74,10 +74,9 @@ def offer_date(e: str, scraped: str = "date_scraped") -> str:
 
 def compat_date(e: str) -> str:
     """'yyyy-mm-dd' read with mm as minutes: year and day kept, month dropped."""
-    parts = f"regexp_extract({e}, '^(\\d{{4}})-(\\d{{2}})-(\\d{{2}})$', ['y', 'm', 'd'])"
     return (
         f"case when regexp_full_match({e}, '\\d{{4}}-[0-5]\\d-\\d{{2}}') "
-        f"then try_cast(make_date(cast({parts}.y as integer), 1, cast({parts}.d as integer)) as date) end"
+        f"then cast(try_strptime(substr({e}, 1, 4) || '-01-' || substr({e}, 9, 2), '%Y-%m-%d') as date) end"
     )
 
 
@@ -164,15 +163,20 @@ def shared_exprs(cols: tuple) -> dict:
     return {k: v for k, v in e.items() if k in cols or k in ("scraper_timestamp",)}
 
 
-def olx_silver_ctes(p: str = "ol") -> str:
-    """CTEs {p}_f4 .. silver_olx: J1 over F4 (OLX rules)."""
-    rest = ("date_scraped", "seq")
-    sh = shared_exprs(F4_STRINGS + rest)
+def olx_exprs() -> dict:
+    sh = shared_exprs(F4_STRINGS + ("date_scraped", "seq"))
     sh["offer_type"] = (
         "case when offer_type is null then null when offer_type = 'Prywatne' then 'private_owner' else 'company' end"
     )
     sh["city"] = "lower(city)"
     sh["building_type"] = case_map("building_type", vocab.OLX_VALUE_MAPS["building_type"])
+    return sh
+
+
+def olx_silver_ctes(p: str = "ol") -> str:
+    """CTEs {p}_f4 .. silver_olx: J1 over F4 (OLX rules)."""
+    rest = ("date_scraped", "seq")
+    sh = olx_exprs()
     return (
         f"{p}_f4 as ({F4}), {standardized_cte(p + '_f4', F4_STRINGS, rest, p + '_std')}, "
         f"{dedup_cte(p + '_std', p + '_dd', F4_COLUMNS)}, silver_olx as ({fit_silver(p + '_dd', sh)})"

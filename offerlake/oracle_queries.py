@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from offerlake import oracle as o
+from offerlake.functions import vocab
 from offerlake.operators.schema import ML_FEATURES
 
 ORACLES: dict[str, str] = {}
@@ -69,3 +70,164 @@ oracle(
     "b12_shared_rules",
     f"with {_F4_STD} select {', '.join(f'{e} as {n}' for n, e in _B12.items())}, seq from std",
 )
+
+# --------------------------------------------------------- row-wise operators
+
+_F4 = f"f4 as ({o.F4})"
+_F5 = f"f5 as ({o.F5})"
+_U = f"{_F4}, {_F5}, u as (select * from f4 union all by name select * from f5)"
+
+
+def _sel(cols: dict, src: str) -> str:
+    return f"select {', '.join(f'{e} as {n}' for n, e in cols.items())} from {src}"
+
+
+_P1_F4 = {c: o.nt(c) for c in o.F4_STRINGS} | {"date_scraped": "date_scraped", "seq": "seq"}
+_P1_F5 = {c: o.nt(c) for c in o.F5_STRINGS} | {"date_scraped": "date_scraped", "seq": "seq"}
+_T4 = f"{_F4}, t4 as ({_sel(_P1_F4, 'f4')})"
+_T5 = f"{_F5}, t5 as ({_sel(_P1_F5, 'f5')})"
+
+oracle("p1_null_tokens", f"with {_T4} select * from t4")
+oracle(
+    "p2_drop_all_null",
+    f"with {_F5}, t as ({_sel({c: o.nt(c) for c in ('floor', 'year_built', 'lift')}, 'f5')}) "
+    "select * from t where not (floor is null and year_built is null and lift is null)",
+)
+oracle("p3_require_keys", f"with {_T4} select * from t4 where offer_id is not null and price_total is not null")
+oracle(
+    "p4_one_line",
+    f"with {_F4} select * replace (regexp_replace(short_description, '[\\n\\r]', ' ', 'g') as short_description, "
+    "regexp_replace(description, '[\\n\\r]', ' ', 'g') as description) from f4",
+)
+oracle(
+    "p4_one_line_documents",
+    "select doc_id, regexp_replace(text, '[\\n\\r]', ' ', 'g') as text, lang, source, n_chars from documents",
+)
+oracle("p11_drop_consumed", f"with {_F5} select * exclude (media_types, lift, equipment, market, outdoor, parking, security) from f5")
+oracle("p16_source_filter", f"with {_U} select * from u where contains(offer_source, 'olx')")
+oracle("s5_union_evolving", f"with {_U} select * from u")
+
+_STD4 = f"{_F4}, {o.standardized_cte('f4', o.F4_STRINGS, ('date_scraped', 'seq'))}"
+oracle(
+    "d1_dedup_offer_id",
+    f"with {_STD4} select * from std qualify row_number() over "
+    f"(partition by offer_id {o.total_order(o.F4_COLUMNS, 'offer_id')}) = 1",
+)
+_D2 = (
+    "select * from std qualify row_number() over "
+    f"(partition by short_description {o.total_order(o.F4_COLUMNS, 'short_description')}) = 1"
+)
+oracle("d2_dedup_short_description", f"with {_STD4} {_D2}")
+oracle(
+    "d2_keep_null_keys",
+    f"with {_STD4} select * from std where short_description is null "
+    f"union all select * from ({_D2.replace('from std', 'from std where short_description is not null')})",
+)
+oracle(
+    "d3_documents",
+    "select * from documents qualify row_number() over (partition by text order by doc_id) = 1",
+)
+oracle("d4_distinct_sources", f"with {_U} select distinct offer_source from u")
+oracle(
+    "a1_exists",
+    f"with {_U} select count(*) > 0 as has_olx from (select 1 from u where contains(offer_source, 'olx') limit 1)",
+)
+
+oracle(
+    "c1_legacy_int",
+    f"with {_F4} select seq, floor, n_rooms, {o.legacy_int('floor')} as floor_int, "
+    f"{o.legacy_int('n_rooms')} as n_rooms_int from f4",
+)
+oracle(
+    "c1_legacy_int_year",
+    f"with {_F5} select seq, year_built, n_rooms, {o.legacy_int('year_built')} as year_int, "
+    f"{o.legacy_int('n_rooms')} as n_rooms_int from f5",
+)
+oracle(
+    "c2_to_float",
+    f"with {_F4} select seq, try_cast(price_per_msq as float) as price_per_msq, try_cast(size as float) as size from f4",
+)
+_MONEY_RAW = "try_cast(replace(replace({c}, ' zł', ''), ' ', '') as float)"
+oracle(
+    "c3_money",
+    f"with {_F5} select seq, rent, {_MONEY_RAW.format(c='price_total')} as price_total_f, "
+    f"{_MONEY_RAW.format(c='rent')} as rent_f from f5",
+)
+oracle(
+    "c4_round",
+    f"with {_F4} select seq, {o.to_float2('price_per_msq')} as price_per_msq, {o.money('price_total')} as price_total from f4",
+)
+oracle(
+    "t1_to_date",
+    f"with {_F4} select seq, offer_date, {o.real_date('offer_date')} as real_date, "
+    f"{o.compat_date('offer_date')} as compat_date from f4",
+)
+_SCRAPE_TXT = "split_part(cast(date_scraped as varchar), ' ', 1)"
+oracle(
+    "t2_scrape_date",
+    f"with {_F5} select seq, cast(date_scraped as date) as real_date, "
+    f"{o.compat_date(_SCRAPE_TXT)} as compat_date from f5",
+)
+oracle(
+    "t3_to_timestamp",
+    f"with {_F4} select seq, cast(date_scraped as timestamp) as ts, try_cast(offer_date as timestamp) as offer_ts from f4",
+)
+_ISO = r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,6}(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)"
+oracle(
+    "t4_iso_date",
+    "with e as (select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || case event_id % 3 when 0 then '+01:00' "
+    "when 1 then 'Z' else '.123Z' end as created_at from events) "
+    f"select event_id, created_at, case when regexp_full_match(created_at, '{_ISO}') "
+    "then cast(try_strptime(split_part(created_at, 'T', 1), '%Y-%m-%d') as date) end as offer_date from e",
+)
+_MONTHS = "[" + ", ".join(o.q(m) for m in vocab.POLISH_MONTHS) + "]"
+_PL_RE = r"'^\s*(\d{1,2})\s+(\S+)\s+(\d{4})\s*$'"
+oracle(
+    "t5_polish_date",
+    f"with m as (select o_orderkey, o_orderdate, list_extract({_MONTHS}, month(o_orderdate)) as name from orders), "
+    "t as (select o_orderkey, case when o_orderkey % 5 = 0 then 'Dzisiaj o 12:00' else "
+    "cast(day(o_orderdate) as varchar) || ' ' || case when o_orderkey % 5 = 1 "
+    "then upper(substr(name, 1, 1)) || substr(name, 2) else name end || ' ' || cast(year(o_orderdate) as varchar) "
+    "end as posted from m), "
+    "s as (select o_orderkey, posted, replace(posted, 'o ', '') as s from t), "
+    f"p as (select o_orderkey, posted, regexp_extract(s, {_PL_RE}, 1) as d, "
+    f"list_position({_MONTHS}, lower(regexp_extract(s, {_PL_RE}, 2))) as mo, regexp_extract(s, {_PL_RE}, 3) as y from s) "
+    "select o_orderkey, posted, case when mo is not null then "
+    "cast(try_strptime(y || '-' || lpad(cast(mo as varchar), 2, '0') || '-' || lpad(d, 2, '0'), '%Y-%m-%d') as date) "
+    "end as offer_date from p",
+)
+oracle(
+    "t6_today",
+    f"with {_F4} select seq, {o.offer_date('offer_date')} as real_date, {o.compat_date('offer_date')} as compat_date from f4",
+)
+oracle("b1_qualified_id", f"with {_T4} select seq, offer_source || '_' || offer_id as offer_id from t4")
+oracle("b2_lower_city", f"with {_F4} select seq, lower(city) as city from f4")
+oracle(
+    "b3_split_get",
+    f"with {_F4}, t as (select seq, cast(date_scraped as varchar) as txt from f4) "
+    "select seq, split(txt, ' ')[1] as day, split(txt, ' ')[2] as time, split(txt, ' ')[6] as past_end from t",
+)
+oracle(
+    "b4_offer_type",
+    f"with {_T5} select seq, case when offer_type is null then null when offer_type = 'prywatny' "
+    "then 'private_owner' else 'company' end as offer_type from t5",
+)
+oracle("b5_primary_market", f"with {_T5} select seq, coalesce(market <> 'wtórny', false) as primary_market from t5")
+oracle("b6_lift", f"with {_T5} select seq, lift = 'tak' as has_lift from t5")
+oracle("b7_parking", f"with {_T5} select seq, parking is not null as has_parking from t5")
+_FLAGS = {
+    flag: f"contains({src}, {o.q(needle)})"
+    for src, flags in vocab.CONTAINMENT_FLAGS.items()
+    for flag, needle in flags.items()
+}
+oracle("b8_flags", f"with {_T5} {_sel({'seq': 'seq'} | _FLAGS, 't5')}")
+oracle("b9_value_maps", f"with {_F5} {_sel({'seq': 'seq'} | {c: o.case_map(c, m) for c, m in vocab.OTODOM_VALUE_MAPS.items()}, 'f5')}")
+oracle("b9_value_maps_olx", f"with {_F4} {_sel({'seq': 'seq'} | {c: o.case_map(c, m) for c, m in vocab.OLX_VALUE_MAPS.items()}, 'f4')}")
+oracle(
+    "b10_location",
+    f"with {_T5} select seq, concat_ws(';', coalesce(floor, ''), coalesce(city, ''), coalesce(lift, '')) as location from t5",
+)
+oracle("b11_image_path", "select page_id, replace('full/' || sha1(url) || '.jpg', 'full/', '') as path from pages")
+_STD5 = f"{_F5}, {o.standardized_cte('f5', o.F5_STRINGS, ('date_scraped', 'seq'))}"
+oracle("b13_otodom_rules", f"with {_STD5} {_sel(o.otodom_exprs() | {'seq': 'seq'}, 'std')}")
+oracle("b14_olx_rules", f"with {_STD4} {_sel(o.olx_exprs() | {'seq': 'seq'}, 'std')}")
