@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlake.functions import parse, vocab
-from offerlake.operators import sites
+from offerlake.operators import extract, sites
 from offerlake.operators.clean import (
     drop_all_null,
     drop_columns,
@@ -352,3 +352,44 @@ def b13_otodom_rules(spark, sf_dir):
 @register("b14_olx_rules")
 def b14_olx_rules(spark, sf_dir):
     return sites.olx_rules(sites.shared_rules(standardize(bronze(spark, sf_dir, "olx"))))
+
+
+# ------------------------------------------------------- extraction (pages)
+
+def pages(spark, sf_dir):
+    return fixtures.table(spark, sf_dir, "pages")
+
+
+@register("x1_title")
+def x1_title(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", extract.page_title().alias("title"))
+
+
+@register("x2_first_paragraph")
+def x2_first_paragraph(spark, sf_dir):
+    return pages(spark, sf_dir).select("page_id", extract.first_paragraph_text().alias("description"))
+
+
+# Link rules in the shape the crawler uses: one allow pattern, one deny pattern.
+LINK_ALLOW = (r"/[a-z]+$",)
+LINK_DENY = (r"/the$",)
+
+
+@register("x4_links")
+def x4_links(spark, sf_dir):
+    return extract.harvest_links(pages(spark, sf_dir), LINK_ALLOW, LINK_DENY)
+
+
+@register("s11_crawl_seeds")
+def s11_crawl_seeds(spark, sf_dir):
+    return extract.crawl_seeds(pages(spark, sf_dir))
+
+
+@register("x13_bronze_olx")
+def x13_bronze_olx(spark, sf_dir):
+    return extract.olx_bronze(pages(spark, sf_dir))
+
+
+@register("x13_bronze_otodom")
+def x13_bronze_otodom(spark, sf_dir):
+    return extract.otodom_bronze(pages(spark, sf_dir))

@@ -231,3 +231,49 @@ oracle("b11_image_path", "select page_id, replace('full/' || sha1(url) || '.jpg'
 _STD5 = f"{_F5}, {o.standardized_cte('f5', o.F5_STRINGS, ('date_scraped', 'seq'))}"
 oracle("b13_otodom_rules", f"with {_STD5} {_sel(o.otodom_exprs() | {'seq': 'seq'}, 'std')}")
 oracle("b14_olx_rules", f"with {_STD4} {_sel(o.olx_exprs() | {'seq': 'seq'}, 'std')}")
+
+# ------------------------------------------------------- extraction (pages)
+
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _unescape(e: str) -> str:
+    for ent, ch in _ENTITIES:
+        e = f"replace({e}, {o.q(ent)}, {o.q(ch)})"
+    return e
+
+
+_HIDDEN = r"(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>|<!--.*?-->"
+oracle(
+    "x1_title",
+    "select page_id, " + _unescape(
+        r"nullif(regexp_extract(html, '(?is)<title\b[^>]*>([^<]*)</title>', 1), '')"
+    ) + " as title from pages",
+)
+oracle(
+    "x2_first_paragraph",
+    f"with v as (select page_id, regexp_replace(html, '{_HIDDEN}', '', 'g') as h from pages), "
+    r"p as (select page_id, regexp_extract_all(h, '(?is)<p\b[^>]*>(.*?)</p\s*>', 1) as paras from v), "
+    r"r as (select page_id, flatten(list_transform(paras, lambda x: regexp_extract_all(x, '([^<>]+)', 1))) as runs from p) "
+    "select page_id, " + _unescape("list_filter(runs, lambda x: x <> '')[1]") + " as description from r",
+)
+_SCHEME = "[a-zA-Z][a-zA-Z0-9+.-]*"
+oracle(
+    "x4_links",
+    r"""with h as (select page_id, url, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"'']*)["'']', 1)) as href from pages), """
+    f"u as (select page_id, url, {_unescape('href')} as href from h), "
+    f"a as (select distinct page_id, case when regexp_matches(href, '^{_SCHEME}:') then href "
+    f"when starts_with(href, '//') then regexp_extract(url, '^({_SCHEME}:)', 1) || href "
+    f"when starts_with(href, '/') then regexp_extract(url, '^({_SCHEME}://[^/?#]+)', 1) || href "
+    f"else coalesce(nullif(regexp_extract(url, '^({_SCHEME}://[^?#]*/)', 1), ''), "
+    f"regexp_extract(url, '^({_SCHEME}://[^/?#]+)', 1) || '/') || href end as link from u) "
+    "select page_id, link from a where regexp_matches(link, '(?:/[a-z]+$)') and not regexp_matches(link, '/the$')",
+)
+oracle(
+    "s11_crawl_seeds",
+    r"with b as (select regexp_extract(url, '^([^?#]*)', 1) as base, "
+    r"coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') as integer), 1) as n from pages), "
+    "g as (select base, max(n) as n from b group by base), "
+    "s as (select base, cast(unnest(range(1, greatest(n, 1) + 1)) as integer) as page from g) "
+    "select base, page, base || '?page=' || cast(page as varchar) as seed_url from s",
+)
