@@ -12,10 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlake.functions import parse, vocab
-from offerlake.operators import extract, sites
+from offerlake.operators import extract, ml, sites
 from offerlake.operators.clean import (
+    categorical_columns,
     drop_all_null,
     drop_columns,
+    drop_null_columns,
+    non_null_counts,
+    split_target,
     null_tokens,
     one_line,
     require,
@@ -27,7 +31,7 @@ from offerlake.sources.lake import union_evolving
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
 from offerlake.plans.pipeline import bronze_to_silver
-from offerlake.session import apply_query_conf
+from offerlake.session import apply_query_conf, scratch_path
 from offerlake.sources import fixtures
 from offerlake.sources.fixtures import FIXTURE_ORDER
 
@@ -393,3 +397,109 @@ def x13_bronze_olx(spark, sf_dir):
 @register("x13_bronze_otodom")
 def x13_bronze_otodom(spark, sf_dir):
     return extract.otodom_bronze(pages(spark, sf_dir))
+
+
+# ------------------------------------------------------------- price model
+
+# Search used by the registered training query: the grid's shape, fewer and
+# smaller trees so the check finishes in seconds (library default: DEFAULT_GRID, 10 draws).
+QUERY_GRID = {"stepSize": (0.1, 0.2), "maxDepth": (3, 5), "maxIter": (10, 20)}
+QUERY_DRAWS = 2
+
+
+def gold(spark, sf_dir):
+    return ml_dataset(silver_both(spark, sf_dir))
+
+
+@register("p19_features")
+def p19_features(spark, sf_dir):
+    return split_target(gold(spark, sf_dir))[0]
+
+
+@register("p20_drop_null_columns")
+def p20_drop_null_columns(spark, sf_dir):
+    return drop_null_columns(ml_dataset(silver(spark, sf_dir, "olx")))
+
+
+@register("a2_non_null_counts")
+def a2_non_null_counts(spark, sf_dir):
+    return non_null_counts(gold(spark, sf_dir))
+
+
+@register("a3_mean")
+def a3_mean(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    return g.agg(*[F.round(F.avg(c), 4).alias(f"{c}_mean") for c in ml.MEAN_COLUMNS])
+
+
+@register("a4_mode")
+def a4_mode(spark, sf_dir):
+    return ml.mode_table(gold(spark, sf_dir), ml.MODE_COLUMNS)
+
+
+@register("a5_categories")
+def a5_categories(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    return ml.category_table(g, [c for c in categorical_columns(g)])
+
+
+@register("a6_rmse")
+def a6_rmse(spark, sf_dir):
+    """RMSE of a per-city mean price, as a baseline score."""
+    g = gold(spark, sf_dir)
+    city_mean = g.groupBy("city").agg(F.avg("price_total").alias("prediction"))
+    scored = g.join(city_mean, g["city"].eqNullSafe(city_mean["city"])).drop(city_mean["city"])
+    return ml.rmse(scored).select(F.round("rmse", 4).alias("rmse"))
+
+
+def _fitted(spark, sf_dir):
+    g = gold(spark, sf_dir)
+    return g, ml.fit_imputer(g)
+
+
+@register("m1_impute_mean")
+def m1_impute_mean(spark, sf_dir):
+    g, imp = _fitted(spark, sf_dir)
+    return ml.Imputer({c: imp.fills[c] for c in ml.MEAN_COLUMNS}).transform(g)
+
+
+@register("m2_impute_mode")
+def m2_impute_mode(spark, sf_dir):
+    g, imp = _fitted(spark, sf_dir)
+    return ml.Imputer({c: imp.fills[c] for c in ml.MODE_COLUMNS}).transform(g)
+
+
+@register("m3_impute_const")
+def m3_impute_const(spark, sf_dir):
+    g, imp = _fitted(spark, sf_dir)
+    listed = set(ml.MEAN_COLUMNS) | set(ml.MODE_COLUMNS)
+    return ml.Imputer({c: v for c, v in imp.fills.items() if c not in listed}).transform(g)
+
+
+@register("m4_ordinal_encode")
+def m4_ordinal_encode(spark, sf_dir):
+    g, imp = _fitted(spark, sf_dir)
+    cats = [c for c in categorical_columns(g)]
+    x = ml.as_categories(imp.transform(g), cats)
+    enc = ml.ordinal_encoder(cats).fit(x)
+    return enc.transform(x).select("price_total", *[f"{c}_idx" for c in cats])
+
+
+@register("m8_folds")
+def m8_folds(spark, sf_dir):
+    return ml.assign_folds(gold(spark, sf_dir)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m9_predict_no_model")
+def m9_predict_no_model(spark, sf_dir):
+    return ml.predict(None, gold(spark, sf_dir))
+
+
+@register("m10_train_save_score")
+def m10_train_save_score(spark, sf_dir):
+    """Train (search over stratified folds), save (S7), load (S8), score every gold row (M9)."""
+    g = gold(spark, sf_dir)
+    fit = ml.train_price_model(g, grid=QUERY_GRID, n_iter=QUERY_DRAWS)
+    path = scratch_path(spark, "price-model")
+    ml.save_model(fit.model, path)
+    return ml.predict(ml.load_model(path), g).select("price_total", "prediction")

@@ -277,3 +277,75 @@ oracle(
     "s as (select base, cast(unnest(range(1, greatest(n, 1) + 1)) as integer) as page from g) "
     "select base, page, base || '?page=' || cast(page as varchar) as seed_url from s",
 )
+
+# ------------------------------------------------------------- price model
+
+_GOLD = f"{_BOTH}, gold as (select {', '.join(ML_FEATURES)} from silver where price_total is not null)"
+_TYPES = dict(o.SILVER_TYPES)
+_MEAN = ("size", "rent")
+_MODE = (
+    "offer_type", "building_type", "year_built", "floor", "primary_market", "has_lift", "has_tv", "has_internet",
+    "has_phone_line", "is_furnished", "has_dishwasher", "has_fridge", "has_oven", "has_stove",
+    "has_washing_machine", "has_garden", "has_balcony", "has_porch", "has_parking", "gated_community",
+    "guarded_building", "has_cctv", "n_rooms",
+)
+_CATS = [c for c in ML_FEATURES if _TYPES[c] in ("varchar", "boolean")]
+_CONST = [c for c in ML_FEATURES if _TYPES[c] == "varchar" and c not in _MODE]
+
+oracle("p19_features", f"{_GOLD} select * exclude (price_total) from gold")
+oracle("a2_non_null_counts", f"{_GOLD} select {', '.join(f'count({c}) as {c}' for c in ML_FEATURES)} from gold")
+oracle("a3_mean", f"{_GOLD} select {', '.join(f'round(avg({c}), 4) as {c}_mean' for c in _MEAN)} from gold")
+
+
+def _mode_rows() -> str:
+    parts = []
+    for c in _MODE:
+        num = f"cast({c} as double)" if _TYPES[c] in ("integer", "boolean", "float") else "cast(null as double)"
+        txt = "cast(null as varchar)" if _TYPES[c] in ("integer", "boolean", "float") else f"cast({c} as varchar)"
+        parts.append(
+            f"select {o.q(c)} as \"column\", {num} as num, {txt} as txt, cast({c} as varchar) as value, count(*) as n "
+            f"from gold where {c} is not null group by all"
+        )
+    return " union all ".join(parts)
+
+
+_MODES = (
+    f"modes as (select \"column\", value, n from ({_mode_rows()}) "
+    "qualify row_number() over (partition by \"column\" order by n desc, num asc nulls first, txt asc nulls first) = 1)"
+)
+oracle("a4_mode", f"{_GOLD}, {_MODES} select * from modes")
+oracle(
+    "a5_categories",
+    f"{_GOLD}, c as ("
+    + " union all ".join(f"select distinct {o.q(c)} as \"column\", cast({c} as varchar) as category from gold where {c} is not null" for c in _CATS)
+    + ") select \"column\", category, cast(dense_rank() over (partition by \"column\" order by category) - 1 as double) as index from c",
+)
+oracle(
+    "a6_rmse",
+    f"{_GOLD}, m as (select city, avg(price_total) as prediction from gold group by city) "
+    "select round(sqrt(avg(power(m.prediction - gold.price_total, 2))), 4) as rmse "
+    "from gold join m on gold.city is not distinct from m.city",
+)
+
+_MEAN_FILL = {c: f"coalesce({c}, (select cast(avg({c}) as float) from gold))" for c in _MEAN}
+_MODE_FILL = {
+    c: f"coalesce({c}, (select cast(value as {_TYPES[c]}) from modes where \"column\" = {o.q(c)}))" for c in _MODE
+}
+_CONST_FILL = {c: f"coalesce({c}, 'MISSING')" for c in _CONST}
+
+
+def _replace(fills: dict) -> str:
+    return "select * replace (" + ", ".join(f"{e} as {c}" for c, e in fills.items()) + ") from gold"
+
+
+oracle("m1_impute_mean", f"{_GOLD} {_replace(_MEAN_FILL)}")
+oracle("m2_impute_mode", f"{_GOLD}, {_MODES} {_replace(_MODE_FILL)}")
+oracle("m3_impute_const", f"{_GOLD} {_replace(_CONST_FILL)}")
+oracle(
+    "m4_ordinal_encode",
+    f"{_GOLD}, {_MODES}, imp as ({_replace(_MEAN_FILL | _MODE_FILL | _CONST_FILL)}) select price_total, "
+    + ", ".join(
+        f"cast(dense_rank() over (order by cast({c} as varchar)) - 1 as double) as {c}_idx" for c in _CATS
+    )
+    + " from imp",
+)
