@@ -27,11 +27,11 @@ from offerlake.operators.clean import (
     standardize,
 )
 from offerlake.operators.dedup import deduplicate, distinct_sources, exists_frame, keep_first
-from offerlake.sources.lake import union_evolving
+from offerlake.sources.lake import LakePaths, read_table, union_evolving
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
-from offerlake.plans.pipeline import bronze_to_silver
-from offerlake.session import apply_query_conf, scratch_path
+from offerlake.plans.pipeline import bronze_to_silver, run_pipeline
+from offerlake.session import apply_query_conf, materialize, scratch_path
 from offerlake.sources import fixtures
 from offerlake.sources.fixtures import FIXTURE_ORDER
 
@@ -408,7 +408,8 @@ QUERY_DRAWS = 2
 
 
 def gold(spark, sf_dir):
-    return ml_dataset(silver_both(spark, sf_dir))
+    """The ML gold table, materialised once: fits read it several times."""
+    return materialize(ml_dataset(silver_both(spark, sf_dir)))
 
 
 @register("p19_features")
@@ -503,3 +504,40 @@ def m10_train_save_score(spark, sf_dir):
     path = scratch_path(spark, "price-model")
     ml.save_model(fit.model, path)
     return ml.predict(ml.load_model(path), g).select("price_total", "prediction")
+
+
+# ------------------------------------------------------- ingest and whole run
+
+def _land_fixture(spark, sf_dir, root, site):
+    """The fixture rows as the crawler's landing batches (bronze schema, JSON files)."""
+    from offerlake.operators.schema import BRONZE_SCHEMAS, ensure_schema
+    from offerlake.streaming.ingest import land_batch
+
+    rows = ensure_schema(bronze(spark, sf_dir, site), BRONZE_SCHEMAS[site])
+    land_batch(rows, LakePaths(root), site)
+
+
+@register("s4_stream_ingest")
+def s4_stream_ingest(spark, sf_dir):
+    """Land the OLX-like rows, ingest them twice (the rerun must add nothing), read bronze back."""
+    from offerlake.streaming.ingest import ingest
+
+    root = scratch_path(spark, "lake")
+    _land_fixture(spark, sf_dir, root, "olx")
+    ingest(spark, root, sites=("olx",))
+    ingest(spark, root, sites=("olx",))
+    return read_table(spark, LakePaths(root).bronze("olx"))
+
+
+@register("j4_run_pipeline")
+def j4_run_pipeline(spark, sf_dir):
+    """Whole run into a scratch lake: ingest both sites, silver, both gold tables, model.
+    Returns the analytics gold table as written."""
+    from offerlake.streaming.ingest import ingest
+
+    root = scratch_path(spark, "lake")
+    for site in ("olx", "otodom"):
+        _land_fixture(spark, sf_dir, root, site)
+    ingest(spark, root)
+    run_pipeline(spark, root, train_kwargs={"grid": QUERY_GRID, "n_iter": QUERY_DRAWS})
+    return read_table(spark, LakePaths(root).gold_analytics)

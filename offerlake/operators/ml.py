@@ -25,7 +25,7 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from offerlake.functions import vocab
 from offerlake.operators.clean import categorical_columns, drop_columns, drop_null_columns
-from offerlake.session import checkpoint_dir
+from offerlake.session import checkpoint_dir, materialize
 
 TARGET = "price_total"
 
@@ -228,7 +228,7 @@ def train_price_model(
     are one-row aggregates; the indexer, assembler and trees are fitted per
     fold inside the cross-validator.
     """
-    df, cats = features_frame(gold, target)
+    df, cats = features_frame(materialize(gold), target)
     df = df.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
     imputer = fit_imputer(df, target=target)
     df = as_categories(imputer.transform(df), cats)

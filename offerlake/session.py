@@ -10,7 +10,7 @@ import os
 import tempfile
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every pipeline run wants, whatever the cluster size.
 BASE_CONF = {
@@ -24,6 +24,10 @@ BASE_CONF = {
     # Long chains of CASE/IN over many string columns make constraint
     # propagation blow up the driver heap (plan-size trap); it buys nothing here.
     "spark.sql.constraintPropagation.enabled": "false",
+    # Wide projections (a rule per column) generate methods over the JIT's
+    # 8000-byte limit, which then run interpreted; above it, fall back to
+    # per-expression code split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Silver is overwritten one source partition at a time.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -58,7 +62,8 @@ def build_session(
 
 def apply_query_conf(spark: SparkSession) -> None:
     """Settings a query relies on when it runs in a session it did not build."""
-    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    for k in ("spark.sql.constraintPropagation.enabled", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(k, BASE_CONF[k])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -77,6 +82,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and continue from the copy.
+
+    Cuts the lineage where several jobs (fits, counts) would otherwise each
+    recompute the plan; survives lost executors, unlike a local checkpoint.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark)

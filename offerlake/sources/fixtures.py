@@ -87,7 +87,20 @@ FIXTURE_ORDER = ("date_scraped", "seq")
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return spread(df.select(*columns) if columns else df)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least the cluster's parallelism in tasks.
+
+    A table stored as one large row group is read by one task, which then
+    runs every narrow step after it alone.  Only then is it spread
+    round-robin; a table of many files (the normal case at scale) is
+    returned untouched, with no extra shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
 
 
 def duck(sql: str) -> str:
