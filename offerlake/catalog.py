@@ -155,6 +155,13 @@ def p16_source_filter(spark, sf_dir):
     return source_filter(both_bronze(spark, sf_dir), "olx")
 
 
+@register("s1_read_table")
+def s1_read_table(spark, sf_dir):
+    """Read by path with the format named and an explicit schema: only those columns are scanned."""
+    schema = "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz"
+    return read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", "parquet", schema=schema)
+
+
 @register("s5_union_evolving")
 def s5_union_evolving(spark, sf_dir):
     return both_bronze(spark, sf_dir)
