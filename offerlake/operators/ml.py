@@ -198,9 +198,12 @@ def assign_folds(df: DataFrame, k: int = 3, label: str = TARGET, seed: int = voc
     for p, n in counts:
         offsets.append((p, total))
         total += n
-    off = F.create_map(*[F.lit(x) for po in offsets for x in po]) if offsets else F.create_map()
-    return ranked.withColumn("fold", ((F.coalesce(F.try_element_at(off, F.col("_p")), F.lit(0)) + F.col("_i")) % k).cast("int")).drop(
-        "_h", "_p", "_i"
+    # One row per partition: a size bound known before the join, so it is broadcast.
+    off = spark.createDataFrame(offsets, "_p int, _off long")
+    return (
+        ranked.join(F.broadcast(off), "_p")
+        .withColumn("fold", ((F.col("_off") + F.col("_i")) % k).cast("int"))
+        .drop("_h", "_p", "_i", "_off")
     )
 
 
