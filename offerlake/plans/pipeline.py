@@ -10,7 +10,7 @@ from offerlake.operators import sites
 from offerlake.operators.clean import standardize
 from offerlake.operators.dedup import deduplicate, single_source
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
-from offerlake.plans.gold import ml_dataset, price_analytics
+from offerlake.plans.gold import ml_dataset, price_analytics, sorted_for_write
 from offerlake.sources import lake
 
 
@@ -65,12 +65,7 @@ def run_pipeline(
         bronze = lake.read_table(spark, paths.bronze(site), fmt)
         write_silver(bronze_to_silver(bronze, site, order_by=order_by), paths, fmt)
     silver = lake.read_table(spark, paths.silver, fmt)
-    lake.write_sorted(
-        price_analytics(silver, sort=False).repartitionByRange("offer_date"),
-        paths.gold_analytics,
-        ("offer_date",),
-        fmt,
-    )
+    lake.overwrite_table(sorted_for_write(price_analytics(silver, sort=False)), paths.gold_analytics, fmt)
     lake.overwrite_table(ml_dataset(silver), paths.gold_ml, fmt)
     result = {"silver": paths.silver, "analytics": paths.gold_analytics, "ml": paths.gold_ml}
     if train:

@@ -93,12 +93,6 @@ def overwrite_table(
     w.save(path)
 
 
-def write_sorted(df: DataFrame, path: str, sort_cols: Sequence[str], fmt: str = DEFAULT_FORMAT) -> None:
-    """O1 for a write: the data is range-partitioned once and each file is sorted,
-    so the table reads back in order file by file without a single-task sort."""
-    overwrite_table(df.sortWithinPartitions(*sort_cols), path, fmt)
-
-
 def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
     """Stack frames whose schemas drifted; absent columns become NULL."""
     out = frames[0]
