@@ -26,7 +26,7 @@ def _c(c: ColumnOrName) -> Column:
 
 # Integer part of a decimal literal with optional sign and surrounding blanks:
 # the strings a legacy (non-ANSI) string->int cast accepts.
-_LEGACY_INT = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
+LEGACY_INT_PATTERN = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
 
 
 def legacy_int(c: ColumnOrName) -> Column:
@@ -35,7 +35,7 @@ def legacy_int(c: ColumnOrName) -> Column:
     ``try_cast(... as int)`` alone rejects '2.0', and going through double
     accepts '1e3'; both differ from the legacy cast.  Overflow gives NULL.
     """
-    return F.regexp_extract(_c(c), _LEGACY_INT, 1).try_cast("int")
+    return F.regexp_extract(_c(c), LEGACY_INT_PATTERN, 1).try_cast("int")
 
 
 def to_float(c: ColumnOrName) -> Column:
@@ -116,7 +116,7 @@ def polish_long_date(c: ColumnOrName) -> Column:
     Month names are matched case-insensitively against the genitive forms.
     """
     s = F.replace(_c(c), F.lit("o "), F.lit(""))
-    months = F.create_map(*[x for i, m in enumerate(vocab.POLISH_MONTHS, 1) for x in (F.lit(m), F.lit(i))])
+    months = F.expr("map(" + ", ".join(f"{_sql_string(m)}, {i}" for i, m in enumerate(vocab.POLISH_MONTHS, 1)) + ")")
     month = F.try_element_at(months, F.lower(F.regexp_extract(s, _POLISH_DATE, 2)))
     text = F.concat_ws(
         "-",
@@ -182,9 +182,16 @@ def contains_flag(c: ColumnOrName, needle: str) -> Column:
     return _c(c).contains(needle)
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def translate_values(c: ColumnOrName, mapping: Mapping[str, str]) -> Column:
-    """Whole-value dictionary translation; unknown values pass through."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    """Whole-value dictionary translation; unknown values pass through.
+
+    The dictionary is one constant map literal (built from SQL text in a
+    single call), looked up per row."""
+    m = F.expr("map(" + ", ".join(_sql_string(x) for kv in mapping.items() for x in kv) + ")")
     return F.coalesce(F.try_element_at(m, _c(c)), _c(c))
 
 

@@ -16,7 +16,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, MapType, StructType, ArrayType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+
+from offerlake.operators.clean import quote
 
 SOURCES = ("olx", "otodom")
 
@@ -50,10 +52,10 @@ def keep_first(
     rest = [c for c in df.columns if c not in keys and c not in order]
     tie = [c for c in rest if _orderable(dtypes[c])]
     other = [c for c in rest if not _orderable(dtypes[c])]
-    ordered = F.struct(*order, *tie)
-    aggs = [F.min(ordered).alias("_m")]
+    ordered = f"struct({', '.join(quote(c) for c in [*order, *tie])})"
+    aggs = [F.expr(f"min({ordered}) AS _m")]
     if other:
-        aggs.append(F.min_by(F.struct(*other), ordered).alias("_x"))
+        aggs.append(F.expr(f"min_by(struct({', '.join(quote(c) for c in other)}), {ordered}) AS _x"))
     if keep_null_keys:
         null_key = None
         for k in keys:
@@ -61,8 +63,8 @@ def keep_first(
             null_key = e if null_key is None else null_key | e
         passthrough = df.filter(null_key)
         df = df.filter(~null_key)
-    pick = [F.col(c) if c in keys else F.col(f"_x.{c}" if c in other else f"_m.{c}").alias(c) for c in df.columns]
-    out = df.groupBy(*keys).agg(*aggs).select(*pick)
+    pick = [quote(c) if c in keys else f"{'_x' if c in other else '_m'}.{quote(c)} AS {quote(c)}" for c in df.columns]
+    out = df.groupBy(*keys).agg(*aggs).selectExpr(*pick)
     if keep_null_keys:
         out = out.unionByName(passthrough)
     return out

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 )
 
 from offerlake.functions import parse
+from offerlake.operators.clean import quote, sql_string
 
 S, D, FL, I, B, TS = StringType(), DateType(), FloatType(), IntegerType(), BooleanType(), TimestampType()
 
@@ -101,21 +102,32 @@ def cast_to(c: Column, src: DataType, dst: DataType) -> Column:
     return c.try_cast(dst)
 
 
+def _cast_sql(name: str, src: DataType, dst: DataType) -> str:
+    """``cast_to`` as SQL text."""
+    q = quote(name)
+    if src == dst:
+        return q
+    if isinstance(src, StringType) and isinstance(dst, IntegerType):
+        return f"TRY_CAST(regexp_extract({q}, {sql_string(parse.LEGACY_INT_PATTERN)}, 1) AS INT)"
+    return f"TRY_CAST({q} AS {dst.simpleString()})"
+
+
 def ensure_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """P10 = P7 + P8 + P9 in one projection.
 
     Missing fields become typed NULLs (P7), present ones are cast (P8), and
     only the schema's fields are kept, in its order (P9).  Nullability is not
-    enforced.
+    enforced.  The projection is written as SQL text (one JVM call per
+    column).
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
         if f.name in have:
-            cols.append(cast_to(F.col(f.name), have[f.name], f.dataType).alias(f.name))
+            cols.append(f"{_cast_sql(f.name, have[f.name], f.dataType)} AS {quote(f.name)}")
         else:
-            cols.append(parse.typed_null(f.dataType).alias(f.name))
-    return df.select(*cols)
+            cols.append(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote(f.name)}")
+    return df.selectExpr(*cols)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
