@@ -63,6 +63,9 @@ def run_pipeline(
     paths = lake.LakePaths(root)
     for site in sites_in_order:
         bronze = lake.read_table(spark, paths.bronze(site), fmt)
+        found = single_source(bronze)  # D5 on the raw source column: a one-column scan
+        if found != site:
+            raise ValueError(f"bronze table of {site!r} holds offers of {found!r}")
         write_silver(bronze_to_silver(bronze, site, order_by=order_by), paths, fmt)
     silver = lake.read_table(spark, paths.silver, fmt)
     lake.overwrite_table(sorted_for_write(price_analytics(silver, sort=False)), paths.gold_analytics, fmt)
