@@ -69,16 +69,20 @@ def apply_query_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and hand-over tables.
 
-    Taken from the session (``spark.checkpoint.dir``); only when it is unset,
-    as in local tests, a fresh scratch folder is made and registered.
+    Taken from the session (``spark.checkpoint.dir`` or a directory set on
+    the context).  Only a local-mode session without one (tests, a laptop)
+    gets a fresh scratch folder; on a cluster a machine-local folder would
+    not survive a lost executor, so the setting is required there.
     """
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
         d = tempfile.mkdtemp(prefix="offerlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
-    else:
-        spark.sparkContext.setCheckpointDir(d) if not spark.sparkContext.getCheckpointDir() else None
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
