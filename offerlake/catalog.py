@@ -73,6 +73,12 @@ def j1_silver_otodom(spark, sf_dir):
     return silver(spark, sf_dir, "otodom")
 
 
+@register("j1_silver_olx_compat")
+def j1_silver_olx_compat(spark, sf_dir):
+    """J1 with the source pipeline's date handling (minutes read as months, 'today' left unparsed)."""
+    return bronze_to_silver(bronze(spark, sf_dir, "olx"), "olx", order_by=FIXTURE_ORDER, compat_dates=True)
+
+
 @register("j2_analytics")
 def j2_analytics(spark, sf_dir):
     return price_analytics(silver_both(spark, sf_dir))

@@ -74,11 +74,6 @@ def tag_attribute(html: ColumnOrName, tag: str, attr: str, value: str, wanted: s
     return unescape(F.when(elem != "", val))
 
 
-def text_runs(markup: ColumnOrName) -> Column:
-    """Text nodes of a markup fragment, in order (xpath ``//text()``)."""
-    return F.regexp_extract_all(_c(markup), F.lit(r"([^<>]+)"), 1)
-
-
 def first_text(fragments: Column) -> Column:
     """TakeFirst over the text nodes of several fragments: first non-empty, decoded."""
     runs = F.flatten(F.transform(fragments, lambda x: F.regexp_extract_all(x, F.lit(r"([^<>]+)"), 1)))

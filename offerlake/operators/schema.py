@@ -128,10 +128,3 @@ def ensure_schema(df: DataFrame, schema: StructType) -> DataFrame:
         else:
             cols.append(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote(f.name)}")
     return df.selectExpr(*cols)
-
-
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Add the schema's missing columns as typed NULLs and keep every other column."""
-    have = set(df.columns)
-    missing = [parse.typed_null(f.dataType).alias(f.name) for f in schema.fields if f.name not in have]
-    return df.select("*", *missing) if missing else df

@@ -18,6 +18,16 @@ def oracle(name: str, sql: str) -> None:
 oracle("j1_silver_olx", f"with {o.olx_silver_ctes()} select * from silver_olx")
 oracle("j1_silver_otodom", f"with {o.otodom_silver_ctes()} select * from silver_otodom")
 
+_COMPAT = o.olx_exprs() | {
+    "offer_date": o.compat_date("offer_date"),
+    "date_scraped": o.compat_date("split_part(cast(date_scraped as varchar), ' ', 1)"),
+}
+oracle(
+    "j1_silver_olx_compat",
+    f"with {o.olx_silver_ctes().split(', silver_olx as')[0]}, silver_c as ({o.fit_silver('ol_dd', _COMPAT)}) "
+    "select * from silver_c",
+)
+
 _BOTH = (
     f"with {o.olx_silver_ctes()}, {o.otodom_silver_ctes()}, "
     "silver as (select * from silver_olx union all select * from silver_otodom)"
