@@ -28,6 +28,10 @@ BASE_CONF = {
     # 8000-byte limit, which then run interpreted; above it, fall back to
     # per-expression code split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The dedup's min(struct) runs as a sort-based aggregate; without code
+    # generation it evaluates row by row (measured: silver build 15.3 s ->
+    # 9.9 s at sf0.1).
+    "spark.sql.codegen.aggregate.sortAggregate.enabled": "true",
     # Silver is overwritten one source partition at a time.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -62,7 +66,11 @@ def build_session(
 
 def apply_query_conf(spark: SparkSession) -> None:
     """Settings a query relies on when it runs in a session it did not build."""
-    for k in ("spark.sql.constraintPropagation.enabled", "spark.sql.codegen.hugeMethodLimit"):
+    for k in (
+        "spark.sql.constraintPropagation.enabled",
+        "spark.sql.codegen.hugeMethodLimit",
+        "spark.sql.codegen.aggregate.sortAggregate.enabled",
+    ):
         spark.conf.set(k, BASE_CONF[k])
 
 
