@@ -50,6 +50,7 @@ def run_pipeline(
     fmt: str = lake.DEFAULT_FORMAT,
     sites_in_order: Sequence[str] = ("olx", "otodom"),
     order_by: Sequence[str] = ("date_scraped",),
+    compat_dates: bool = False,
     train: bool = True,
     train_kwargs: dict | None = None,
 ) -> dict:
@@ -66,7 +67,7 @@ def run_pipeline(
         found = single_source(bronze)  # D5 on the raw source column: a one-column scan
         if found != site:
             raise ValueError(f"bronze table of {site!r} holds offers of {found!r}")
-        write_silver(bronze_to_silver(bronze, site, order_by=order_by), paths, fmt)
+        write_silver(bronze_to_silver(bronze, site, order_by=order_by, compat_dates=compat_dates), paths, fmt)
     silver = lake.read_table(spark, paths.silver, fmt)
     lake.overwrite_table(sorted_for_write(price_analytics(silver, sort=False)), paths.gold_analytics, fmt)
     lake.overwrite_table(ml_dataset(silver), paths.gold_ml, fmt)
