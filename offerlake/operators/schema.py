@@ -30,7 +30,7 @@ _FLAGS = (
     "has_porch", "has_parking", "gated_community", "guarded_building", "has_cctv",
 )
 
-# Silver: 48 fields.  primary_market and has_parking are declared non-nullable
+# FIXED VALUES (names, types, order): silver, 48 fields.  primary_market and has_parking are declared non-nullable
 # upstream but nullability is not enforced, so all fields are nullable here.
 SILVER_SCHEMA = StructType(
     [
@@ -79,7 +79,7 @@ BRONZE_OTODOM_SCHEMA = StructType(
 
 BRONZE_SCHEMAS = {"olx": BRONZE_OLX_SCHEMA, "otodom": BRONZE_OTODOM_SCHEMA}
 
-# Model features: target first, then 31 inputs.
+# FIXED VALUES: the model's columns, target first, then 31 inputs, in the source's order.
 ML_FEATURES = [
     "price_total", "city", "size", "offer_type", "n_rooms",
     "construction_status", "ownership_type", "floor", "rent",
