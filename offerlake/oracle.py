@@ -101,10 +101,10 @@ def total_order(columns: tuple, key: str, order: tuple = ("date_scraped", "seq")
     return "order by " + ", ".join(f"{c} nulls first" for c in list(order) + tie)
 
 
-def dedup_cte(src: str, name: str = "dd", columns: tuple = ()) -> str:
+def dedup_cte(src: str, name: str = "dd", columns: tuple = (), order: tuple = ("date_scraped", "seq")) -> str:
     """D3 with the fixture order (date_scraped, seq), ties broken by the other columns."""
-    o1 = total_order(columns, "offer_id")
-    o2 = total_order(columns, "short_description")
+    o1 = total_order(columns, "offer_id", order)
+    o2 = total_order(columns, "short_description", order)
     return (
         f"{name}_1 as (select * from {src} qualify row_number() over (partition by offer_id {o1}) = 1), "
         f"{name} as (select * from {name}_1 qualify row_number() over (partition by short_description {o2}) = 1)"
@@ -173,13 +173,21 @@ def olx_exprs() -> dict:
     return sh
 
 
-def olx_silver_ctes(p: str = "ol") -> str:
-    """CTEs {p}_f4 .. silver_olx: J1 over F4 (OLX rules)."""
-    rest = ("date_scraped", "seq")
+def olx_silver_ctes(p: str = "ol", bronze: bool = False) -> str:
+    """CTEs {p}_f4 .. silver_olx: J1 over F4 (OLX rules).
+
+    ``bronze=True``: F4 as it reads back from the OLX bronze table (no ``seq``),
+    deduplicated by ``date_scraped`` with ties broken by the bronze columns in
+    table order -- the whole run's order.
+    """
     sh = olx_exprs()
+    if bronze:
+        src, strings, rest, columns, order = bronze_rows(F4, "olx"), *bronze_parts("olx"), ("date_scraped",)
+    else:
+        src, strings, rest, columns, order = F4, F4_STRINGS, ("date_scraped", "seq"), F4_COLUMNS, ("date_scraped", "seq")
     return (
-        f"{p}_f4 as ({F4}), {standardized_cte(p + '_f4', F4_STRINGS, rest, p + '_std')}, "
-        f"{dedup_cte(p + '_std', p + '_dd', F4_COLUMNS)}, silver_olx as ({fit_silver(p + '_dd', sh)})"
+        f"{p}_f4 as ({src}), {standardized_cte(p + '_f4', strings, rest, p + '_std')}, "
+        f"{dedup_cte(p + '_std', p + '_dd', columns, order)}, silver_olx as ({fit_silver(p + '_dd', sh)})"
     )
 
 
@@ -206,10 +214,54 @@ def otodom_exprs() -> dict:
     return e
 
 
-def otodom_silver_ctes(p: str = "ot") -> str:
-    """CTEs {p}_f5 .. silver_otodom: J1 over F5 (otodom rules)."""
-    rest = ("date_scraped", "seq")
+def otodom_silver_ctes(p: str = "ot", bronze: bool = False) -> str:
+    """CTEs {p}_f5 .. silver_otodom: J1 over F5 (otodom rules); ``bronze`` as for OLX."""
+    if bronze:
+        src, strings, rest, columns, order = bronze_rows(F5, "otodom"), *bronze_parts("otodom"), ("date_scraped",)
+    else:
+        src, strings, rest, columns, order = F5, F5_STRINGS, ("date_scraped", "seq"), F5_COLUMNS, ("date_scraped", "seq")
     return (
-        f"{p}_f5 as ({F5}), {standardized_cte(p + '_f5', F5_STRINGS, rest, p + '_std')}, "
-        f"{dedup_cte(p + '_std', p + '_dd', F5_COLUMNS)}, silver_otodom as ({fit_silver(p + '_dd', otodom_exprs())})"
+        f"{p}_f5 as ({src}), {standardized_cte(p + '_f5', strings, rest, p + '_std')}, "
+        f"{dedup_cte(p + '_std', p + '_dd', columns, order)}, silver_otodom as ({fit_silver(p + '_dd', otodom_exprs())})"
     )
+
+
+def duck_type(t) -> str:
+    """DuckDB spelling of the Spark types the bronze schemas use."""
+    from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType, TimestampType
+
+    if isinstance(t, StringType):
+        return "varchar"
+    if isinstance(t, BooleanType):
+        return "boolean"
+    if isinstance(t, TimestampType):
+        return "timestamp"
+    if isinstance(t, ArrayType):
+        return duck_type(t.elementType) + "[]"
+    if isinstance(t, StructType):
+        return "struct(" + ", ".join(f"{f.name} {duck_type(f.dataType)}" for f in t.fields) + ")"
+    raise TypeError(t)
+
+
+def bronze_rows(fixture: str, site: str) -> str:
+    """A fixture's rows as the site's bronze table holds them: its columns, its types, typed NULLs for the rest."""
+    from offerlake.operators.schema import BRONZE_SCHEMAS
+
+    have = F4_COLUMNS if fixture == F4 else F5_COLUMNS
+    cols = []
+    for f in BRONZE_SCHEMAS[site].fields:
+        t = duck_type(f.dataType)
+        cols.append(f"cast({f.name if f.name in have else 'null'} as {t}) as {f.name}")
+    return f"select {', '.join(cols)} from ({fixture})"
+
+
+def bronze_parts(site: str) -> tuple[tuple, tuple, tuple]:
+    """(string columns, other columns, all columns in order) of a bronze table."""
+    from pyspark.sql.types import StringType
+
+    from offerlake.operators.schema import BRONZE_SCHEMAS
+
+    fields = BRONZE_SCHEMAS[site].fields
+    strings = tuple(f.name for f in fields if isinstance(f.dataType, StringType))
+    rest = tuple(f.name for f in fields if not isinstance(f.dataType, StringType))
+    return strings, rest, tuple(f.name for f in fields)

@@ -360,3 +360,27 @@ oracle(
     )
     + " from imp",
 )
+
+# Fold sizes follow from the global rank alone (fold = rank mod 3), whatever order ties take.
+oracle(
+    "m8_folds",
+    f"{_GOLD} select fold, count(*) as n from "
+    "(select cast((row_number() over () - 1) % 3 as integer) as fold from gold) group by fold",
+)
+oracle("m9_predict_no_model", f"{_GOLD} select *, cast({vocab.NO_MODEL_PREDICTION} as double) as prediction from gold")
+
+# ------------------------------------------------------- ingest and whole run
+
+# Two ingest runs over the landed OLX rows: bronze holds each row exactly once.
+oracle("s4_stream_ingest", o.bronze_rows(o.F4, "olx"))
+
+# The whole run: both sites through bronze (no seq column, so the run's dedup
+# order is date_scraped with ties broken by the bronze columns), silver, then
+# the analytics gold table as written.
+oracle(
+    "j4_run_pipeline",
+    f"with {o.olx_silver_ctes(bronze=True)}, {o.otodom_silver_ctes(bronze=True)}, "
+    "silver as (select * from silver_olx union all select * from silver_otodom) "
+    "select offer_date, city, price_total, price_per_msq, size from silver "
+    "where price_total is not null and price_per_msq is not null",
+)
