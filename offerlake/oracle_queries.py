@@ -384,3 +384,11 @@ oracle(
     "select offer_date, city, price_total, price_per_msq, size from silver "
     "where price_total is not null and price_per_msq is not null",
 )
+
+# P20 on OLX-only gold: the OLX rules fill seven of the model columns; the
+# other 25 are NULL in every OLX row, so exactly these seven remain.
+oracle(
+    "p20_drop_null_columns",
+    f"with {o.olx_silver_ctes()} select price_total, city, size, offer_type, n_rooms, floor, building_type "
+    "from silver_olx where price_total is not null",
+)
