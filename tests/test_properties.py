@@ -94,3 +94,45 @@ def test_deduplicate_matches_brute_force_under_any_partitioning(spark, rows, par
     got = deduplicate(df.repartition(parts), order_by=("d", "s")).collect()
     want = _brute_keep_first(_brute_keep_first(rows, names, "offer_id", ("d", "s")), names, "short_description", ("d", "s"))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-3, 12)),
+            st.one_of(st.none(), st.booleans()),
+            st.one_of(st.none(), st.sampled_from(["b", "a", "ab", "B"])),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_mode_table_matches_brute_force(spark, rows):
+    """A4: most frequent non-NULL value per column; a tie goes to the smallest value in the column's own type."""
+    from collections import Counter
+
+    from offerlake.operators.ml import mode_table
+
+    df = spark.createDataFrame(rows, "i int, b boolean, s string")
+    got = {r["column"]: (r["value"], r["n"]) for r in mode_table(df, ["i", "b", "s"]).collect()}
+    want = {}
+    for j, name in enumerate(["i", "b", "s"]):
+        counts = Counter(r[j] for r in rows if r[j] is not None)
+        if counts:
+            top = max(counts.values())
+            v = min(x for x, n in counts.items() if n == top)
+            want[name] = (str(v).lower() if isinstance(v, bool) else str(v), top)
+    assert got == want
+
+
+@SETTINGS
+@given(st.sets(st.integers(0, 10_000), min_size=1, max_size=60), st.integers(1, 5))
+def test_folds_cycle_in_price_order(spark, prices, parts):
+    """M8: in price order the folds deal 0, 1, 2, 0, ...; sizes differ by at most one; every row kept once."""
+    from offerlake.operators.ml import assign_folds
+
+    df = spark.createDataFrame([(float(p), f"r{p}") for p in prices], "price double, tag string").repartition(parts)
+    out = sorted((r["price"], r["tag"], r["fold"]) for r in assign_folds(df, 3, "price").collect())
+    assert [(p, t) for p, t, _ in out] == sorted((float(p), f"r{p}") for p in prices)
+    assert [f for _, _, f in out] == [i % 3 for i in range(len(out))]
