@@ -11,6 +11,7 @@ from offerlake.operators.clean import standardize
 from offerlake.operators.dedup import deduplicate, single_source
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics, sorted_for_write
+from offerlake.session import size_shuffle_partitions
 from offerlake.sources import lake
 
 
@@ -67,6 +68,7 @@ def run_pipeline(
         found = single_source(bronze)  # D5 on the raw source column: a one-column scan
         if found != site:
             raise ValueError(f"bronze table of {site!r} holds offers of {found!r}")
+        size_shuffle_partitions(bronze)  # the dedup shuffles carry whole bronze rows
         write_silver(bronze_to_silver(bronze, site, order_by=order_by, compat_dates=compat_dates), paths, fmt)
     silver = lake.read_table(spark, paths.silver, fmt)
     lake.overwrite_table(sorted_for_write(price_analytics(silver, sort=False)), paths.gold_analytics, fmt)

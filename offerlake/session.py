@@ -64,6 +64,31 @@ def build_session(
     return spark
 
 
+def size_shuffle_partitions(
+    df: DataFrame,
+    bytes_per_partition: int = 256 * 1024**2,
+    max_partitions: int = 100_000,
+) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so one shuffle partition gets about
+    ``bytes_per_partition`` of ``df``'s input; never lowers a setting.
+
+    The size is the optimizer's estimate for the scan (file sizes, no job
+    runs).  AQE can merge small partitions after a shuffle but never splits
+    a large one outside joins, so the starting count must fit the data: 100 TB
+    of bronze at the default of 200 would give 500 GB per dedup partition.
+    Beyond ``max_partitions`` partitions grow instead (sort-based operators spill).
+    """
+    spark = df.sparkSession
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # a Scala BigInt, or an int via Py4J
+    est = size if isinstance(size, int) else int(size.toString())
+    want = min(max_partitions, -(-est // bytes_per_partition))
+    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if want > have:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return have
+
+
 def apply_query_conf(spark: SparkSession) -> None:
     """Settings a query relies on when it runs in a session it did not build."""
     for k in (

@@ -65,3 +65,20 @@ def test_whole_run_twice_same_silver(spark, tmp_root):
     assert gold.filter(F.col("price_total").isNull() | F.col("price_per_msq").isNull()).count() == 0
     dates = [r["offer_date"] for r in gold.collect()]
     assert dates == sorted(dates, key=lambda d: (d is not None, d))
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from offerlake.session import size_shuffle_partitions
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+        # A large target never lowers the setting.
+        assert size_shuffle_partitions(df, bytes_per_partition=1 << 40) == int(before)
+        assert spark.conf.get(key) == before
+        # A tiny target raises it, up to the cap.
+        n = size_shuffle_partitions(df, bytes_per_partition=1024, max_partitions=64)
+        assert n == 64 and spark.conf.get(key) == "64"
+    finally:
+        spark.conf.set(key, before)
