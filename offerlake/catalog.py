@@ -517,7 +517,7 @@ def m9_predict_no_model(spark, sf_dir):
 def m10_train_save_score(spark, sf_dir):
     """Train (search over stratified folds), save (S7), load (S8), score every gold row (M9)."""
     g = gold(spark, sf_dir, passes=2)
-    fit = ml.train_price_model(g, grid=QUERY_GRID, n_iter=QUERY_DRAWS)
+    fit = ml.train_price_model(g, grid=QUERY_GRID, n_iter=QUERY_DRAWS, stored=True)  # g is checkpointed
     path = scratch_path(spark, "price-model")
     ml.save_model(fit.model, path)
     return ml.predict(ml.load_model(path), g).select("price_total", "prediction")

@@ -223,15 +223,18 @@ def train_price_model(
     seed: int = vocab.SEARCH_SEED,
     parallelism: int = 4,
     target: str = TARGET,
+    stored: bool = False,
 ) -> FitResult:
     """P17-P20, imputation (M1-M3), encoding (M4), assembly (M5), GBT (M6),
     random search (M7) over stratified folds (M8) by RMSE (A6), refit on all rows.
 
     The fitted imputation is applied before the search, as its statistics
     are one-row aggregates; the indexer, assembler and trees are fitted per
-    fold inside the cross-validator.
+    fold inside the cross-validator.  The passes over ``gold`` read one
+    stored copy: pass ``stored=True`` when it already is one (read from a
+    written table, or checkpointed), otherwise it is checkpointed first.
     """
-    df, cats = features_frame(materialize(gold), target)
+    df, cats = features_frame(gold if stored else materialize(gold), target)
     df = df.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
     imputer = fit_imputer(df, target=target)
     df = as_categories(imputer.transform(df), cats)

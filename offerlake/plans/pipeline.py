@@ -76,7 +76,7 @@ def run_pipeline(
     result = {"silver": paths.silver, "analytics": paths.gold_analytics, "ml": paths.gold_ml}
     if train:
         gold = lake.read_table(spark, paths.gold_ml, fmt)
-        fit = ml.train_price_model(gold, **(train_kwargs or {}))
+        fit = ml.train_price_model(gold, stored=True, **(train_kwargs or {}))  # a table scan: no second copy
         ml.save_model(fit.model, paths.model)
         result["model"] = paths.model
         result["rmse"] = fit.best_rmse
