@@ -182,7 +182,7 @@ def olx_silver_ctes(p: str = "ol", bronze: bool = False) -> str:
     """
     sh = olx_exprs()
     if bronze:
-        src, strings, rest, columns, order = bronze_rows(F4, "olx"), *bronze_parts("olx"), ("date_scraped",)
+        src, strings, rest, columns, order = bronze_rows(F4, "olx", F4_COLUMNS), *bronze_parts("olx"), ("date_scraped",)
     else:
         src, strings, rest, columns, order = F4, F4_STRINGS, ("date_scraped", "seq"), F4_COLUMNS, ("date_scraped", "seq")
     return (
@@ -217,7 +217,7 @@ def otodom_exprs() -> dict:
 def otodom_silver_ctes(p: str = "ot", bronze: bool = False) -> str:
     """CTEs {p}_f5 .. silver_otodom: J1 over F5 (otodom rules); ``bronze`` as for OLX."""
     if bronze:
-        src, strings, rest, columns, order = bronze_rows(F5, "otodom"), *bronze_parts("otodom"), ("date_scraped",)
+        src, strings, rest, columns, order = bronze_rows(F5, "otodom", F5_COLUMNS), *bronze_parts("otodom"), ("date_scraped",)
     else:
         src, strings, rest, columns, order = F5, F5_STRINGS, ("date_scraped", "seq"), F5_COLUMNS, ("date_scraped", "seq")
     return (
@@ -243,11 +243,11 @@ def duck_type(t) -> str:
     raise TypeError(t)
 
 
-def bronze_rows(fixture: str, site: str) -> str:
-    """A fixture's rows as the site's bronze table holds them: its columns, its types, typed NULLs for the rest."""
+def bronze_rows(fixture: str, site: str, have: tuple) -> str:
+    """A fixture's rows (columns ``have``) as the site's bronze table holds them:
+    its columns, its types, typed NULLs for the rest."""
     from offerlake.operators.schema import BRONZE_SCHEMAS
 
-    have = F4_COLUMNS if fixture == F4 else F5_COLUMNS
     cols = []
     for f in BRONZE_SCHEMAS[site].fields:
         t = duck_type(f.dataType)

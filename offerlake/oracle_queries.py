@@ -372,7 +372,7 @@ oracle("m9_predict_no_model", f"{_GOLD} select *, cast({vocab.NO_MODEL_PREDICTIO
 # ------------------------------------------------------- ingest and whole run
 
 # Two ingest runs over the landed OLX rows: bronze holds each row exactly once.
-oracle("s4_stream_ingest", o.bronze_rows(o.F4, "olx"))
+oracle("s4_stream_ingest", o.bronze_rows(o.F4, "olx", o.F4_COLUMNS))
 
 # The whole run: both sites through bronze (no seq column, so the run's dedup
 # order is date_scraped with ties broken by the bronze columns), silver, then
