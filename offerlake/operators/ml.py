@@ -145,14 +145,19 @@ def ordinal_encoder(cats: Sequence[str]) -> StringIndexer:
 
 
 def category_table(df: DataFrame, cats: Sequence[str]) -> DataFrame:
-    """A5: (column, category, index) with categories sorted per column."""
-    from pyspark.sql.window import Window
+    """A5: (column, category, index) with categories sorted per column.
 
+    The distinct (column, category) pairs are ranked by a distributed sort
+    (``global_rank``), so no column's categories have to fit in one task;
+    a category's index is its rank minus the rank of its column's first
+    category (one row per column, broadcast).
+    """
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cats])).alias("p")).select("p.*")
-    distinct = pairs.filter(F.col("category").isNotNull()).distinct()
-    # One window partition per column: its size is the column's number of categories.
-    w = Window.partitionBy("column").orderBy("category")
-    return distinct.withColumn("index", (F.dense_rank().over(w) - 1).cast("double"))
+    ranked = global_rank(pairs.filter(F.col("category").isNotNull()).distinct(), "column", "category")
+    start = ranked.groupBy("column").agg(F.min("_rank").alias("_start"))
+    return ranked.join(F.broadcast(start), "column").select(
+        "column", "category", (F.col("_rank") - F.col("_start")).cast("double").alias("index")
+    )
 
 
 def assembler(cats: Sequence[str], numeric: Sequence[str]) -> VectorAssembler:
@@ -186,10 +191,21 @@ def assign_folds(df: DataFrame, k: int = 3, label: str = TARGET, seed: int = voc
     (each fold gets every k-th price).  Only one count per partition reaches
     the driver.
     """
+    key = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+    ranked = global_rank(df.withColumn("_h", key), label, "_h")
+    return ranked.withColumn("fold", (F.col("_rank") % k).cast("int")).drop("_h", "_rank")
+
+
+def global_rank(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``_rank``: the 0-based position of each row in ``order`` (ascending).
+
+    A range-partitioned sort (sampled bounds, no single task), checkpointed so
+    the partitioning stays fixed; rank = offset of the row's partition +
+    position inside it.  Only one count per partition reaches the driver.
+    """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    key = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
-    ranked = df.withColumn("_h", key).orderBy(label, "_h").checkpoint(eager=True)
+    ranked = df.orderBy(*order).checkpoint(eager=True)
     ranked = ranked.withColumn("_p", F.spark_partition_id()).withColumn(
         "_i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -202,8 +218,8 @@ def assign_folds(df: DataFrame, k: int = 3, label: str = TARGET, seed: int = voc
     off = spark.createDataFrame(offsets, "_p int, _off long")
     return (
         ranked.join(F.broadcast(off), "_p")
-        .withColumn("fold", ((F.col("_off") + F.col("_i")) % k).cast("int"))
-        .drop("_h", "_p", "_i", "_off")
+        .withColumn("_rank", F.col("_off") + F.col("_i"))
+        .drop("_p", "_i", "_off")
     )
 
 
