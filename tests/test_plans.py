@@ -84,3 +84,11 @@ def test_dedup_reduces_before_each_shuffle(spark):
 def test_analytics_sort_is_range_partitioned(spark):
     plan = executed_plan(E.queries()["j2_analytics"](spark, SF_SMALL))
     assert "rangepartitioning(offer_date" in plan
+
+
+@pytest.mark.parametrize("name", ("a5_categories", "m8_folds"))
+def test_ranks_need_no_window(spark, name):
+    """Category indexes and folds come from a distributed sort, not a window over one group."""
+    plan = executed_plan(E.queries()[name](spark, SF_SMALL))
+    assert not re.search(r"\bWindow\b", plan), name
+    assert "SinglePartition" not in plan
