@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from offerlake.llm.mixing import op1_mix_sources
+from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
 from offerlake.llm.sharding import op7_rendezvous_shards
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality_rules": op2_quality_rules,
     "op7_rendezvous_shards": op7_rendezvous_shards,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 
 ORACLES = {
