@@ -6,12 +6,14 @@ from offerlake.llm.mixing import op1_mix_sources
 from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
 from offerlake.llm.sharding import op7_rendezvous_shards
+from offerlake.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality_rules": op2_quality_rules,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
