@@ -6,11 +6,13 @@ from offerlake.llm.mixing import op1_mix_sources
 from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
 from offerlake.llm.sharding import op7_rendezvous_shards
+from offerlake.llm.topk import OP4_SQL, op4_block_top_k
 from offerlake.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality_rules": op2_quality_rules,
+    "op4_block_top_k": op4_block_top_k,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
@@ -18,4 +20,5 @@ QUERIES = {
 
 ORACLES = {
     "op2_quality_rules": OP2_SQL,
+    "op4_block_top_k": OP4_SQL,
 }
