@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from offerlake.llm.licences import OP5_SQL, op5_licence_scan
 from offerlake.llm.mixing import op1_mix_sources
 from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality_rules": op2_quality_rules,
     "op4_block_top_k": op4_block_top_k,
+    "op5_licence_scan": op5_licence_scan,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
@@ -21,4 +23,5 @@ QUERIES = {
 ORACLES = {
     "op2_quality_rules": OP2_SQL,
     "op4_block_top_k": OP4_SQL,
+    "op5_licence_scan": OP5_SQL,
 }
