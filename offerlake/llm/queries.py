@@ -8,6 +8,7 @@ from offerlake.llm.ngram_join import op10_ngram_jaccard
 from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
 from offerlake.llm.sharding import op7_rendezvous_shards
+from offerlake.llm.suffix_dedup import op6_suffix_dedup
 from offerlake.llm.topk import OP4_SQL, op4_block_top_k
 from offerlake.llm.toxicity import op9_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op4_block_top_k": op4_block_top_k,
     "op5_licence_scan": op5_licence_scan,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_rendezvous_shards": op7_rendezvous_shards,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_toxicity": op9_toxicity,
