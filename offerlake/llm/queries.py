@@ -5,6 +5,7 @@ from __future__ import annotations
 from offerlake.llm.licences import OP5_SQL, op5_licence_scan
 from offerlake.llm.mixing import op1_mix_sources
 from offerlake.llm.ngram_join import op10_ngram_jaccard
+from offerlake.llm.pii import op3_pii
 from offerlake.llm.pieces import op8_sentencepiece
 from offerlake.llm.quality import OP2_SQL, op2_quality_rules
 from offerlake.llm.sharding import op7_rendezvous_shards
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
+    "op3_pii": op3_pii,
     "op4_block_top_k": op4_block_top_k,
     "op5_licence_scan": op5_licence_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
