@@ -73,7 +73,7 @@ class Vocabulary:
             raise ValueError("vocabularies that squeeze white space are not supported")
         self.names = [str(i) for i in range(len(self.text))]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.memory: dict[str, tuple[int, str, str]] = {}
+        self.memory: dict[str, tuple[list[int], str, str]] = {}
 
     def merge_short(self, text: str) -> list[str]:
         """``merge`` for a short text: the agenda is a flat list, one entry for each pair."""
@@ -143,7 +143,11 @@ class Vocabulary:
         return WORDS.findall(marked) if self.by_word else [marked]
 
     def encode(self, text: str) -> list[int]:
-        return [i for p in self.parts(text) for i in self.ids_of(p)]
+        get, make = self.memory.get, self.remembered
+        out: list[int] = []
+        for p in self.parts(text):
+            out.extend((get(p) or make(p))[0])
+        return out
 
     def raw(self, ids: Iterable[int], first: bool = False) -> str:
         """Text of ids.  ``first``: the word mark that opens the text is dropped.
@@ -172,14 +176,14 @@ class Vocabulary:
     def decode(self, ids: Iterable[int]) -> str:
         return self.raw(ids, first=True)
 
-    def remembered(self, part: str) -> tuple[int, str, str]:
-        """Number of ids, their decimal list and their text, for one part."""
+    def remembered(self, part: str) -> tuple[list[int], str, str]:
+        """Ids, their decimal list and their text, for one part."""
         ids = self.ids_of(part)
         try:
             text = "".join([self.text[i] for i in ids])
         except TypeError:  # byte pieces
             text = self.raw(ids)
-        out = len(ids), ",".join([self.names[i] for i in ids]), text
+        out = ids, ",".join([self.names[i] for i in ids]), text
         if len(part) <= 64:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
@@ -195,7 +199,7 @@ class Vocabulary:
         done = [get(p) or make(p) for p in self.parts(text or "")]
         ids = ",".join([d[1] for d in done])
         decoded = "".join([d[2] for d in done]).removeprefix(" ")
-        return sum([d[0] for d in done]), sha256(ids), sha256(decoded)
+        return sum([len(d[0]) for d in done]), sha256(ids), sha256(decoded)
 
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
