@@ -95,7 +95,8 @@ def examples(windows: list[str], seed: int = 3) -> list[tuple[str, list[Span]]]:
         out.append((w, spans))
         for a, b, kind in spans:
             found[kind].append(w[a:b])
-    clean = [re.sub(r"\S*[0-9@+]\S*", "", w) for w in contexts]
+    # Words that hold a trigger go; where that leaves nothing, only their triggers do.
+    clean = [c if (c := re.sub(r"\S*[0-9@+]\S*", "", w)).strip() else re.sub(r"[0-9@+]", "", w) for w in contexts]
     for i in range(150 * len(KINDS)):
         kind = KINDS[i % len(KINDS)]
         value = rng.choice(found[kind])
