@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +55,27 @@ def lookup(df: DataFrame, small: DataFrame, keys: Iterable[str]) -> DataFrame:
     if small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         r = F.broadcast(r)
     return df.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Record batches cut to at most ``rows`` rows, so that what a task makes of one stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Record batches sorted by their first column, regrouped so that no group is cut."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b]).select(names)
+        t = pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t
+        if not t.num_rows:
+            continue
+        k = t.column(0).to_numpy()
+        done = int(k.searchsorted(k[-1]))  # the last group may go on
+        rest = t.slice(done)
+        if done:
+            yield t.slice(0, done)
+    if rest is not None and rest.num_rows:
+        yield rest

@@ -10,11 +10,14 @@ text's connected component.  Equal sets are one node throughout.
    before, by hash.  Any such order gives right results; this one keeps
    passages that many texts share out of the prefixes.
 2. Two linked sets share a shingle among the first ``n - need + 1`` of both.
-   Each text sends these to their shingle's group with its size, place and a
-   256-bit parity sketch.  The sketches' difference never exceeds the sets'
-   difference, so pairs beyond the bound are no links.  Surviving candidates
-   are emitted as a spanning forest of each group, not as all pairs.  A group
-   of a frequent shingle is cut into blocks that meet pairwise.
+   Each text sends these to their shingle's group with its size and place.
+   Groups of one end there.  Small groups emit their pairs, each pair once
+   after a distinct; then both texts' sketches are compared: how many members
+   fall into each hash cell.  The sum of the cells' differences never exceeds
+   the sets' difference, so pairs beyond the bound are no links.  Large groups
+   fetch the sketches first and emit a spanning forest of the candidates
+   instead of all pairs; a frequent shingle's group is cut into blocks that
+   meet pairwise.
 3. Connected candidates are gathered with their texts, in ranges of set size
    when one component is large, and joined exactly: a prefix tree of the
    ordered sets is walked by each set, sharing the partial overlap of common
@@ -39,10 +42,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from offerlake.llm.common import read
+from offerlake.llm.common import read, sliced, whole_groups
 from offerlake.llm.components import components
 from offerlake.llm.prefix_tree import forest
-from offerlake.session import materialize
+from offerlake.session import materialize, scratch_path
 
 #: Most shingles that the global order may hold as frequent; the list has a fixed size limit.
 FREQUENT = 50_000
@@ -137,17 +140,18 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     """Rows of texts (id, n, digest) and rows of frequent shingles (token, df), told apart by ``token``."""
     kind = docs.schema[id_col].dataType
     schema = pa.schema(
-        [("id", to_arrow_type(kind)), ("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64())]
+        [("id", to_arrow_type(kind)), ("n", pa.int64()), ("digest", pa.binary()), ("node", pa.int64()), ("sketch", pa.binary())]
         + [("token", pa.int64()), ("df", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, seen = Summary(SUMMARY), set()
-        for b in batches:
-            n, d = [], []
+        for b in sliced(batches, 512):
+            n, d, k = [], [], []
             for t in b.column(1).to_pylist():
                 s = shingles(t, width)
                 n.append(len(s))
+                k.append(sketch(s) if len(s) else None)
                 d.append(digest(s) if len(s) else None)
                 if len(s) and d[-1] not in seen:
                     if len(seen) >= REMEMBERED:
@@ -156,7 +160,8 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
                     common.add(s)
             node, none = [x and node_of(x) for x in d], pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(d, pa.binary()), pa.array(node, pa.int64()), none, none],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(d, pa.binary()), pa.array(node, pa.int64())]
+                + [pa.array(k, pa.binary()), none, none],
                 schema=schema,
             )
         common.settle()
@@ -166,22 +171,47 @@ def sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.nulls(len(top), schema[0].type), pa.nulls(len(top), pa.int64()), pa.nulls(len(top), pa.binary()),
-                    pa.nulls(len(top), pa.int64()), pa.array(v[top].view(np.int64)), pa.array(c[top]),
+                    pa.nulls(len(top), pa.int64()), pa.nulls(len(top), pa.binary()), pa.array(v[top].view(np.int64)), pa.array(c[top]),
                 ],
                 schema=schema,
             )
 
     # The id column's name may be anything; inside it is called id.
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {kind.simpleString()}, n long, digest binary, node long, token long, df long"
+        run, f"id {kind.simpleString()}, n long, digest binary, node long, sketch binary, token long, df long"
     )
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
-    """256 parity bits of a set, as four longs: |a xor b| never exceeds the sets' difference."""
-    bit = mix(s) >> np.uint64(56)
-    odd = (np.bincount(bit.astype(np.int64), minlength=256) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.uint64)
+def cells(n):
+    """Hash cells of a sketch by set size: larger sets need more to be told apart."""
+    n = np.asarray(n)
+    return np.where(n <= 400, 64, np.where(n <= 1_500, 128, np.where(n <= 5_000, 256, 512)))
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Members per hash cell, modulo 256."""
+    k = int(cells(len(s)))
+    return np.bincount((mix(s) >> np.uint64(40)).astype(np.int64) % k, minlength=k).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes], k: int) -> np.ndarray:
+    """Sketches of k or more cells as rows of k cells."""
+    out = np.empty((len(sketches), k), np.uint8)
+    for i, b in enumerate(sketches):
+        v = np.frombuffer(b, np.uint8)
+        out[i] = v if len(v) == k else v.reshape(-1, k).sum(axis=0, dtype=np.uint8)
+    return out
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A lower bound of the sets' differences: a cell's difference, modulo 256, taken the short way round."""
+    d = x - y
+    return np.minimum(d, -d).sum(axis=-1, dtype=np.int64)
+
+
+def least_common(na, nb, percent: int):
+    """Smallest intersection of two linked sets of these sizes."""
+    return -(-percent * (na + nb) // (100 + percent))
 
 
 class Order:
@@ -211,15 +241,18 @@ class Order:
         return s[order], df[order]
 
 
+#: Columns of a prefix row; place is n << 32 | position.
+COLUMNS = ["key", "node", "place"]
+
+
 def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str, group_rows: int) -> DataFrame:
-    """One row per prefix shingle of each distinct set: key, node, place (n << 32 | position), four sketch longs."""
-    names = ["key", "node", "place", "b0", "b1", "b2", "b3"]
+    """One row of COLUMNS per prefix shingle of each distinct set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = Order(frequent.value), set()
         out: list[np.ndarray] = []
         size = 0
-        for b in batches:
+        for b in sliced(batches, 512):
             for t in b.column(0).to_pylist():
                 s = shingles(t, width)
                 if not len(s) or (d := digest(s)) in seen:
@@ -240,18 +273,15 @@ def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str,
                     lo, hi = np.minimum(own[each], other), np.maximum(own[each], other)
                     pair = ((hi * (hi + 1)) // 2 + lo).astype(np.uint64)
                     key, pos = np.where(parts[each] > 1, mix(key[each] + pair), key[each]), pos[each]
-                rows = np.empty((len(key), 7), np.int64)
-                rows[:, 0], rows[:, 1], rows[:, 2] = key.view(np.int64), node_of(d), (n << 32) | pos
-                rows[:, 3:] = sketch(s).view(np.int64)
-                out.append(rows)
-                size += len(rows)
+                out.append(np.stack([key.view(np.int64), np.full(len(key), node_of(d)), (n << 32) | pos], axis=1))
+                size += len(key)
                 if size >= 20_000:
-                    yield table(out, names)
+                    yield table(out, COLUMNS)
                     out, size = [], 0
         if out:
-            yield table(out, names)
+            yield table(out, COLUMNS)
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in COLUMNS))
 
 
 def table(rows: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -262,72 +292,123 @@ def table(rows: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
 def possible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of prefix rows (a[i], b[i]) may be links with this shingle as their first common one."""
     na, nb = a[:, 2] >> 32, b[:, 2] >> 32
-    least = -(-percent * (na + nb) // (100 + percent))
     rest = np.minimum(na - (a[:, 2] & 0xFFFFFFFF), nb - (b[:, 2] & 0xFFFFFFFF))
-    ok = (rest >= least) & (a[:, 1] != b[:, 1])
-    apart = np.bitwise_count((a[:, 3:] ^ b[:, 3:]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-    return ok & (apart <= na + nb - 2 * least)
-
-
-def group_edges(g: np.ndarray, percent: int) -> np.ndarray:
-    """A spanning forest of one shingle's candidates, [k, 2] of nodes."""
-    out = []
-    left = np.arange(len(g))
-    while len(left) > 1:
-        wave, left = left[:1], left[1:]
-        while len(wave) and len(left):
-            here, wave = wave[0], wave[1:]
-            hit = possible(np.broadcast_to(g[here], (len(left), 7)), g[left], percent)
-            if hit.any():
-                found, left = left[hit], left[~hit]
-                out.append(np.stack([np.full(len(found), g[here, 1]), g[found, 1]], axis=1))
-                wave = np.concatenate([wave, found])
-    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+    return (rest >= least_common(na, nb, percent)) & (a[:, 1] != b[:, 1])
 
 
+#: Groups of up to so many rows emit their pairs.
 SMALL_GROUP = 12
 
 
-def batch_edges(m: np.ndarray, percent: int) -> np.ndarray:
-    """Candidate edges of whole groups, rows sorted by key."""
-    edges = []
+def small_and_large(m: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of whole groups, rows sorted by key: the pairs of small ones, [k, 2] of nodes, and the rows of large ones."""
     cuts = np.flatnonzero(np.r_[True, m[1:, 0] != m[:-1, 0], True])
     sizes = np.diff(cuts)
-    small = np.repeat((sizes > 1) & (sizes <= SMALL_GROUP), sizes)
-    s = m[small]
+    s, pairs = m[np.repeat((sizes > 1) & (sizes <= SMALL_GROUP), sizes)], []
     for ahead in range(1, SMALL_GROUP):
         a = np.flatnonzero(s[ahead:, 0] == s[:-ahead, 0]) if len(s) > ahead else np.empty(0, int)
         if not len(a):
             break
         a = a[possible(s[a], s[a + ahead], percent)]
-        edges.append(np.stack([s[a, 1], s[a + ahead, 1]], axis=1))
-    for i in np.flatnonzero(sizes > SMALL_GROUP):
-        g = m[cuts[i] : cuts[i + 1]]
-        g = g[np.unique(g[:, 1], return_index=True)[1]]  # a set comes once from each task
-        edges.append(group_edges(g, percent))
-    e = np.concatenate(edges) if edges else np.empty((0, 2), np.int64)
-    return np.unique(np.sort(e, axis=1), axis=0)
+        pairs.append(np.stack([s[a, 1], s[a + ahead, 1]], axis=1))
+    e = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+    return np.unique(np.sort(e, axis=1), axis=0), m[np.repeat(sizes > SMALL_GROUP, sizes)]
+
 
+def longs(t: pa.Table) -> np.ndarray:
+    return np.stack([t.column(c).to_numpy() for c in COLUMNS], axis=1)
 
-def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate links (u, v) between nodes: the groups of ``prefixes``, each in one place."""
+
+def grouped(rows: DataFrame, percent: int) -> DataFrame:
+    """The groups of ``rows``, each in one place: pairs (key NULL, node, place: two nodes) and rows of large groups."""
+    schema = pa.schema([(c, pa.int64()) for c in COLUMNS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.empty((0, 7), np.int64)
-        for b in batches:
-            m = np.stack([c.to_numpy() for c in b.columns], axis=1)
-            m = np.concatenate([rest, m])
-            if not len(m):
-                continue
-            done = np.searchsorted(m[:, 0], m[-1, 0])  # the last group may go on
-            rest = m[done:]
-            if done:
-                yield table([batch_edges(m[:done], percent)], ["u", "v"])
-        if len(rest):
-            yield table([batch_edges(rest, percent)], ["u", "v"])
+        for t in whole_groups(batches, COLUMNS):
+            pairs, large = small_and_large(longs(t), percent)
+            none = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, *(pa.array(c) for c in np.ascontiguousarray(pairs.T))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in np.ascontiguousarray(large.T)], schema=schema)
 
     dealt = rows.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in COLUMNS))
+
+
+def alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (u, v) that their sketches allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            u, v, na, nb = (b.column(i).to_numpy() for i in range(4))
+            sa, sb = b.column(4).to_pylist(), b.column(5).to_pylist()
+            k, ok = np.minimum(cells(na), cells(nb)), np.zeros(len(u), bool)
+            for width in np.unique(k):
+                at = np.flatnonzero(k == width)
+                apart = least_difference(folded([sa[i] for i in at], width), folded([sb[i] for i in at], width))
+                ok[at] = apart <= (na + nb - 2 * least_common(na, nb, percent))[at]
+            yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(v[ok])], names=["u", "v"])
+
+    def side(node: str, n: str, s: str) -> DataFrame:
+        return sketches.select(F.col("node").alias(node), F.col("n").alias(n), F.col("sketch").alias(s))
+
+    both = pairs.distinct().join(side("u", "na", "sa"), "u").join(side("v", "nb", "sb"), "v")
+    return both.select("u", "v", "na", "nb", "sa", "sb").mapInArrow(run, "u long, v long")
+
+
+def group_edges(g: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """A spanning forest of one large group's candidates, [k, 2] of nodes."""
+    # Rows by size, so that a set's possible partners are neighbours.
+    order = np.lexsort((g[:, 1], g[:, 2] >> 32))
+    g, sketches = g[order], [sketches[i] for i in order]
+    n = g[:, 2] >> 32
+    width = int(cells(n.min()))
+    cell, wide = folded(sketches, width), sketches
+    out, left = [], np.arange(len(g))
+    while len(left) > 1:
+        wave, left = left[:1], left[1:]
+        while len(wave) and len(left):
+            here, wave = wave[0], wave[1:]
+            lo, hi = np.searchsorted(n[left], [-(-percent * n[here] // 100), 100 * n[here] // percent + 1])
+            near = left[lo:hi]
+            ok = possible(np.broadcast_to(g[here], (len(near), 3)), g[near], percent)
+            limit = n[here] + n[near] - 2 * least_common(n[here], n[near], percent)
+            at = np.flatnonzero(ok)
+            ok[at] = least_difference(cell[here], cell[near[at]]) <= limit[at]
+            for i in np.flatnonzero(ok) if len(wide[here]) > width else ():  # the rest at full width
+                k = min(len(wide[here]), len(wide[near[i]]))
+                ok[i] = least_difference(*folded([wide[here], wide[near[i]]], k)) <= limit[i]
+            if ok.any():
+                found = near[ok]
+                left = np.delete(left, lo + np.flatnonzero(ok))
+                out.append(np.stack([np.full(len(found), g[here, 1]), g[found, 1]], axis=1))
+                wave = np.concatenate([wave, found])
+    return np.concatenate(out) if out else np.empty((0, 2), np.int64)
+
+
+def large_edges(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Candidate edges (u, v) of large groups."""
+    names = [*COLUMNS, "sketch"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, names):
+            m, s, edges = longs(t), t.column("sketch").to_pylist(), [np.empty((0, 2), np.int64)]
+            cuts = np.flatnonzero(np.r_[True, m[1:, 0] != m[:-1, 0], True])
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                once = lo + np.unique(m[lo:hi, 1], return_index=True)[1]  # a set comes once from each task
+                edges.append(group_edges(m[once], [s[i] for i in once], percent))
+            yield table([np.unique(np.sort(np.concatenate(edges), axis=1), axis=0)], ["u", "v"])
+
+    dealt = rows.join(sketches.select("node", "sketch"), "node").select(*names)
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+
+
+def candidates(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Candidate links (u, v) between nodes."""
+    path = scratch_path(rows.sparkSession, "shingle-groups")
+    grouped(rows, percent).write.parquet(path)
+    found = rows.sparkSession.read.parquet(path)
+    pairs = found.filter("key is null").select(F.col("node").alias("u"), F.col("place").alias("v"))
+    return alike(pairs, sketches, percent).unionAll(large_edges(found.filter("key is not null"), sketches, percent))
 
 
 def cut(members: DataFrame, percent: int, tree_shingles: int) -> DataFrame:
@@ -384,7 +465,7 @@ def exact_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, texts = None, []
-        for b in batches:
+        for b in sliced(batches, 512):
             keys = list(zip(*(b.column(i).to_pylist() for i in range(3))))
             for k, t in zip(keys, b.column(3).to_pylist()):
                 if k != now:
@@ -419,7 +500,8 @@ def jaccard_classes(
     frequent = spark.sparkContext.broadcast([(r["token"], r["df"]) for r in top])
 
     rows = prefixes(docs, frequent, percent, width, text_col, group_rows)
-    rough = components(candidates(rows, percent))
+    sketches = made.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    rough = components(candidates(rows, sketches, percent))
 
     nodes = texts.filter("digest is not null and id is not null").groupBy("digest", "node", "n").agg(F.min("id").alias("id"))
     members = materialize(nodes.join(rough, "node").select(F.col("root").alias("comp"), "digest", "id", "n"))
