@@ -1,13 +1,17 @@
-"""Regular-expression accessors for the page anchors the listing extractors use.
+"""Accessors for the page anchors the listing extractors use.
 
 These cover the cited anchors only (a tag picked by one attribute value, its
 text runs or another attribute), not HTML in general.  All are Spark column
-expressions (JVM regex), so extraction runs in the scan's codegen stage.  A
-missing anchor gives NULL (an empty match is turned into NULL).
+expressions (JVM regex and array functions), evaluated row by row inside the
+scan's stage; the array functions run outside generated code.  Tag and
+attribute names match in any case, values as they are written.  A missing
+anchor gives NULL (an empty match is turned into NULL).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,44 +47,76 @@ def visible(html: ColumnOrName) -> Column:
 
 
 def _attr_sel(attr: str, value: str) -> str:
-    import re
+    """An attribute of this very name (white space before it) with this value in matching quotes."""
+    v = re.escape(value)
+    return rf"""\s(?i:{attr})\s*=\s*(?:"{v}"|'{v}')"""
+
+
+def open_tag(tag: str, attr: str | None = None, value: str | None = None) -> str:
+    """Pattern of a start tag, from '<' to '>'."""
+    sel = rf"[^>]*?{_attr_sel(attr, value)}" if attr else ""
+    return rf"<(?i:{tag})(?=[\s>/]){sel}[^>]*>"
+
+
+def attribute_value(tag_text: Column, attr: str) -> Column:
+    """Value of an attribute of a start tag, decoded; '' if the attribute is empty, NULL if it is missing."""
+    pat = rf"""(?s)\s(?i:{attr})\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    both = F.concat(F.regexp_extract(tag_text, pat, 1), F.regexp_extract(tag_text, pat, 2))
+    return unescape(F.when(tag_text.rlike(pat), both))
+
 
-    return rf"""\b{attr}\s*=\s*["']{re.escape(value)}["']"""
+def inner(rest: Column, tag: str) -> Column:
+    """Inner markup of an element whose start tag ends where ``rest`` begins: up to its own end tag.
+
+    ``rest`` is cut before every start and end tag of this name; the running
+    depth of the pieces tells where the element closes.  Unclosed, it takes all.
+    """
+    pieces = F.split(rest, rf"(?=<(?i:{tag})[\s>/])|(?=</(?i:{tag})\s*>)")
+
+    def step(acc: Column, x: Column) -> Column:
+        depth = acc["depth"] + F.when(x.rlike(rf"^</(?i:{tag})\s*>"), -1).when(x.rlike(rf"^<(?i:{tag})[\s>/]"), 1).otherwise(0)
+        depth = F.when(acc["depth"] == 0, 0).otherwise(depth)
+        return F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+    # A lambda variable holds the pieces, so they are cut once.
+    return F.transform(F.array(pieces), lambda p: F.array_join(F.slice(p, 1, F.aggregate(p, start, step)["n"]), ""))[0]
 
 
 def element_inner(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
-    """Inner markup of the first ``<tag attr="value">`` (up to its first closing tag); NULL if absent."""
-    sel = f"[^>]*?{_attr_sel(attr, value)}" if attr else ""
-    pat = rf"(?is)<{tag}\b{sel}[^>]*>(.*?)</{tag}\s*>"
-    return F.when(_c(html).rlike(pat), F.regexp_extract(_c(html), pat, 1))
+    """Inner markup of the first ``<tag attr="value">``, nested elements of its name included; NULL if absent."""
+    rest = F.regexp_extract(_c(html), rf"(?s){open_tag(tag, attr, value)}(.*)$", 1)
+    return F.when(_c(html).rlike(open_tag(tag, attr, value)), inner(rest, tag))
 
 
-def all_inner(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
-    """Inner markup of every ``<tag attr="value">`` element."""
-    sel = f"[^>]*?{_attr_sel(attr, value)}" if attr else ""
-    return F.regexp_extract_all(_c(html), F.lit(rf"(?is)<{tag}\b{sel}[^>]*>(.*?)</{tag}\s*>"), 1)
+def all_inner(html: ColumnOrName, tag: str) -> Column:
+    """Inner markup of every ``<tag>`` element of a kind that does not nest."""
+    return F.regexp_extract_all(_c(html), F.lit(rf"(?s){open_tag(tag)}(.*?)</(?i:{tag})\s*>"), 1)
 
 
 def direct_text(html: ColumnOrName, tag: str, attr: str, value: str) -> Column:
     """First text node right inside ``<tag attr="value">`` (xpath ``tag[@attr=value]/text()``); NULL if none."""
-    pat = rf"(?is)<{tag}\b[^>]*?{_attr_sel(attr, value)}[^>]*>([^<]*)"
+    pat = rf"(?s){open_tag(tag, attr, value)}([^<]*)"
     return unescape(nonempty(F.regexp_extract(_c(html), pat, 1)))
 
 
 def tag_attribute(html: ColumnOrName, tag: str, attr: str, value: str, wanted: str) -> Column:
     """Attribute ``wanted`` of the first ``<tag attr="value">`` (xpath ``//tag[@attr=value]/@wanted``)."""
-    elem = F.regexp_extract(_c(html), rf"(?is)(<{tag}\b[^>]*?{_attr_sel(attr, value)}[^>]*>)", 1)
-    val = F.regexp_extract(elem, rf"""(?is)\b{wanted}\s*=\s*["']([^"']*)["']""", 1)
-    return unescape(F.when(elem != "", val))
+    elem = nonempty(F.regexp_extract(_c(html), rf"({open_tag(tag, attr, value)})", 1))
+    return attribute_value(elem, wanted)
+
+
+def text_runs(fragment: Column) -> Column:
+    """Text nodes of a fragment of markup, in order, without empty ones; not decoded."""
+    return F.filter(F.split(fragment, r"<[^>]*>"), lambda x: x != "")
 
 
 def first_text(fragments: Column) -> Column:
-    """TakeFirst over the text nodes of several fragments: first non-empty, decoded."""
-    runs = F.flatten(F.transform(fragments, lambda x: F.regexp_extract_all(x, F.lit(r"([^<>]+)"), 1)))
-    return unescape(F.get(F.filter(runs, lambda x: x != ""), 0))
+    """TakeFirst over the text nodes of several fragments: the first non-empty one, decoded."""
+    return unescape(F.get(F.flatten(F.transform(fragments, text_runs)), 0))
 
 
 def script_body(html: ColumnOrName, script_id: str) -> Column:
     """Text of ``<script id="...">``; NULL when the page has none."""
-    pat = rf"(?is)<script\b[^>]*?\bid\s*=\s*[\"']{script_id}[\"'][^>]*>(.*?)</script>"
-    return F.when(_c(html).rlike(pat), F.regexp_extract(_c(html), pat, 1))
+    tag = open_tag("script", "id", script_id)
+    return F.when(_c(html).rlike(tag), F.regexp_extract(_c(html), rf"(?s){tag}(.*?)</(?i:script)\s*>", 1))

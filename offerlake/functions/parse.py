@@ -82,7 +82,12 @@ def scrape_date(c: ColumnOrName, compat: bool = False) -> Column:
     """Crawl timestamp -> its date; ``compat`` goes through text with T1's bug."""
     if compat:
         return to_date_text(F.get(F.split(_c(c).cast("string"), " "), 0), compat=True)
-    return F.to_date(_c(c))
+    return day_of(c)
+
+
+def day_of(c: ColumnOrName) -> Column:
+    """The date of a date, a timestamp or a text that begins with one; unparsable text gives NULL."""
+    return _c(c).try_cast("date")
 
 
 def to_timestamp_any(c: ColumnOrName, dtype: DataType) -> Column:
@@ -136,7 +141,7 @@ def offer_date(c: ColumnOrName, scraped: ColumnOrName, compat: bool = False) ->
     parsed = to_date_text(c, compat=compat)
     if compat:
         return parsed
-    return F.when(_c(c).contains(vocab.TODAY_WORD), F.to_date(_c(scraped))).otherwise(parsed)
+    return F.when(_c(c).contains(vocab.TODAY_WORD), day_of(scraped)).otherwise(parsed)
 
 
 # ----------------------------------------------------------- strings & flags

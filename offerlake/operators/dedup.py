@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from offerlake.operators.clean import quote
+from offerlake.operators.clean import null_tokens, quote
 
 SOURCES = ("olx", "otodom")
 
@@ -103,9 +103,10 @@ def single_source(df: DataFrame, allowed: Sequence[str] = SOURCES, column: str =
     """The one site a frame holds; ValueError for none, several or an unknown one.
 
     Runs on the raw source column (a one-column scan) and brings at most three
-    values to the driver.
+    values to the driver.  NULLs and placeholder strings (P1) are no source.
     """
-    found = sorted(r[0] for r in distinct_sources(df, column).limit(3).collect())
+    named = null_tokens(df.select(column)).filter(F.col(column).isNotNull())
+    found = sorted(r[0] for r in distinct_sources(named, column).limit(3).collect())
     if not found:
         raise ValueError("frame holds no offers")
     if len(found) > 1:

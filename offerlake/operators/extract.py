@@ -8,6 +8,7 @@ files; a page is never split, so a single huge page stays one row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -49,16 +50,53 @@ def meta_description(h: str = "html") -> Column:
     return H.tag_attribute(h, "meta", "name", "description", "content")
 
 
-def resolve_url(href: Column, page_url: Column) -> Column:
-    """Absolute form of a link: absolute as is, '/x' from the host, 'x' from the page's folder."""
-    host = F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)", 1)
-    folder = F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/)", 1)
-    return (
-        F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(host, href))
-        .otherwise(F.concat(F.when(folder != "", folder).otherwise(F.concat(host, F.lit("/"))), href))
+_URL = r"^(?:([^:/?#]+):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$"
+
+
+def remove_dots(path: Column) -> Column:
+    """A path without '.' and '..' segments (RFC 3986, 5.2.4): '..' takes the segment before it along."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(
+        parts,
+        F.array(F.lit("")).cast("array<string>"),
+        # The first entry stands for what is before the first '/', and is never removed.
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1))))
+        .otherwise(F.concat(acc, F.array(x))),
     )
+    joined = F.concat(F.lit("/"), F.array_join(F.filter(F.slice(kept, 2, 1_000_000_000), lambda x, i: (i > 0) | (x != "")), "/"))
+    # A last segment of dots leaves the folder it names.
+    folder = path.rlike(r"(?:^|/)\.\.?$") & ~joined.endswith("/")
+    return F.when(folder, F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
+def resolve_url(href: Column, page_url: Column) -> Column:
+    """Absolute form of a link on a page (RFC 3986, 5.2), without its fragment."""
+
+    def part(url: Column, group: int) -> Column:
+        return F.regexp_extract(url, _URL, group)
+
+    def absolute(ref: Column, base: Column) -> Column:
+        scheme, has_host = part(base, 1), ref.rlike(r"^(?:[^:/?#]+:)?//")
+        ref_path, base_path = part(ref, 3), part(base, 3)
+        merged = F.concat(F.regexp_extract(base_path, r"^(.*/)", 1), ref_path)
+        path = (
+            F.when(ref_path == "", base_path)
+            .when(ref_path.startswith("/"), remove_dots(ref_path))
+            .otherwise(remove_dots(merged))
+        )
+        path = F.when(has_host, F.when(ref_path == "", F.lit("")).otherwise(remove_dots(ref_path))).otherwise(path)
+        host = F.when(has_host, part(ref, 2)).otherwise(part(base, 2))
+        query = F.when((part(ref, 4) != "") | has_host | (ref_path != ""), part(ref, 4)).otherwise(part(base, 4))
+        return F.concat(scheme, F.lit("://"), host, path, query)
+
+    ref = F.regexp_replace(href, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    whole = F.regexp_replace(ref, r"#.*$", "")
+    return F.when(ref.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), whole).otherwise(absolute(ref, page_url))
+
+
+#: Schemes that a link extractor follows.
+SCHEMES = ("http", "https", "file", "ftp")
 
 
 def harvest_links(
@@ -67,15 +105,25 @@ def harvest_links(
     deny: Sequence[str] = (),
     url_col: str = "url",
     html_col: str = "html",
+    anchor: tuple[str, str] | None = None,
+    domains: Sequence[str] = (),
 ) -> DataFrame:
     """Every distinct absolute link of a page kept by an allow pattern and no deny pattern.
 
-    One row per (page, link).  ``explode`` keeps the work per page; distinct
-    is per page (``array_distinct``), so there is no shuffle.
+    ``anchor`` = (attribute, value) restricts the anchors, ``domains`` the hosts
+    (a domain admits its sub-domains).  One row per (page, link).  ``explode``
+    keeps the work per page; distinct is per page (``array_distinct``), so there
+    is no shuffle.
     """
-    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""), 1)
-    links = F.array_distinct(F.transform(hrefs, lambda x: resolve_url(H.unescape(x), F.col(url_col))))
+    tag = H.open_tag("a", *anchor) if anchor else H.open_tag("a")
+    tags = F.regexp_extract_all(F.col(html_col), F.lit(rf"({tag})"), 1)
+    hrefs = F.filter(F.transform(tags, lambda x: H.attribute_value(x, "href")), lambda x: x.isNotNull())
+    links = F.array_distinct(F.transform(hrefs, lambda x: resolve_url(x, F.col(url_col))))
     out = pages.select("page_id", F.explode(links).alias("link"))
+    out = out.filter(F.col("link").rlike(rf"^(?i:{'|'.join(SCHEMES)})://"))
+    if domains:
+        hosts = "|".join(re.escape(d) for d in domains)
+        out = out.filter(F.col("link").rlike(rf"^[^/]+://(?:[^/?#@]*@)?(?:[^/?#@]*\.)?(?i:{hosts})(?::\d+)?(?:[/?]|$)"))
     if allow:
         out = out.filter(F.col("link").rlike("|".join(f"(?:{a})" for a in allow)))
     for d in deny:
@@ -83,20 +131,28 @@ def harvest_links(
     return out
 
 
+#: Pages of one range of seeds.
+SEED_RANGE = 100_000
+
+
 def crawl_seeds(pages: DataFrame, url_col: str = "url") -> DataFrame:
     """Listing seeds, base URL x page numbers 1..n, n the highest page seen for that base.
 
-    One group per base URL with a partial aggregate (max), then a per-row
-    ``sequence``; the output grows with the page counts, not with the driver.
+    One group per base URL with a partial aggregate (max).  A base's pages are
+    first cut into ranges of SEED_RANGE, which are dealt over tasks, and then
+    listed, so no task lists more than its share whatever number a URL carries.
     """
     base = F.regexp_extract(F.col(url_col), r"^([^?#]*)", 1)
     page = F.regexp_extract(F.col(url_col), r"[?&]page=(\d+)", 1)
     n = F.coalesce(F.when(page != "", page.try_cast("int")), F.lit(1))
     per_base = pages.select(base.alias("base"), n.alias("n")).groupBy("base").agg(F.max("n").alias("n"))
-    return per_base.select(
-        "base",
-        F.explode(F.sequence(F.lit(1), F.greatest(F.col("n"), F.lit(1)))).alias("page"),
-    ).select("base", "page", F.concat("base", F.lit("?page="), F.col("page").cast("string")).alias("seed_url"))
+    last = F.greatest(F.col("n"), F.lit(1))
+    first_pages = F.sequence(F.lit(1), last, F.lit(SEED_RANGE))
+    ranges = per_base.select("base", last.alias("last"), F.explode(first_pages).alias("first"))
+    ranges = ranges.repartition("base", "first")
+    end = F.least(F.col("first").cast("long") + (SEED_RANGE - 1), F.col("last").cast("long")).cast("int")
+    listed = ranges.select("base", F.explode(F.sequence("first", end)).alias("page"))
+    return listed.select("base", "page", F.concat("base", F.lit("?page="), F.col("page").cast("string")).alias("seed_url"))
 
 
 # ------------------------------------------------------------- OLX extractors
@@ -104,8 +160,8 @@ def crawl_seeds(pages: DataFrame, url_col: str = "url") -> DataFrame:
 def olx_detail_items(h: str = "html") -> Column:
     """Text nodes of ``//ul[@class='css-sfcl1s']/li/p//text()``."""
     ul = H.element_inner(F.col(h), "ul", "class", "css-sfcl1s")
-    paras = F.regexp_extract_all(F.coalesce(ul, F.lit("")), F.lit(r"(?is)<li\b[^>]*>\s*<p\b[^>]*>(.*?)</p>"), 1)
-    runs = F.flatten(F.transform(paras, lambda p: F.regexp_extract_all(p, F.lit(r"([^<>]+)"), 1)))
+    paras = F.regexp_extract_all(F.coalesce(ul, F.lit("")), F.lit(rf"(?s){H.open_tag('li')}\s*{H.open_tag('p')}(.*?)</(?i:p)\s*>"), 1)
+    runs = F.flatten(F.transform(paras, H.text_runs))
     return F.transform(runs, lambda x: H.unescape(x))
 
 
@@ -167,16 +223,17 @@ def olx_state_fields(state: Column) -> dict[str, Column]:
 
 
 def olx_offer_id(h: str = "html") -> Column:
-    """Text of the last span in the footer bar."""
+    """Text of the last span with text in the footer bar."""
     bar = H.element_inner(F.col(h), "div", "data-cy", "ad-footer-bar-section")
-    spans = F.regexp_extract_all(F.coalesce(bar, F.lit("")), F.lit(r"(?is)<span\b[^>]*>([^<]*)"), 1)
+    spans = F.regexp_extract_all(F.coalesce(bar, F.lit("")), F.lit(rf"(?s){H.open_tag('span')}([^<]+)"), 1)
     return H.unescape(F.try_element_at(spans, F.lit(-1)))
 
 
 def olx_image_urls(h: str = "html") -> Column:
     """``//div[@class='swiper-zoom-container']/img/@src``."""
-    pat = r"""(?is)<div\b[^>]*?\bclass\s*=\s*["']swiper-zoom-container["'][^>]*>\s*<img\b[^>]*?\bsrc\s*=\s*["']([^"']*)["']"""
-    return F.regexp_extract_all(F.col(h), F.lit(pat), 1)
+    pat = rf"{H.open_tag('div', 'class', 'swiper-zoom-container')}\s*({H.open_tag('img')})"
+    tags = F.regexp_extract_all(F.col(h), F.lit(pat), 1)
+    return F.filter(F.transform(tags, lambda x: H.attribute_value(x, "src")), lambda x: x.isNotNull())
 
 
 def olx_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "html") -> DataFrame:
@@ -190,7 +247,7 @@ def olx_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "htm
     offer_date = F.when(posted.contains(vocab.TODAY_WORD), posted).otherwise(
         F.date_format(parse.polish_long_date(posted), "yyyy-MM-dd")
     )
-    desc = H.all_inner(H.visible(F.col(h)), "div", "data-cy", "ad_description")
+    desc = H.element_inner(H.element_inner(H.visible(F.col(h)), "div", "data-cy", "ad_description"), "div")
     cols = {
         "offer_source": F.lit("olx"),
         "offer_id": olx_offer_id(h),
@@ -198,7 +255,7 @@ def olx_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "htm
         "title": page_title(h),
         "canonical_url": canonical_url(h),
         "short_description": meta_description(h),
-        "description": H.first_text(F.transform(desc, lambda x: F.regexp_extract(x, r"(?is)<div\b[^>]*>(.*)", 1))),
+        "description": H.first_text(F.array(desc)),
         "price_total": st["price_total"],
         "offer_type": d["offer_type"],
         "offer_date": offer_date,
@@ -266,8 +323,7 @@ def otodom_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "
     crawled = crawled_at if crawled_at is not None else F.current_timestamp()
     doc = next_data(h)
     ids = otodom_ids(doc)
-    desc = H.all_inner(H.visible(F.col(h)), "div", "data-cy", "adPageAdDescription")
-    paras = F.flatten(F.transform(desc, lambda x: F.regexp_extract_all(x, F.lit(r"(?is)<p\b[^>]*>(.*?)</p>"), 1)))
+    paras = H.all_inner(H.element_inner(H.visible(F.col(h)), "div", "data-cy", "adPageAdDescription"), "p")
     cols = {
         "offer_source": F.lit("otodom"),
         "offer_id": ids["offer_id"],

@@ -93,17 +93,8 @@ ML_FEATURES = [
 ]
 
 
-def cast_to(c: Column, src: DataType, dst: DataType) -> Column:
-    """ANSI-safe cast; string -> int goes through the legacy rule."""
-    if src == dst:
-        return c
-    if isinstance(src, StringType) and isinstance(dst, IntegerType):
-        return parse.legacy_int(c)
-    return c.try_cast(dst)
-
-
 def _cast_sql(name: str, src: DataType, dst: DataType) -> str:
-    """``cast_to`` as SQL text."""
+    """ANSI-safe cast as SQL text; string -> int goes through the legacy rule."""
     q = quote(name)
     if src == dst:
         return q

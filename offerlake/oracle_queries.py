@@ -265,7 +265,7 @@ oracle(
     "x2_first_paragraph",
     f"with v as (select page_id, regexp_replace(html, '{_HIDDEN}', '', 'g') as h from pages), "
     r"p as (select page_id, regexp_extract_all(h, '(?is)<p\b[^>]*>(.*?)</p\s*>', 1) as paras from v), "
-    r"r as (select page_id, flatten(list_transform(paras, lambda x: regexp_extract_all(x, '([^<>]+)', 1))) as runs from p) "
+    r"r as (select page_id, flatten(list_transform(paras, lambda x: regexp_split_to_array(x, '<[^>]*>'))) as runs from p) "
     "select page_id, " + _unescape("list_filter(runs, lambda x: x <> '')[1]") + " as description from r",
 )
 _SCHEME = "[a-zA-Z][a-zA-Z0-9+.-]*"

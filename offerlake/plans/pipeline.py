@@ -11,7 +11,7 @@ from offerlake.operators.clean import standardize
 from offerlake.operators.dedup import deduplicate, single_source
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics, sorted_for_write
-from offerlake.session import size_shuffle_partitions
+from offerlake.session import shuffle_partitions
 from offerlake.sources import lake
 
 
@@ -54,22 +54,26 @@ def run_pipeline(
     compat_dates: bool = False,
     train: bool = True,
     train_kwargs: dict | None = None,
+    partitions: int | None = None,
 ) -> dict:
     """Bronze -> silver for each site, both gold tables, then the price model.
 
     Every stage hands over a written table (the lineage is cut at each write),
-    so a lost executor only re-runs the current stage.
+    so a lost executor only re-runs the current stage.  Bronze files may have
+    evolving schemas (S5).  ``partitions`` sets the shuffle partitions of the
+    silver build, whose shuffles carry whole bronze rows
+    (``session.shuffle_partitions_for`` gives a number that fits a table).
     """
     from offerlake.operators import ml  # heavy import only when training
 
     paths = lake.LakePaths(root)
     for site in sites_in_order:
-        bronze = lake.read_table(spark, paths.bronze(site), fmt)
+        bronze = lake.read_table(spark, paths.bronze(site), fmt, merge_schema=True)
         found = single_source(bronze)  # D5 on the raw source column: a one-column scan
         if found != site:
             raise ValueError(f"bronze table of {site!r} holds offers of {found!r}")
-        size_shuffle_partitions(bronze)  # the dedup shuffles carry whole bronze rows
-        write_silver(bronze_to_silver(bronze, site, order_by=order_by, compat_dates=compat_dates), paths, fmt)
+        with shuffle_partitions(spark, partitions):
+            write_silver(bronze_to_silver(bronze, site, order_by=order_by, compat_dates=compat_dates), paths, fmt)
     silver = lake.read_table(spark, paths.silver, fmt)
     lake.overwrite_table(sorted_for_write(price_analytics(silver, sort=False)), paths.gold_analytics, fmt)
     lake.overwrite_table(ml_dataset(silver), paths.gold_ml, fmt)

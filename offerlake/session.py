@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,29 +65,30 @@ def build_session(
     return spark
 
 
-def size_shuffle_partitions(
-    df: DataFrame,
-    bytes_per_partition: int = 256 * 1024**2,
-    max_partitions: int = 100_000,
-) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` so one shuffle partition gets about
-    ``bytes_per_partition`` of ``df``'s input; never lowers a setting.
+def shuffle_partitions_for(df: DataFrame, bytes_per_partition: int = 256 * 1024**2) -> int:
+    """Shuffle partitions that give each about ``bytes_per_partition`` of ``df``'s input.
 
     The size is the optimizer's estimate for the scan (file sizes, no job
     runs).  AQE can merge small partitions after a shuffle but never splits
     a large one outside joins, so the starting count must fit the data: 100 TB
     of bronze at the default of 200 would give 500 GB per dedup partition.
-    Beyond ``max_partitions`` partitions grow instead (sort-based operators spill).
     """
-    spark = df.sparkSession
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # a Scala BigInt, or an int via Py4J
     est = size if isinstance(size, int) else int(size.toString())
-    want = min(max_partitions, -(-est // bytes_per_partition))
-    have = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if want > have:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return have
+    return max(1, -(-est // bytes_per_partition))
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Run a block's jobs with ``n`` shuffle partitions (None: as set); the setting is restored after it."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if n:
+        spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def apply_query_conf(spark: SparkSession) -> None:
@@ -110,7 +112,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
         d = tempfile.mkdtemp(prefix="offerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import f7_pages as P
+from offerlake.functions import html as H
 from offerlake.operators import extract as X
 
 def crawled():
@@ -99,3 +100,93 @@ def test_links_and_seeds(spark):
     assert "https://www.olx.pl/list/rel" in every and len(every) == 3
     seeds = [r["seed_url"] for r in X.crawl_seeds(pages).orderBy("page").collect()]
     assert seeds == [f"https://www.olx.pl/list/?page={i}" for i in (1, 2, 3)]
+
+
+BASE = "https://h.pl/a/b?page=1"
+
+
+@pytest.mark.parametrize(
+    "base,href,want",
+    [
+        (BASE, "?page=2", "https://h.pl/a/b?page=2"),
+        (BASE, "../z", "https://h.pl/z"),
+        (BASE, "#f", "https://h.pl/a/b?page=1"),
+        (BASE, "", "https://h.pl/a/b?page=1"),
+        (BASE, "c#x", "https://h.pl/a/c"),
+        (BASE, "/d/oferta/x?q=1", "https://h.pl/d/oferta/x?q=1"),
+        (BASE, "//o.pl/p", "https://o.pl/p"),
+        (BASE, "//o.pl", "https://o.pl"),
+        (BASE, "http://o.pl/../p", "http://o.pl/../p"),
+        (BASE, "  x y ", "https://h.pl/a/x y"),
+        ("https://h.pl", "x", "https://h.pl/x"),
+        ("https://h.pl?q", "?r", "https://h.pl?r"),
+        # The examples of RFC 3986, 5.4.
+        *[
+            ("http://a/b/c/d;p?q", r, "http://a" + w)
+            for r, w in (
+                ("g", "/b/c/g"), ("./g", "/b/c/g"), ("g/", "/b/c/g/"), ("/g", "/g"), ("?y", "/b/c/d;p?y"), ("g?y", "/b/c/g?y"),
+                (";x", "/b/c/;x"), (".", "/b/c/"), ("./", "/b/c/"), ("..", "/b/"), ("../", "/b/"), ("../g", "/b/g"), ("../..", "/"),
+                ("../../g", "/g"), ("../../../g", "/g"), ("/./g", "/g"), ("/../g", "/g"), ("g.", "/b/c/g."), ("..g", "/b/c/..g"),
+                ("./../g", "/b/g"), ("./g/.", "/b/c/g/"), ("g/./h", "/b/c/g/h"), ("g/../h", "/b/c/h"), ("g;x=1/../y", "/b/c/y"),
+            )
+        ],
+    ],
+)
+def test_links_resolve_as_defined(spark, base, href, want):
+    got = spark.createDataFrame([(href, base)], "h string, b string").select(X.resolve_url(F.col("h"), F.col("b")).alias("x"))
+    assert got.first()["x"] == want
+
+
+def page(spark, html, url="https://www.olx.pl/l/?page=1"):
+    return spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+
+
+def test_links_by_anchor_domain_and_scheme(spark):
+    html = """<a data-testid="pagination-forward" href="?page=2">n</a><a href='mailto:x@y.pl'>m</a><a href="javascript:f()">j</a>
+    <a data-href="/no" href="/yes">y</a><a name="t">no link</a><A HREF="https://m.olx.pl/d/oferta/1">a</A>
+    <a href="https://notolx.pl/1">b</a><a href="https://olx.pl.evil.com/1">c</a><a href="ftp://olx.pl/f">f</a>"""
+    df = page(spark, html)
+
+    def links(**kw):
+        return sorted(r["link"] for r in X.harvest_links(df, **kw).collect())
+
+    assert links(anchor=("data-testid", "pagination-forward")) == ["https://www.olx.pl/l/?page=2"]
+    assert links(domains=["olx.pl"]) == [
+        "ftp://olx.pl/f", "https://m.olx.pl/d/oferta/1", "https://www.olx.pl/l/?page=2", "https://www.olx.pl/yes",
+    ]
+    assert len(links()) == 6
+
+
+def one(spark, html, expr):
+    return page(spark, html).select(expr.alias("x")).first()["x"]
+
+
+def test_values_match_in_their_case_and_names_in_any(spark):
+    html = """<div ARIA-LABEL="CENA">1</div><DIV aria-label='Cena'>2</DIV>"""
+    assert one(spark, html, H.direct_text("html", "div", "aria-label", "Cena")) == "2"
+
+
+def test_attribute_names_are_whole_and_quotes_match(spark):
+    html = """<script data-id="S">no</script><script id='S" x'>no</script><script id="S">yes</script>"""
+    assert one(spark, html, H.script_body("html", "S")) == "yes"
+    assert one(spark, """<meta name="description" data-content="n" content='it"s'>""", X.meta_description()) == 'it"s'
+    assert one(spark, """<meta name="description">""", X.meta_description()) is None
+
+
+def test_nested_elements_are_kept_whole(spark):
+    bar = '<div data-cy="ad-footer-bar-section"><div><div>x</div></div><span>ID:</span><span>77</span><span></span></div><div><span>9</span></div>'
+    assert one(spark, bar, X.olx_offer_id()) == "77"
+    html = "<div id='a'>1<div>2<DIV class='q'>3</DIV></div>4<divider>5</divider></div>6"
+    assert one(spark, html, H.element_inner("html", "div", "id", "a")) == "1<div>2<DIV class='q'>3</DIV></div>4<divider>5</divider>"
+    assert one(spark, "<div id='a'>open", H.element_inner("html", "div", "id", "a")) == "open"
+    assert one(spark, "<p>x</p>", H.element_inner("html", "div", "id", "a")) is None
+
+
+def test_text_nodes_skip_inner_tags(spark):
+    assert one(spark, "<p><b class='x'>bold</b> rest</p>", X.first_paragraph_text()) == "bold"
+
+
+def test_seeds_of_a_page_number_that_nobody_saw_a_table_of(spark):
+    pages = page(spark, "", "https://h.pl/x?page=2000003")
+    got = X.crawl_seeds(pages)
+    assert got.agg(F.count("*"), F.max("page"), F.countDistinct("page")).first()[:] == (2000003, 2000003, 2000003)

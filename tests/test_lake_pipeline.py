@@ -1,5 +1,6 @@
 """Lake round trips, schema evolution, streaming ingest and the whole run."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -67,18 +68,47 @@ def test_whole_run_twice_same_silver(spark, tmp_root):
     assert dates == sorted(dates, key=lambda d: (d is not None, d))
 
 
-def test_shuffle_partitions_sized_from_input(spark):
-    from offerlake.session import size_shuffle_partitions
+def test_shuffle_partitions_fit_the_input_and_are_restored(spark):
+    from offerlake.session import shuffle_partitions, shuffle_partitions_for
 
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    try:
-        df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-        # A large target never lowers the setting.
-        assert size_shuffle_partitions(df, bytes_per_partition=1 << 40) == int(before)
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    assert shuffle_partitions_for(df, bytes_per_partition=1 << 40) == 1
+    many = shuffle_partitions_for(df, bytes_per_partition=1)  # no cap
+    assert many > 100_000
+    with pytest.raises(KeyError), shuffle_partitions(spark, 37):
+        assert spark.conf.get(key) == "37"
+        raise KeyError
+    assert spark.conf.get(key) == before
+    with shuffle_partitions(spark, None):
         assert spark.conf.get(key) == before
-        # A tiny target raises it, up to the cap.
-        n = size_shuffle_partitions(df, bytes_per_partition=1024, max_partitions=64)
-        assert n == 64 and spark.conf.get(key) == "64"
-    finally:
-        spark.conf.set(key, before)
+
+
+def test_ingest_counts_all_of_many_micro_batches(spark, tmp_root):
+    from offerlake.operators.schema import BRONZE_SCHEMAS, ensure_schema
+
+    rows = ensure_schema(spark.range(240).selectExpr("cast(id as string) as offer_id", "'olx' as offer_source"), BRONZE_SCHEMAS["olx"])
+    land_batch(rows.coalesce(1), lake.LakePaths(tmp_root), "olx", batch_size=2)  # 120 files
+    assert ingest(spark, tmp_root, sites=("olx",), max_files_per_trigger=1) == {"olx": 240}
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 0}
+
+
+def test_two_appends_are_two_copies_and_overwrite_is_one(spark, tmp_root):
+    from offerlake.plans.pipeline import write_silver
+
+    silver = spark.range(5).selectExpr("id as offer_id", "'olx' as offer_source")
+    p = lake.LakePaths(tmp_root)
+    for _ in range(2):
+        write_silver(silver, p, append=True)
+    assert spark.read.parquet(p.silver).count() == 10
+    write_silver(silver, p)
+    assert spark.read.parquet(p.silver).count() == 5
+
+
+def test_bronze_columns_of_later_files_are_kept(spark, tmp_root):
+    p = lake.LakePaths(tmp_root)
+    spark.range(3).selectExpr("id as offer_id").write.parquet(p.bronze("olx"))
+    spark.range(2).selectExpr("id as offer_id", "'x' as extra").write.mode("append").parquet(p.bronze("olx"))
+    got = lake.read_table(spark, p.bronze("olx"), merge_schema=True)
+    assert got.filter("extra = 'x'").count() == 2 and got.count() == 5
