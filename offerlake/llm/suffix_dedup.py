@@ -4,7 +4,7 @@ A byte goes if it lies in a string of ``length`` bytes that also starts
 earlier, in a row of a smaller id or earlier in the same text.
 
 1. Each text gives its sparse suffix array (``suffix_index``).  Suffixes are
-   dealt by gram, copies within an Arrow batch having been set aside, and reach
+   dealt by gram, copies within a slice of the input having been set aside, and reach
    their task in the order of ids.
 2. A task reads them batch by batch: a batch becomes a suffix array, is scanned
    against the levels of a logarithmic family and joins it; levels of equal
@@ -32,16 +32,18 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import read
-from offerlake.llm.suffix_index import Family, anchors, fingerprint, mix, running
+from offerlake.llm.common import read, sliced, whole_groups
+from offerlake.llm.suffix_index import Family, anchors, fingerprint, found_in, mix, running
 from offerlake.session import scratch_path
 
+#: Texts whose suffixes a task makes, and searches for copies, at once.
+SLICE = 1_000
 #: Suffixes of one batch of the index.
 BATCH = 65_536
 #: Text bytes whose suffixes one task indexes.
 TASK_BYTES = 64 << 20
-#: Bytes of opened segments that a task compares at once (whole grams).
-OPEN_BYTES = 8 << 20
+#: Bytes of opened segments that a task compares at once.
+OPEN_BYTES = 1 << 20
 
 
 def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -49,7 +51,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
-        for b in batches:
+        for b in sliced(batches, 512):
             z = [c.compress((t or "").encode()) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc", "z"])
 
@@ -74,7 +76,7 @@ def suffixes(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFr
     names = ["gram", "segment", "doc", "at", "copy"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, SLICE):
             rows = sorted(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), key=lambda r: r[0])
             parts = []
             for doc, t in rows:
@@ -131,7 +133,7 @@ def opened_bytes(opened: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     names = ["gram", "doc", "start", "bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             gram, doc, start, part = [], [], [], []
             texts = unpacked(b.column(1))
             for d, t, gs, ats in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist(), b.column(3).to_pylist()):
@@ -153,22 +155,44 @@ def opened_bytes(opened: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def repeated(gram: np.ndarray, doc: np.ndarray, start: np.ndarray, parts: list[bytes], length: int):
-    """Ranges (doc, from, to) of the strings of whole grams that an earlier one equals."""
-    sizes = np.array([len(p) for p in parts])
-    n = sizes - length + 1
-    base = np.repeat(np.cumsum(sizes) - sizes, n)
-    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    sums = running(np.frombuffer(b"".join(parts), np.uint8))
-    at = base + inside
-    row = np.repeat(np.arange(len(parts)), n)
-    h = mix(fingerprint(sums, at, at + length) + mix(gram[row].view(np.uint64)))
-    d, s = doc[row], start[row] + inside
-    order = np.lexsort((s, d, h))
-    h, d, s = h[order], d[order], s[order]
-    head = np.maximum.accumulate(np.where(np.r_[True, h[1:] != h[:-1]], np.arange(len(h)), 0))
-    later = (d != d[head]) | (s != s[head])
-    return d[later], s[later], s[later] + length
+class Seen:
+    """First places of one gram's strings, for the batches that follow."""
+
+    def __init__(self):
+        none = np.empty(0, np.int64)
+        self.gram, self.h, self.doc, self.start = None, none.astype(np.uint64), none, none
+
+    def repeated(self, gram: np.ndarray, doc: np.ndarray, start: np.ndarray, parts: list[bytes], length: int):
+        """Ranges (doc, lo, hi) of the strings that an earlier one equals.
+
+        Segments come by gram, then in the order of texts; what is kept between
+        calls is the distinct strings of the last gram.
+        """
+        sizes = np.array([len(p) for p in parts])
+        n = sizes - length + 1
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(np.cumsum(sizes) - sizes, n) + inside
+        row = np.repeat(np.arange(len(parts)), n)
+        sums = running(np.frombuffer(b"".join(parts), np.uint8))
+        h = mix(fingerprint(sums, at, at + length) + mix(gram[row].view(np.uint64)))
+        d, s = doc[row], start[row] + inside
+        values, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        first_d, first_s = d[first], s[first]
+        if len(self.h):
+            old = np.minimum(np.searchsorted(self.h, values), len(self.h) - 1)
+            hit = self.h[old] == values
+            first_d, first_s = np.where(hit, self.doc[old], first_d), np.where(hit, self.start[old], first_s)
+        # A string at the very place of the first one is that of a repeated row.
+        later = (d != first_d[inv]) | (s != first_s[inv])
+        last = gram[-1]
+        here = gram[row[first]] == last
+        keep = [values[here], first_d[here], first_s[here]]
+        if self.gram == last:
+            new = ~found_in(keep[0], self.h)
+            keep = [np.concatenate([x, y[new]]) for x, y in zip((self.h, self.doc, self.start), keep)]
+        order = np.argsort(keep[0], kind="stable")
+        self.gram, self.h, self.doc, self.start = last, *(x[order] for x in keep)
+        return d[later], s[later], s[later] + length
 
 
 def merged(d: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -189,25 +213,25 @@ def compared(opened: DataFrame, length: int) -> DataFrame:
     """Ranges (doc, lo, hi) of opened strings that occurred before."""
     names = ["doc", "lo", "hi"]
 
-    def settle(rows: list[tuple]):
-        g, d, s, p = zip(*rows)
-        out = repeated(np.array(g, np.int64), np.array(d, np.int64), np.array(s, np.int64), list(p), length)
-        return batch(names, *merged(*out))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        size = 0
-        for b in batches:
+        seen, rows, size = Seen(), [], 0
+
+        def settle():
+            g, d, s, p = zip(*rows)
+            out = seen.repeated(np.array(g, np.int64), np.array(d, np.int64), np.array(s, np.int64), list(p), length)
+            return batch(names, *merged(*out))
+
+        for b in sliced(batches, 1_000):
             for r in zip(*(c.to_pylist() for c in b.columns)):
-                if size >= OPEN_BYTES and rows[-1][0] != r[0]:
-                    yield settle(rows)
-                    rows, size = [], 0
                 rows.append(r)
                 size += len(r[3])
+                if size >= OPEN_BYTES:
+                    yield settle()
+                    rows, size = [], 0
         if rows:
-            yield settle(rows)
+            yield settle()
 
-    dealt = opened.repartition("gram").sortWithinPartitions("gram")
+    dealt = opened.repartition("gram").sortWithinPartitions("gram", "doc", "start")
     return dealt.mapInArrow(run, "doc long, lo long, hi long")
 
 
@@ -219,7 +243,7 @@ def removals(
     task_bytes: int = TASK_BYTES,
     batch_rows: int = BATCH,
 ) -> DataFrame:
-    """Per id the byte ranges to remove: doc, ranges (array of lo, hi; they may overlap)."""
+    """Per id the byte ranges to remove, apart and in order: doc, lo and hi (arrays)."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
@@ -230,8 +254,22 @@ def removals(
     strings = compared(opened_bytes(found.filter("open"), texts, length), length)
     lo = F.shiftright("at", 7)
     whole = found.filter("not open").select("doc", lo.alias("lo"), (lo + F.col("at").bitwiseAND(127) - 1 + length).alias("hi"))
-    every = whole.unionAll(strings)
-    return every.groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    return per_text(whole.unionAll(strings))
+
+
+def per_text(ranges: DataFrame) -> DataFrame:
+    """All ranges (doc, lo, hi) of each text made one row, touching ones merged."""
+    names = ["doc", "lo", "hi"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, names):
+            d, lo, hi = merged(*(t.column(c).to_numpy() for c in names))
+            cuts = np.flatnonzero(np.r_[True, d[1:] != d[:-1], True]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (lo, hi)]
+            yield pa.RecordBatch.from_arrays([pa.array(d[cuts[:-1]]), *lists], names=names)
+
+    dealt = ranges.repartition("doc").sortWithinPartitions("doc")
+    return dealt.mapInArrow(run, "doc long, lo array<long>, hi array<long>")
 
 
 def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int]:
@@ -245,11 +283,11 @@ def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[bytes, int]:
 def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", **sizes) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans and ``kept``, the remaining bytes."""
     ranges = removals(docs, length, id_col, text_col, **sizes)
-    joined = packed(docs, id_col, text_col).join(ranges, "doc", "left").select("doc", "z", "ranges.lo", "ranges.hi")
+    joined = packed(docs, id_col, text_col).join(ranges, "doc", "left").select("doc", "z", "lo", "hi")
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             rows = []
             for t, lo, hi in zip(unpacked(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 kept, n = cut(t, np.array(lo, np.int64), np.array(hi, np.int64)) if lo else (t, 0)

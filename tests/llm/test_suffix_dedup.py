@@ -6,7 +6,7 @@ import pytest
 from conftest_llm import DOCS, text
 
 from offerlake.llm import suffix_dedup, suffix_index
-from offerlake.llm.suffix_dedup import cut, dedup, merged, op6_suffix_dedup, repeated
+from offerlake.llm.suffix_dedup import Seen, cut, dedup, merged, op6_suffix_dedup
 from offerlake.llm.suffix_index import Family, anchors, window_min
 
 
@@ -127,9 +127,15 @@ def test_levels_grow_geometrically_and_report_each_segment_once():
 
 
 def test_repeated_strings_of_opened_segments():
-    a, b = b"q" + b"abcdefghij" * 3, b"z" + b"abcdefghij" * 3
-    d, lo, hi = repeated(np.array([5, 5]), np.array([1, 2]), np.array([0, 40]), [a, b], 21)
-    assert sorted(zip(d, lo, hi)) == [(2, 41 + k, 62 + k) for k in range(10)]
+    a, b, c = b"q" + b"abcdefghij" * 3, b"z" + b"abcdefghij" * 3, b"abcdefghij" * 3
+    want = [(2, 41 + k, 62 + k) for k in range(10)] + [(3, 7 + k, 28 + k) for k in range(10)]
+    rows = [(5, 1, 0, a), (5, 2, 40, b), (5, 3, 7, c), (6, 9, 0, a)]
+    for cuts in ([0, 4], [0, 1, 4], [0, 2, 4], [0, 1, 2, 3, 4]):
+        seen, got = Seen(), []
+        for lo, hi in zip(cuts, cuts[1:]):
+            g, d, s, p = zip(*rows[lo:hi])
+            got += zip(*(x.tolist() for x in seen.repeated(np.array(g), np.array(d), np.array(s), list(p), 21)))
+        assert sorted(got) == want
 
 
 def test_merging_and_cutting():
