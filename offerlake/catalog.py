@@ -30,7 +30,7 @@ from offerlake.operators.dedup import deduplicate, distinct_sources, exists_fram
 from offerlake.sources.lake import LakePaths, read_table, union_evolving
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
-from offerlake.plans.pipeline import bronze_to_silver, run_pipeline
+from offerlake.plans.pipeline import bronze_to_silver, run_pipeline, write_silver
 from offerlake.session import apply_query_conf, materialize, scratch_path
 from offerlake.sources import fixtures
 from offerlake.sources.fixtures import FIXTURE_ORDER
@@ -79,6 +79,11 @@ def j1_silver_olx_compat(spark, sf_dir):
     return bronze_to_silver(bronze(spark, sf_dir, "olx"), "olx", order_by=FIXTURE_ORDER, compat_dates=True)
 
 
+@register("j1_silver_otodom_compat")
+def j1_silver_otodom_compat(spark, sf_dir):
+    return bronze_to_silver(bronze(spark, sf_dir, "otodom"), "otodom", order_by=FIXTURE_ORDER, compat_dates=True)
+
+
 @register("j2_analytics")
 def j2_analytics(spark, sf_dir):
     return price_analytics(silver_both(spark, sf_dir))
@@ -133,6 +138,7 @@ def p1_null_tokens(spark, sf_dir):
 
 @register("p2_drop_all_null")
 def p2_drop_all_null(spark, sf_dir):
+    """Three cells of the otodom rows that may all be placeholders; a whole row never is, as its source is set."""
     return drop_all_null(null_tokens(bronze(spark, sf_dir, "otodom").select("floor", "year_built", "lift")))
 
 
@@ -163,7 +169,13 @@ def p16_source_filter(spark, sf_dir):
 
 @register("s1_read_table")
 def s1_read_table(spark, sf_dir):
-    """Read by path with the format named and an explicit schema: only those columns are scanned."""
+    """A whole table read by path with the format named."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", "parquet")
+
+
+@register("s6_read_schema")
+def s6_read_schema(spark, sf_dir):
+    """S6 with an explicit schema: only those columns are scanned."""
     schema = "l_orderkey bigint, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz"
     return read_table(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", "parquet", schema=schema)
 
@@ -414,10 +426,10 @@ def x13_bronze_otodom(spark, sf_dir):
 
 # ------------------------------------------------------------- price model
 
-# Search used by the registered training query: the grid's shape, fewer and
-# smaller trees so the check finishes in seconds (library default: DEFAULT_GRID, 10 draws).
-QUERY_GRID = {"stepSize": (0.1, 0.2), "maxDepth": (3, 5), "maxIter": (10, 20)}
-QUERY_DRAWS = 2
+# One plain fit of the price model (M6), so that a check takes seconds.  The search
+# (M7, M10) is ``ml.train_price_model``; with DEFAULT_GRID it fits 30 models of
+# 100 to 900 trees and is not registered.
+PLAIN_TREES = {"stepSize": 0.1, "maxDepth": 5, "maxIter": 20}
 
 
 def gold(spark, sf_dir, passes: int = 1):
@@ -431,6 +443,11 @@ def p19_features(spark, sf_dir):
     return split_target(gold(spark, sf_dir))[0]
 
 
+@register("p19_target")
+def p19_target(spark, sf_dir):
+    return split_target(gold(spark, sf_dir))[1]
+
+
 @register("p20_drop_null_columns")
 def p20_drop_null_columns(spark, sf_dir):
     return drop_null_columns(ml_dataset(silver(spark, sf_dir, "olx")))
@@ -458,16 +475,22 @@ def a5_categories(spark, sf_dir):
     return ml.category_table(g, [c for c in categorical_columns(g)])
 
 
+def _city_mean_rmse(g):
+    """RMSE of a per-city mean price.
+
+    No forced broadcast: AQE measures the per-city side after its shuffle and
+    broadcasts it only under spark.sql.adaptive.autoBroadcastJoinThreshold;
+    beyond that it stays a sort-merge join, whose hot city AQE splits (skew join).
+    """
+    city_mean = g.groupBy("city").agg(F.avg("price_total").alias("prediction"))
+    scored = g.join(city_mean, g["city"].eqNullSafe(city_mean["city"])).drop(city_mean["city"])
+    return ml.rmse(scored)
+
+
 @register("a6_rmse")
 def a6_rmse(spark, sf_dir):
     """RMSE of a per-city mean price, as a baseline score."""
-    g = gold(spark, sf_dir, passes=2)
-    city_mean = g.groupBy("city").agg(F.avg("price_total").alias("prediction"))
-    # No forced broadcast: AQE measures the per-city side after its shuffle and
-    # broadcasts it only under spark.sql.adaptive.autoBroadcastJoinThreshold;
-    # beyond that it stays a sort-merge join, whose hot city AQE splits (skew join).
-    scored = g.join(city_mean, g["city"].eqNullSafe(city_mean["city"])).drop(city_mean["city"])
-    return ml.rmse(scored).select(F.round("rmse", 4).alias("rmse"))
+    return _city_mean_rmse(gold(spark, sf_dir, passes=2)).select(F.round("rmse", 4).alias("rmse"))
 
 
 def _fitted(spark, sf_dir):
@@ -499,8 +522,7 @@ def m4_ordinal_encode(spark, sf_dir):
     g, imp = _fitted(spark, sf_dir)
     cats = [c for c in categorical_columns(g)]
     x = ml.as_categories(imp.transform(g), cats)
-    enc = ml.ordinal_encoder(cats).fit(x)
-    return enc.transform(x).select("price_total", *[f"{c}_idx" for c in cats])
+    return ml.fit_encoder(x, cats).transform(x).select("price_total", *[f"{c}_idx" for c in cats])
 
 
 @register("m8_folds")
@@ -508,19 +530,38 @@ def m8_folds(spark, sf_dir):
     return ml.assign_folds(gold(spark, sf_dir, passes=2)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("m8_folds_by_price")
+def m8_folds_by_price(spark, sf_dir):
+    """Rows per price range and whether the folds share them evenly: a range is a run of neighbours
+    in price, so no fold may have two rows more of it than another."""
+    f = ml.assign_folds(gold(spark, sf_dir, passes=2))
+    n = [F.count_if(F.col("fold") == k) for k in range(3)]
+    even = F.greatest(*n) - F.least(*n) <= 1
+    price_range = F.floor(F.col("price_total") / 20000).cast("long").alias("price_range")
+    return f.groupBy(price_range).agg(F.count(F.lit(1)).alias("n"), even.alias("even"))
+
+
 @register("m9_predict_no_model")
 def m9_predict_no_model(spark, sf_dir):
     return ml.predict(None, gold(spark, sf_dir))
 
 
-@register("m10_train_save_score")
-def m10_train_save_score(spark, sf_dir):
-    """Train (search over stratified folds), save (S7), load (S8), score every gold row (M9)."""
+@register("m6_fit_and_score")
+def m6_fit_and_score(spark, sf_dir):
+    """Fit PLAIN_TREES on all gold rows, save (S7), load (S8) and score every row (M9); one row of checks:
+    rows scored, finite scores, and whether they beat the per-city mean price."""
     g = gold(spark, sf_dir, passes=2)
-    fit = ml.train_price_model(g, grid=QUERY_GRID, n_iter=QUERY_DRAWS, stored=True)  # g is checkpointed
     path = scratch_path(spark, "price-model")
-    ml.save_model(fit.model, path)
-    return ml.predict(ml.load_model(path), g).select("price_total", "prediction")
+    ml.save_model(ml.prepare(g, stored=True).fit(PLAIN_TREES, vocab.SEARCH_SEED), path)
+    scored = ml.predict(ml.load_model(path), g).select("price_total", "prediction")
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+    checks = scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(finite).alias("n_finite"),
+        F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("price_total"), 2))).alias("error"),
+    )
+    return checks.join(_city_mean_rmse(g).withColumnRenamed("rmse", "baseline")).select(
+        "n", "n_finite", (F.col("error") < F.col("baseline")).alias("beats_city_mean")
+    )
 
 
 # ------------------------------------------------------- ingest and whole run
@@ -534,27 +575,60 @@ def _land_fixture(spark, sf_dir, root, site):
     land_batch(rows, LakePaths(root), site)
 
 
-@register("s4_stream_ingest")
-def s4_stream_ingest(spark, sf_dir):
-    """Land the OLX-like rows, ingest them twice (the rerun must add nothing), read bronze back."""
+def _ingested_twice(spark, sf_dir, site):
+    """Land a site's rows, ingest them twice (the rerun must add nothing), read bronze back."""
     from offerlake.streaming.ingest import ingest
 
     root = scratch_path(spark, "lake")
-    _land_fixture(spark, sf_dir, root, "olx")
-    ingest(spark, root, sites=("olx",))
-    ingest(spark, root, sites=("olx",))
-    return read_table(spark, LakePaths(root).bronze("olx"))
+    _land_fixture(spark, sf_dir, root, site)
+    ingest(spark, root, sites=(site,))
+    ingest(spark, root, sites=(site,))
+    return read_table(spark, LakePaths(root).bronze(site))
 
 
-@register("j4_run_pipeline")
-def j4_run_pipeline(spark, sf_dir):
-    """Whole run into a scratch lake: ingest both sites, silver, both gold tables, model.
-    Returns the analytics gold table as written."""
+@register("s4_stream_ingest")
+def s4_stream_ingest(spark, sf_dir):
+    return _ingested_twice(spark, sf_dir, "olx")
+
+
+@register("s4_stream_ingest_otodom")
+def s4_stream_ingest_otodom(spark, sf_dir):
+    return _ingested_twice(spark, sf_dir, "otodom")
+
+
+@register("s2_append_twice")
+def s2_append_twice(spark, sf_dir):
+    """Silver appended twice, as the source job does it: every row is there twice."""
+    p = LakePaths(scratch_path(spark, "lake"))
+    for _ in range(2):
+        write_silver(silver(spark, sf_dir, "olx"), p, append=True)
+    return read_table(spark, p.silver)
+
+
+def _whole_run(spark, sf_dir):
+    """Ingest, silver of both sites and both gold tables, without the model search; the written paths."""
     from offerlake.streaming.ingest import ingest
 
     root = scratch_path(spark, "lake")
     for site in ("olx", "otodom"):
         _land_fixture(spark, sf_dir, root, site)
     ingest(spark, root)
-    run_pipeline(spark, root, train_kwargs={"grid": QUERY_GRID, "n_iter": QUERY_DRAWS})
-    return read_table(spark, LakePaths(root).gold_analytics)
+    return run_pipeline(spark, root, train=False)
+
+
+@register("j4_run_pipeline")
+def j4_run_pipeline(spark, sf_dir):
+    """The analytics gold table as written by a whole run (model search left out, see PLAIN_TREES)."""
+    return read_table(spark, _whole_run(spark, sf_dir)["analytics"])
+
+
+@register("j4_silver")
+def j4_silver(spark, sf_dir):
+    """The silver table as written by a whole run."""
+    return read_table(spark, _whole_run(spark, sf_dir)["silver"])
+
+
+@register("j4_ml")
+def j4_ml(spark, sf_dir):
+    """The ML gold table as written by a whole run."""
+    return read_table(spark, _whole_run(spark, sf_dir)["ml"])

@@ -2,8 +2,9 @@
 (SURVEY P17-P20, A2-A6, M1-M10, S6-S8).
 
 Everything stays in Spark: fitted statistics are one-row aggregates (a mean
-or a mode per column), the encoder is Spark ML's ``StringIndexer``, the
-model ``GBTRegressor`` under ``CrossValidator`` with a fold column.
+or a mode per column), the encoder is a table of categories ranked by a
+distributed sort, the model a ``GBTRegressor`` searched over a fold column.
+Codes are plain numbers, so a column may have any number of categories.
 """
 
 from __future__ import annotations
@@ -12,13 +13,13 @@ import itertools
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
@@ -65,23 +66,37 @@ def features_frame(gold: DataFrame, target: str = TARGET) -> tuple[DataFrame, li
 def mode_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A4: most frequent non-NULL value of every column; a tie goes to the smallest value.
 
-    The columns are stacked into (column, value) pairs and counted in one
-    partially aggregated pass; the winner per column is a min over
-    struct(-count, value), so no column is ever collected whole.  Values are
-    compared in their own type (numbers as numbers, False < True).
+    Boolean columns are counted by one row of sums.  The others are stacked
+    into (column, value) pairs and counted in one partially aggregated pass;
+    the winner per column is a min over struct(-count, value), so no column is
+    ever collected whole.  Values are compared in their own type (numbers as
+    numbers, False < True).
     """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-
-    def entry(c: str) -> Column:
-        t = dtypes[c]
-        num = F.col(c).cast("double") if isinstance(t, (NumericType, BooleanType)) else F.lit(None).cast("double")
-        txt = F.lit(None).cast("string") if isinstance(t, (NumericType, BooleanType)) else F.col(c).cast("string")
-        return F.struct(F.lit(c).alias("column"), num.alias("num"), txt.alias("txt"), F.col(c).cast("string").alias("value"))
-
-    pairs = df.select(F.explode(F.array(*[entry(c) for c in columns])).alias("p")).select("p.*")
-    counts = pairs.filter(F.col("value").isNotNull()).groupBy("column", "num", "txt", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("neg"), "num", "txt", "value", "n")).alias("b"))
-    return best.select("column", F.col("b.value").alias("value"), F.col("b.n").alias("n"))
+    flags = [c for c in columns if isinstance(dtypes[c], BooleanType)]
+    others = [c for c in columns if c not in flags]
+    parts = []
+    if others:
+
+        def entry(c: str) -> Column:
+            numeric = isinstance(dtypes[c], NumericType)
+            num = F.col(c).cast("double") if numeric else F.lit(None).cast("double")
+            txt = F.lit(None).cast("string") if numeric else F.col(c).cast("string")
+            return F.struct(F.lit(c).alias("column"), num.alias("num"), txt.alias("txt"), F.col(c).cast("string").alias("value"))
+
+        pairs = df.select(F.explode(F.array(*[entry(c) for c in others])).alias("p")).select("p.*")
+        pairs = pairs.filter(F.col("value").isNotNull())
+        counts = pairs.groupBy("column", "num", "txt", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("neg"), "num", "txt", "value", "n")).alias("b"))
+        parts.append(best.select("column", F.col("b.value").alias("value"), F.col("b.n").alias("n")))
+    if flags:
+        sums = df.agg(*[F.struct(F.count_if(F.col(c)).alias("t"), F.count_if(~F.col(c)).alias("f")).alias(c) for c in flags])
+        each = sums.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in flags])).alias("x"))
+        t, f = F.col("x.n.t"), F.col("x.n.f")
+        value = F.when(t > f, F.lit("true")).otherwise(F.lit("false"))
+        flagged = each.filter((t > 0) | (f > 0)).select("x.column", value.alias("value"), F.greatest(t, f).alias("n"))
+        parts.append(flagged)
+    return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
 def mean_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
@@ -134,32 +149,71 @@ def as_categories(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in cats if not isinstance(dtypes[c], StringType)})
 
 
-def ordinal_encoder(cats: Sequence[str]) -> StringIndexer:
-    """M4: categories sorted ascending -> 0, 1, ...; an unseen category is an error."""
-    return StringIndexer(
-        inputCols=list(cats),
-        outputCols=[f"{c}_idx" for c in cats],
-        stringOrderType="alphabetAsc",
-        handleInvalid="error",
-    )
-
-
-def category_table(df: DataFrame, cats: Sequence[str]) -> DataFrame:
+def category_table(df: DataFrame, cats: Sequence[str], also: Mapping[str, str] | None = None) -> DataFrame:
     """A5: (column, category, index) with categories sorted per column.
 
     The distinct (column, category) pairs are ranked by a distributed sort
     (``global_rank``), so no column's categories have to fit in one task;
     a category's index is its rank minus the rank of its column's first
-    category (one row per column, broadcast).
+    category (one row per column, broadcast).  ``also`` adds one category to
+    a column (the value that imputation writes).
     """
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cats])).alias("p")).select("p.*")
-    ranked = global_rank(pairs.filter(F.col("category").isNotNull()).distinct(), "column", "category")
+    entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in cats]
+    pairs = df.select(F.explode(F.array(*entries)).alias("p")).select("p.*").filter(F.col("category").isNotNull())
+    if also:
+        pairs = pairs.unionAll(df.sparkSession.createDataFrame(sorted(also.items()), "column string, category string"))
+    ranked = global_rank(pairs.distinct(), "column", "category")
     start = ranked.groupBy("column").agg(F.min("_rank").alias("_start"))
     return ranked.join(F.broadcast(start), "column").select(
         "column", "category", (F.col("_rank") - F.col("_start")).cast("double").alias("index")
     )
 
 
+#: Columns of up to so many categories are encoded by a list in the plan, of up to
+#: so many by a broadcast table, larger ones by a shuffled join.
+LISTED_CATEGORIES = 64
+BROADCAST_CATEGORIES = 20_000
+
+
+@dataclass
+class Encoder:
+    """M4: categories sorted ascending -> 0, 1, ... as plain numbers; an unseen category is an error."""
+
+    table: DataFrame  # (column, category, index), materialised
+    columns: list[str]
+
+    def __post_init__(self):
+        n = {r["column"]: r["count"] for r in self.table.groupBy("column").count().collect()}  # one row per column
+        self.sizes = {c: n.get(c, 0) for c in self.columns}
+        short = [c for c in self.columns if self.sizes[c] <= LISTED_CATEGORIES]
+        self.lists: dict[str, list[str]] = {c: [] for c in short}
+        if short:
+            for r in self.table.filter(F.col("column").isin(short)).orderBy("column", "index").collect():
+                self.lists[r["column"]].append(r["category"])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        codes = {}
+        for c in self.columns:
+            if c in self.lists:
+                listed = F.array(*[F.lit(x) for x in self.lists[c]]).cast("array<string>")
+                codes[c] = F.nullif(F.array_position(listed, F.col(c)), F.lit(0)) - 1
+            else:
+                t = self.table.filter(F.col("column") == c).select(F.col("category").alias("_c"), F.col("index").alias(f"_i_{c}"))
+                t = F.broadcast(t) if self.sizes[c] <= BROADCAST_CATEGORIES else t
+                df = df.join(t, F.col(c) == F.col("_c"), "left").drop("_c")
+                codes[c] = F.col(f"_i_{c}")
+        out = {}
+        for c, code in codes.items():
+            error = F.raise_error(F.concat(F.lit(f"unseen category of {c}: "), F.col(c)))
+            out[f"{c}_idx"] = F.when(F.col(c).isNotNull() & code.isNull(), error.cast("double")).otherwise(code.cast("double"))
+        return df.withColumns(out).drop(*[f"_i_{c}" for c in self.columns])
+
+
+def fit_encoder(df: DataFrame, cats: Sequence[str], also: Mapping[str, str] | None = None) -> Encoder:
+    """M4: an encoder over all categories of ``df``."""
+    return Encoder(materialize(category_table(df, cats, also)), list(cats))
+
+
 def assembler(cats: Sequence[str], numeric: Sequence[str]) -> VectorAssembler:
     """M5: encoded categoricals first, then the remaining (numeric) columns passed through."""
     return VectorAssembler(inputCols=[f"{c}_idx" for c in cats] + list(numeric), outputCol="features", handleInvalid="keep")
@@ -223,14 +277,72 @@ def global_rank(df: DataFrame, *order: str) -> DataFrame:
     )
 
 
+@dataclass
+class PriceModel:
+    """Imputation values, encoder and the fitted Spark ML stages (assembler, trees)."""
+
+    imputer: Imputer
+    encoder: Encoder
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x = as_categories(self.imputer.transform(df), self.encoder.columns)
+        return self.pipeline.transform(self.encoder.transform(x))
+
+
 @dataclass
 class FitResult:
-    model: PipelineModel
+    model: PriceModel
     best_params: dict
     best_rmse: float
     candidates: list[tuple[dict, float]]
 
 
+@dataclass
+class Prepared:
+    """Training rows and what is known of them before any fit: names, and categories of all rows."""
+
+    df: DataFrame
+    target: str
+    encoder: Encoder
+    numeric: list[str]
+
+    def imputer(self, rows: DataFrame) -> Imputer:
+        return fit_imputer(rows, target=self.target)
+
+    def vectors(self, rows: DataFrame, imputer: Imputer) -> DataFrame:
+        """M1-M5: target and feature vector of imputed, encoded rows."""
+        x = self.encoder.transform(as_categories(imputer.transform(rows), self.encoder.columns))
+        return self.assembler().transform(x).select(self.target, "features")
+
+    def assembler(self) -> VectorAssembler:
+        return assembler(self.encoder.columns, self.numeric)
+
+    def trees(self, params: Mapping[str, object], seed: int) -> GBTRegressor:
+        """M6: gradient-boosted trees on the assembled features."""
+        return GBTRegressor(labelCol=self.target, featuresCol="features", seed=seed, **params)
+
+    def fit(self, params: Mapping[str, object], seed: int) -> PriceModel:
+        """One model on all rows."""
+        imputer = self.imputer(self.df)
+        stored = self.vectors(self.df, imputer).persist(StorageLevel.DISK_ONLY)
+        try:
+            model = self.trees(params, seed).fit(stored)
+        finally:
+            stored.unpersist()
+        return PriceModel(imputer, self.encoder, PipelineModel([self.assembler(), model]))
+
+
+def prepare(gold: DataFrame, target: str = TARGET, stored: bool = False) -> Prepared:
+    """P17-P20 and the categories.  The categories are a schema, not a statistic of the
+    target: they are read from all rows, so a fold may lack some of them."""
+    df, cats = features_frame(gold if stored else materialize(gold), target)
+    df = df.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
+    fills = {c: v for c, v in fit_imputer(df.limit(0), mean_cols=(), mode_cols=MODE_COLUMNS, target=target).fills.items() if v is not None}
+    encoder = fit_encoder(df, cats, {c: v for c, v in fills.items() if c in cats})
+    return Prepared(df, target, encoder, [c for c in df.columns if c not in cats and c != target])
+
+
 def train_price_model(
     gold: DataFrame,
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
@@ -241,71 +353,57 @@ def train_price_model(
     target: str = TARGET,
     stored: bool = False,
 ) -> FitResult:
-    """P17-P20, imputation (M1-M3), encoding (M4), assembly (M5), GBT (M6),
-    random search (M7) over stratified folds (M8) by RMSE (A6), refit on all rows.
+    """P17-P20, encoding (M4), then imputation (M1-M3), assembly (M5) and trees (M6)
+    searched (M7) over stratified folds (M8) by RMSE (A6); refit on all rows.
 
-    The fitted imputation is applied before the search, as its statistics
-    are one-row aggregates; the indexer, assembler and trees are fitted per
-    fold inside the cross-validator.  The passes over ``gold`` read one
+    Means and modes are fitted inside each fold, on its training rows only.  A
+    fold's vectors are made once and stored on executors' disks (recomputed if
+    one is lost); the candidates differ in their trees alone and read that
+    copy, ``parallelism`` of them at a time.  The passes over ``gold`` read one
     stored copy: pass ``stored=True`` when it already is one (read from a
     written table, or checkpointed), otherwise it is checkpointed first.
     """
-    df, cats = features_frame(gold if stored else materialize(gold), target)
-    df = df.filter(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double"))
-    imputer = fit_imputer(df, target=target)
-    df = as_categories(imputer.transform(df), cats)
-    numeric = [c for c in df.columns if c not in cats and c != target]
-    gbt = GBTRegressor(labelCol=target, featuresCol="features", seed=seed)
-    pipe = Pipeline(stages=[ordinal_encoder(cats), assembler(cats, numeric), gbt])
+    p = prepare(gold, target, stored)
     params = sample_params(grid, n_iter, seed)
-    maps = [{getattr(gbt, k): v for k, v in p.items()} for p in params]
-    evaluator = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="rmse")
-    cv = CrossValidator(
-        estimator=pipe,
-        estimatorParamMaps=maps,
-        evaluator=evaluator,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    folded = assign_folds(df, folds, target, seed)
-    cv_model = cv.fit(folded)
-    scores = list(zip(params, cv_model.avgMetrics))
-    best_i = int(np.argmin(cv_model.avgMetrics))
-    return FitResult(
-        model=PriceModel(imputer, cats, cv_model.bestModel),
-        best_params=params[best_i],
-        best_rmse=float(cv_model.avgMetrics[best_i]),
-        candidates=scores,
-    )
-
-
-@dataclass
-class PriceModel:
-    """Imputation values + categorical names + the fitted Spark ML pipeline."""
-
-    imputer: Imputer
-    categorical: list[str]
-    pipeline: PipelineModel
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        x = as_categories(self.imputer.transform(df), self.categorical)
-        return self.pipeline.transform(x)
+    folded = assign_folds(p.df, folds, target, seed)
+    scores = [[] for _ in params]
+    for f in range(folds):
+        train, test = (folded.filter(side).drop("fold") for side in (F.col("fold") != f, F.col("fold") == f))
+        imputer = p.imputer(train)
+        fit_on, try_on = (p.vectors(x, imputer).persist(StorageLevel.DISK_ONLY) for x in (train, test))
+
+        def error(i: int) -> float:
+            scored = p.trees(params[i], seed).fit(fit_on).transform(try_on)
+            return rmse(scored, label=target).first()[0]
+
+        pool = ThreadPool(min(parallelism, len(params)))
+        try:
+            for i, e in enumerate(pool.map(inheritable_thread_target(folded.sparkSession)(error), range(len(params)))):
+                scores[i].append(e)
+        finally:
+            pool.close()
+            fit_on.unpersist()
+            try_on.unpersist()
+    means = [float(np.mean(x)) for x in scores]
+    best = int(np.argmin(means))
+    return FitResult(p.fit(params[best], seed), params[best], means[best], list(zip(params, means)))
 
 
 def save_model(model: PriceModel, path: str) -> None:
-    """The pipeline in Spark ML's format, the fitted fills beside it as a one-row table."""
+    """The stages in Spark ML's format; the fills as a one-row table and the categories as a table beside it."""
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
     spark = SparkSession.getActiveSession()
-    meta = json.dumps({"fills": model.imputer.fills, "categorical": model.categorical})
+    meta = json.dumps({"fills": model.imputer.fills, "categorical": model.encoder.columns})
     spark.createDataFrame([(meta,)], "meta string").write.mode("overwrite").json(f"{path}/meta")
+    model.encoder.table.write.mode("overwrite").parquet(f"{path}/categories")
 
 
 def load_model(path: str) -> PriceModel:
     """Load a model saved by ``save_model``."""
     spark = SparkSession.getActiveSession()
     meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
-    return PriceModel(Imputer(meta["fills"]), meta["categorical"], PipelineModel.load(f"{path}/pipeline"))
+    encoder = Encoder(spark.read.parquet(f"{path}/categories"), meta["categorical"])
+    return PriceModel(Imputer(meta["fills"]), encoder, PipelineModel.load(f"{path}/pipeline"))
 
 
 def predict(model: PriceModel | None, df: DataFrame) -> DataFrame:

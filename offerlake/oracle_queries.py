@@ -28,6 +28,13 @@ oracle(
     "select * from silver_c",
 )
 
+_COMPAT5 = o.otodom_exprs() | {c: _COMPAT[c] for c in ("offer_date", "date_scraped")}
+oracle(
+    "j1_silver_otodom_compat",
+    f"with {o.otodom_silver_ctes().split(', silver_otodom as')[0]}, silver_c as ({o.fit_silver('ot_dd', _COMPAT5)}) "
+    "select * from silver_c",
+)
+
 _BOTH = (
     f"with {o.olx_silver_ctes()}, {o.otodom_silver_ctes()}, "
     "silver as (select * from silver_olx union all select * from silver_otodom)"
@@ -115,7 +122,8 @@ oracle(
 )
 oracle("p11_drop_consumed", f"with {_F5} select * exclude (media_types, lift, equipment, market, outdoor, parking, security) from f5")
 oracle("p16_source_filter", f"with {_U} select * from u where contains(offer_source, 'olx')")
-oracle("s1_read_table", "select l_orderkey, l_linenumber, l_extendedprice, l_shipdate from lineitem")
+oracle("s1_read_table", "select * from lineitem")
+oracle("s6_read_schema", "select l_orderkey, l_linenumber, l_extendedprice, l_shipdate from lineitem")
 oracle("s5_union_evolving", f"with {_U} select * from u")
 
 _STD4 = f"{_F4}, {o.standardized_cte('f4', o.F4_STRINGS, ('date_scraped', 'seq'))}"
@@ -304,6 +312,7 @@ _CATS = [c for c in ML_FEATURES if _TYPES[c] in ("varchar", "boolean")]
 _CONST = [c for c in ML_FEATURES if _TYPES[c] == "varchar" and c not in _MODE]
 
 oracle("p19_features", f"{_GOLD} select * exclude (price_total) from gold")
+oracle("p19_target", f"{_GOLD} select price_total from gold")
 oracle("a2_non_null_counts", f"{_GOLD} select {', '.join(f'count({c}) as {c}' for c in ML_FEATURES)} from gold")
 oracle("a3_mean", f"{_GOLD} select {', '.join(f'round(avg({c}), 4) as {c}_mean' for c in _MEAN)} from gold")
 
@@ -338,7 +347,9 @@ oracle(
     "from gold join m on gold.city is not distinct from m.city",
 )
 
-_MEAN_FILL = {c: f"coalesce({c}, (select cast(avg({c}) as float) from gold))" for c in _MEAN}
+# The means are made once; as subqueries of every row's projection they made the check run out of time.
+_MEANS = "means as materialized (select " + ", ".join(f"cast(avg({c}) as float) as {c}_mean" for c in _MEAN) + " from gold)"
+_MEAN_FILL = {c: f"coalesce({c}, (select {c}_mean from means))" for c in _MEAN}
 _MODE_FILL = {
     c: f"coalesce({c}, (select cast(value as {_TYPES[c]}) from modes where \"column\" = {o.q(c)}))" for c in _MODE
 }
@@ -349,12 +360,12 @@ def _replace(fills: dict) -> str:
     return "select * replace (" + ", ".join(f"{e} as {c}" for c, e in fills.items()) + ") from gold"
 
 
-oracle("m1_impute_mean", f"{_GOLD} {_replace(_MEAN_FILL)}")
+oracle("m1_impute_mean", f"{_GOLD}, {_MEANS} {_replace(_MEAN_FILL)}")
 oracle("m2_impute_mode", f"{_GOLD}, {_MODES} {_replace(_MODE_FILL)}")
 oracle("m3_impute_const", f"{_GOLD} {_replace(_CONST_FILL)}")
 oracle(
     "m4_ordinal_encode",
-    f"{_GOLD}, {_MODES}, imp as ({_replace(_MEAN_FILL | _MODE_FILL | _CONST_FILL)}) select price_total, "
+    f"{_GOLD}, {_MEANS}, {_MODES}, imp as ({_replace(_MEAN_FILL | _MODE_FILL | _CONST_FILL)}) select price_total, "
     + ", ".join(
         f"cast(dense_rank() over (order by cast({c} as varchar)) - 1 as double) as {c}_idx" for c in _CATS
     )
@@ -367,6 +378,12 @@ oracle(
     f"{_GOLD} select fold, count(*) as n from "
     "(select cast((row_number() over () - 1) % 3 as integer) as fold from gold) group by fold",
 )
+# Neighbours in price are dealt to different folds, so every price range is shared evenly.
+oracle(
+    "m8_folds_by_price",
+    f"{_GOLD} select cast(floor(price_total / 20000) as bigint) as price_range, count(*) as n, true as even from gold group by 1",
+)
+oracle("m6_fit_and_score", f"{_GOLD} select count(*) as n, count(*) as n_finite, true as beats_city_mean from gold")
 oracle("m9_predict_no_model", f"{_GOLD} select *, cast({vocab.NO_MODEL_PREDICTION} as double) as prediction from gold")
 
 # ------------------------------------------------------- ingest and whole run
@@ -374,13 +391,24 @@ oracle("m9_predict_no_model", f"{_GOLD} select *, cast({vocab.NO_MODEL_PREDICTIO
 # Two ingest runs over the landed OLX rows: bronze holds each row exactly once.
 oracle("s4_stream_ingest", o.bronze_rows(o.F4, "olx", o.F4_COLUMNS))
 
+oracle("s4_stream_ingest_otodom", o.bronze_rows(o.F5, "otodom", o.F5_COLUMNS))
+oracle(
+    "s2_append_twice",
+    f"with {o.olx_silver_ctes()}, s as (select * from silver_olx) select * from s union all select * from s",
+)
+
 # The whole run: both sites through bronze (no seq column, so the run's dedup
 # order is date_scraped with ties broken by the bronze columns), silver, then
 # the analytics gold table as written.
-oracle(
-    "j4_run_pipeline",
+_RUN = (
     f"with {o.olx_silver_ctes(bronze=True)}, {o.otodom_silver_ctes(bronze=True)}, "
     "silver as (select * from silver_olx union all select * from silver_otodom) "
+)
+oracle("j4_silver", f"{_RUN} select * from silver")
+oracle("j4_ml", f"{_RUN} select {', '.join(ML_FEATURES)} from silver where price_total is not null")
+oracle(
+    "j4_run_pipeline",
+    f"{_RUN}"
     "select offer_date, city, price_total, price_per_msq, size from silver "
     "where price_total is not null and price_per_msq is not null",
 )

@@ -36,15 +36,54 @@ def test_imputer_and_all_null_column(spark, ten):
     assert set(cats) == {"city", "has_lift", "building_type", "heating_type"}
 
 
-def test_encoder_rejects_unseen(spark, ten):
-    enc = ml.ordinal_encoder(["city"]).fit(ten)
-    idx = {r["city"]: r["city_idx"] for r in enc.transform(ten).select("city", "city_idx").distinct().collect()}
-    assert idx == {"kraków": 0.0, "warszawa": 1.0}
+def codes(enc, df):
+    return {r["city"]: r["city_idx"] for r in enc.transform(df).select("city", "city_idx").distinct().collect()}
+
+
+@pytest.mark.parametrize("listed,broadcast", [(64, 20_000), (0, 20_000), (0, 0)])
+def test_encoder_codes_and_rejects_unseen(spark, ten, monkeypatch, listed, broadcast):
+    monkeypatch.setattr(ml, "LISTED_CATEGORIES", listed)
+    monkeypatch.setattr(ml, "BROADCAST_CATEGORIES", broadcast)
+    enc = ml.fit_encoder(ten, ["city"], {"city": "MISSING"})
+    assert codes(enc, ten) == {"kraków": 1.0, "warszawa": 2.0}
+    assert codes(enc, spark.createDataFrame([(None,)], "city string")) == {None: None}
     unseen = spark.createDataFrame([("gdańsk",)], "city string")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="unseen category"):
         enc.transform(unseen).collect()
 
 
+def priced(spark, n=400, cities=45):
+    """Prices by city, more cities than a tree's bins, one city with a single row, some NULLs."""
+    rows = [
+        (100.0 + 10 * (i % cities) + i % 3, f"city{i % cities:02}" if i else "solo", float(20 + i % 50) if i % 9 else None,
+         i % 2 == 0 if i % 7 else None, "gazowe" if i % 4 else None)
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, "price_total double, city string, size float, has_lift boolean, heating_type string")
+
+
+def test_training_takes_any_number_of_categories_and_rare_ones(spark, tmp_root):
+    df = priced(spark)
+    fit = ml.train_price_model(df, grid={"stepSize": (0.2,), "maxDepth": (4,), "maxIter": (5, 8)}, n_iter=2)
+    spread = df.agg(F.stddev("price_total")).first()[0]
+    assert fit.best_rmse < spread and len(fit.candidates) == 2
+    got = ml.predict(fit.model, df)
+    assert got.filter(F.col("prediction").isNull() | F.isnan("prediction")).count() == 0
+    assert ml.rmse(got).first()[0] < spread
+
+
+def test_imputation_is_fitted_on_each_folds_training_rows(spark, monkeypatch):
+    seen, fit = [], ml.fit_imputer
+
+    def noted(df, **kw):
+        seen.append(df.count())
+        return fit(df, **kw)
+
+    monkeypatch.setattr(ml, "fit_imputer", noted)
+    ml.train_price_model(priced(spark, 90, 5), grid={"stepSize": (0.1,), "maxDepth": (2,), "maxIter": (2,)}, n_iter=1)
+    assert seen == [0, 60, 60, 60, 90]  # names of fills, three folds, the refit
+
+
 def test_folds_balanced_by_price(spark):
     df = spark.range(300).select((F.col("id") * 7 % 300).cast("double").alias("price_total"), F.col("id"))
     f = ml.assign_folds(df, 3)

@@ -68,7 +68,9 @@ def test_headline_plans_stay_distributed_and_jvm_side(spark, name):
     plan = executed_plan(E.queries()[name](spark, SF_SMALL))
     for node in PYTHON_NODES + PAIR_NODES:
         assert node not in plan, f"{name}: {node}"
-    assert "SinglePartition" not in plan, f"{name}: a shuffle into one partition"
+    # One row of partial sums from each task may meet in one place; rows of data may not.
+    for below in re.findall(r"Exchange SinglePartition[^\n]*\n([^\n]*)", plan):
+        assert "functions=[partial_" in below and "keys=[]" in below, f"{name}: a shuffle into one partition"
 
 
 def test_dedup_reduces_before_each_shuffle(spark):
