@@ -32,7 +32,7 @@ from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
 from offerlake.plans.pipeline import bronze_to_silver, run_pipeline, write_silver
 from offerlake.session import apply_query_conf, materialize, scratch_path
-from offerlake.sources import fixtures
+from offerlake.sources import fixtures, listing_pages
 from offerlake.sources.fixtures import FIXTURE_ORDER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -414,14 +414,92 @@ def s11_crawl_seeds(spark, sf_dir):
     return extract.crawl_seeds(pages(spark, sf_dir))
 
 
+CRAWLED_AT = "2024-01-22 10:00:00"
+
+
+def _extract(pages_df, **cols):
+    return pages_df.select("page_id", *[c.alias(n) for n, c in cols.items()])
+
+
+@register("x3_head_links")
+def x3_head_links(spark, sf_dir):
+    p = listing_pages.olx_pages(spark, sf_dir)
+    return _extract(p, canonical_url=extract.canonical_url(), short_description=extract.meta_description())
+
+
+@register("x4_links_by_anchor")
+def x4_links_by_anchor(spark, sf_dir):
+    """Links of the address anchors alone, on the site's own domain."""
+    p = listing_pages.otodom_pages(spark, sf_dir)
+    return extract.harvest_links(p, anchor=("aria-label", vocab.OTODOM_ADDRESS_LABEL), domains=("otodom.pl",))
+
+
+@register("x5_olx_details")
+def x5_olx_details(spark, sf_dir):
+    p = listing_pages.olx_pages(spark, sf_dir).withColumn("items", extract.olx_detail_items())
+    return _extract(p, **extract.olx_details(F.col("items")))
+
+
+@register("x6_olx_state")
+def x6_olx_state(spark, sf_dir):
+    p = listing_pages.olx_pages(spark, sf_dir).withColumn("state", extract.olx_state_json())
+    return _extract(p, **extract.olx_state_fields(F.col("state")))
+
+
+@register("x7_otodom_details")
+def x7_otodom_details(spark, sf_dir):
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("cells", extract.otodom_cells())
+    return _extract(p, **extract.otodom_details(F.col("cells")))
+
+
+@register("x8_otodom_ids")
+def x8_otodom_ids(spark, sf_dir):
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    return _extract(p, **extract.otodom_ids(F.col("doc")))
+
+
+@register("x9_otodom_images")
+def x9_otodom_images(spark, sf_dir):
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    return _extract(p, image_urls=extract.otodom_image_urls(F.col("doc")))
+
+
+@register("x10_otodom_prices")
+def x10_otodom_prices(spark, sf_dir):
+    return _extract(listing_pages.otodom_pages(spark, sf_dir), **extract.otodom_prices())
+
+
+@register("x11_otodom_dates")
+def x11_otodom_dates(spark, sf_dir):
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    return _extract(p, **extract.otodom_dates(F.col("doc")))
+
+
+@register("x12_olx_footer_and_images")
+def x12_olx_footer_and_images(spark, sf_dir):
+    p = listing_pages.olx_pages(spark, sf_dir)
+    return _extract(p, offer_id=extract.olx_offer_id(), image_urls=extract.olx_image_urls())
+
+
 @register("x13_bronze_olx")
 def x13_bronze_olx(spark, sf_dir):
-    return extract.olx_bronze(pages(spark, sf_dir))
+    return extract.olx_bronze(listing_pages.olx_pages(spark, sf_dir), F.lit(CRAWLED_AT))
 
 
 @register("x13_bronze_otodom")
 def x13_bronze_otodom(spark, sf_dir):
-    return extract.otodom_bronze(pages(spark, sf_dir))
+    return extract.otodom_bronze(listing_pages.otodom_pages(spark, sf_dir), F.lit(CRAWLED_AT))
+
+
+@register("x13_raw_pages_olx")
+def x13_raw_pages_olx(spark, sf_dir):
+    """Pages that are no listings: a title, NULLs and the constants."""
+    return extract.olx_bronze(pages(spark, sf_dir), F.lit(CRAWLED_AT)).select("page_id", "offer_source", "title", "offer_id", "price_total", "primary_market", "image_urls")
+
+
+@register("x13_raw_pages_otodom")
+def x13_raw_pages_otodom(spark, sf_dir):
+    return extract.otodom_bronze(pages(spark, sf_dir), F.lit(CRAWLED_AT)).select("page_id", "offer_source", "title", "offer_id", "price_total", "image_urls")
 
 
 # ------------------------------------------------------------- price model

@@ -30,7 +30,7 @@ def _lit(s: str) -> Column:
 
 
 def nonempty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def unescape(c: ColumnOrName) -> Column:
@@ -85,8 +85,12 @@ def inner(rest: Column, tag: str) -> Column:
 
 def element_inner(html: ColumnOrName, tag: str, attr: str | None = None, value: str | None = None) -> Column:
     """Inner markup of the first ``<tag attr="value">``, nested elements of its name included; NULL if absent."""
-    rest = F.regexp_extract(_c(html), rf"(?s){open_tag(tag, attr, value)}(.*)$", 1)
-    return F.when(_c(html).rlike(open_tag(tag, attr, value)), inner(rest, tag))
+    start = open_tag(tag, attr, value)
+
+    def of(h: Column) -> Column:
+        return F.when(h.rlike(start), inner(F.regexp_extract(h, rf"(?s){start}(.*)$", 1), tag))
+
+    return F.transform(F.array(_c(html)), of)[0]  # the page may be an expression: made once
 
 
 def all_inner(html: ColumnOrName, tag: str) -> Column:

@@ -239,9 +239,10 @@ def olx_image_urls(h: str = "html") -> Column:
 def olx_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "html") -> DataFrame:
     """X13 for OLX: one F1 bronze row per page."""
     crawled = crawled_at if crawled_at is not None else F.current_timestamp()
-    items = olx_detail_items(h)
-    d = olx_details(items)
-    st = olx_state_fields(olx_state_json(h))
+    # What several columns read is made once, in a projection below theirs.
+    pages = pages.withColumns({"__items": olx_detail_items(h), "__state": olx_state_json(h)})
+    d = olx_details(F.col("__items"))
+    st = olx_state_fields(F.col("__state"))
     posted = H.direct_text(h, "span", "data-cy", "ad-posted-at")
     posted = F.replace(posted, F.lit("o "), F.lit(""))
     offer_date = F.when(posted.contains(vocab.TODAY_WORD), posted).otherwise(
@@ -285,9 +286,31 @@ def next_data(h: str = "html") -> Column:
     return H.script_body(h, "__NEXT_DATA__")
 
 
-def otodom_details(h: str = "html") -> dict[str, Column]:
-    """One text cell per ``data-testid``; empty cells give NULL."""
-    return {name: H.direct_text(h, "div", "data-testid", testid) for name, testid in vocab.OTODOM_DETAIL_CELLS.items()}
+def otodom_cells(h: str = "html") -> Column:
+    """The page's detail cells as (name, text) structs, found in one pass: what X7 reads."""
+    names = "|".join(re.escape(t) for t in vocab.OTODOM_DETAIL_CELLS.values())
+    pat = rf"""(?s)<(?i:div)(?=[\s>/])[^>]*?\s(?i:data-testid)\s*=\s*(?:"(?:{names})"|'(?:{names})')[^>]*>[^<]*"""
+    found = F.regexp_extract_all(F.col(h), F.lit(pat), 0)
+    name = lambda x: H.attribute_value(F.regexp_extract(x, r"(?s)^([^>]*>)", 1), "data-testid")
+    return F.transform(found, lambda x: F.struct(name(x).alias("name"), F.regexp_extract(x, r"(?s)>([^<]*)$", 1).alias("text")))
+
+
+def otodom_details(cells: Column) -> dict[str, Column]:
+    """The text of the first cell of each ``data-testid``; missing and empty cells give NULL."""
+
+    def first(testid: str) -> Column:
+        return F.get(F.filter(cells, lambda x: x["name"] == testid), 0)["text"]
+
+    return {name: H.unescape(F.nullif(first(testid), F.lit(""))) for name, testid in vocab.OTODOM_DETAIL_CELLS.items()}
+
+
+def otodom_prices(h: str = "html") -> dict[str, Column]:
+    """Price, price per square metre and address, by their aria labels."""
+    return {
+        "price_total": H.direct_text(h, "strong", "aria-label", vocab.OTODOM_PRICE_LABEL),
+        "price_per_msq": H.direct_text(h, "div", "aria-label", vocab.OTODOM_PRICE_PER_MSQ_LABEL),
+        "location": H.direct_text(h, "a", "aria-label", vocab.OTODOM_ADDRESS_LABEL),
+    }
 
 
 def otodom_ids(doc: Column) -> dict[str, Column]:
@@ -321,7 +344,8 @@ def otodom_dates(doc: Column) -> dict[str, Column]:
 def otodom_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "html", img_size: str = "medium") -> DataFrame:
     """X13 for otodom: one F2 bronze row per page."""
     crawled = crawled_at if crawled_at is not None else F.current_timestamp()
-    doc = next_data(h)
+    pages = pages.withColumns({"__doc": next_data(h), "__cells": otodom_cells(h)})
+    doc = F.col("__doc")
     ids = otodom_ids(doc)
     paras = H.all_inner(H.element_inner(H.visible(F.col(h)), "div", "data-cy", "adPageAdDescription"), "p")
     cols = {
@@ -335,11 +359,9 @@ def otodom_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "
         "canonical_url": canonical_url(h),
         "short_description": meta_description(h),
         "description": H.first_text(paras),
-        "price_total": H.direct_text(h, "strong", "aria-label", vocab.OTODOM_PRICE_LABEL),
-        "price_per_msq": H.direct_text(h, "div", "aria-label", vocab.OTODOM_PRICE_PER_MSQ_LABEL),
-        "location": H.direct_text(h, "a", "aria-label", vocab.OTODOM_ADDRESS_LABEL),
+        **otodom_prices(h),
         "image_urls": otodom_image_urls(doc, img_size),
         **otodom_dates(doc),
-        **otodom_details(h),
+        **otodom_details(F.col("__cells")),
     }
     return ensure_schema(pages.select("page_id", *[e.alias(n) for n, e in cols.items()]), OTODOM_PAGE_ROW)

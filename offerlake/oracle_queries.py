@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from offerlake import oracle as o
 from offerlake.functions import vocab
-from offerlake.operators.schema import ML_FEATURES
+from offerlake.operators.schema import BRONZE_OLX_SCHEMA, BRONZE_OTODOM_SCHEMA, ML_FEATURES
+from offerlake.sources import listing_pages
+from offerlake.sources.fixtures import duck
 
 ORACLES: dict[str, str] = {}
 
@@ -297,6 +299,76 @@ oracle(
     "select base, page, base || '?page=' || cast(page as varchar) as seed_url from s",
 )
 
+_OLX_PAGES = f"with p as ({duck(listing_pages.OLX_PAGES_SQL)})"
+_OTODOM_PAGES = f"with p as ({duck(listing_pages.OTODOM_PAGES_SQL)})"
+
+
+def _same(names: str) -> dict[str, str]:
+    return {c: c for c in names.split(", ")}
+
+
+def _unless_broken(**cols: str) -> dict[str, str]:
+    return {c: f"case when not broken then {e} end" for c, e in cols.items()}
+
+
+_OLX_DETAILS = _same("offer_type, price_per_msq, primary_market, floor, building_type, size, n_rooms")
+_OLX_STATE = _same("price_total, district, city, region")
+_OLX_IMAGES = {"image_urls": "list_filter([image_1, image_2], lambda x: x is not null)"}
+_OTODOM_CELLS = {c: f"nullif({c}, '')" for c in vocab.OTODOM_DETAIL_CELLS}
+_OTODOM_IDS = _unless_broken(offer_id="'otodom_' || k", city="city", district="district", region="region")
+_OTODOM_IMAGES = _unless_broken(image_urls="[image_1, image_2]")
+_OTODOM_DATES = _unless_broken(offer_date="created", modified_date="modified")
+_OTODOM_PRICES = {"price_total": "price_total", "price_per_msq": "price_per_msq", "location": "address"}
+
+for _name, _ctes, _cols in (
+    ("x3_head_links", _OLX_PAGES, _same("canonical_url, short_description")),
+    ("x4_links_by_anchor", _OTODOM_PAGES, {"link": "url"}),
+    ("x5_olx_details", _OLX_PAGES, _OLX_DETAILS),
+    ("x6_olx_state", _OLX_PAGES, _OLX_STATE),
+    ("x7_otodom_details", _OTODOM_PAGES, _OTODOM_CELLS),
+    ("x8_otodom_ids", _OTODOM_PAGES, _OTODOM_IDS),
+    ("x9_otodom_images", _OTODOM_PAGES, _OTODOM_IMAGES),
+    ("x10_otodom_prices", _OTODOM_PAGES, _OTODOM_PRICES),
+    ("x11_otodom_dates", _OTODOM_PAGES, _OTODOM_DATES),
+    ("x12_olx_footer_and_images", _OLX_PAGES, {"offer_id": "offer_id"} | _OLX_IMAGES),
+):
+    oracle(_name, f"{_ctes} {_sel({'page_id': 'page_id'} | _cols, 'p')}")
+
+
+def _bronze_page(ctes: str, schema, known: dict[str, str]) -> str:
+    """A bronze row per page: the known columns, NULL for the rest."""
+    cols = [f"{known[f.name]} as {f.name}" if f.name in known else f"cast(null as {o.duck_type(f.dataType)}) as {f.name}" for f in schema.fields]
+    return f"{ctes} select page_id, {', '.join(cols)} from p"
+
+
+_CRAWLED = {"date_scraped": "timestamp '2024-01-22 10:00:00'"}
+oracle(
+    "x13_bronze_olx",
+    _bronze_page(
+        _OLX_PAGES,
+        BRONZE_OLX_SCHEMA,
+        {"offer_source": "'olx'", "offer_date": "offer_date", "modified_date": "offer_date"}
+        | _CRAWLED | _same("title, canonical_url, short_description, description, offer_id") | _OLX_STATE | _OLX_DETAILS | _OLX_IMAGES
+        | _unless_broken(location="concat_ws(';', district, city, region)"),
+    ),
+)
+oracle(
+    "x13_bronze_otodom",
+    _bronze_page(
+        _OTODOM_PAGES,
+        BRONZE_OTODOM_SCHEMA,
+        {"offer_source": "'otodom'", "title": "title", "canonical_url": "url", "short_description": "title", "description": "short_description"}
+        | _CRAWLED | _OTODOM_IDS | _OTODOM_IMAGES | _OTODOM_DATES | _OTODOM_PRICES | _OTODOM_CELLS,
+    ),
+)
+_TITLE = _unescape(r"nullif(regexp_extract(html, '(?is)<title\b[^>]*>([^<]*)</title>', 1), '')")
+_NOTHING = "cast(null as varchar) as offer_id, cast(null as varchar) as price_total"
+oracle(
+    "x13_raw_pages_olx",
+    f"select page_id, 'olx' as offer_source, {_TITLE} as title, {_NOTHING}, false as primary_market, cast([] as varchar[]) as image_urls from pages",
+)
+oracle("x13_raw_pages_otodom", f"select page_id, 'otodom' as offer_source, {_TITLE} as title, {_NOTHING}, cast(null as varchar[]) as image_urls from pages")
+
 # ------------------------------------------------------------- price model
 
 _GOLD = f"{_BOTH}, gold as (select {', '.join(ML_FEATURES)} from silver where price_total is not null)"
