@@ -27,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from offerlake.llm.common import read
+from offerlake.llm.common import read, sliced
 
 MARK = "▁"
 
@@ -36,7 +36,7 @@ SHORT = 32
 NEVER = float("inf")
 
 #: Words whose encoding a worker remembers; memory is bounded, results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 class Vocabulary:
@@ -256,7 +256,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model)
-        for b in batches:
+        for b in sliced(batches, 256):
             ids = [v.encode(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([v.decode(x) for x in ids], pa.string())],
@@ -284,7 +284,7 @@ def differences(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model)
-        for b in batches:
+        for b in sliced(batches, 256):
             texts = [t or "" for t in b.column(1).to_pylist()]
             theirs = v.library.encode(texts, num_threads=1)
             ours = [v.encode(t) for t in texts]
@@ -306,7 +306,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(model)
-        for b in batches:
+        for b in sliced(batches, 256):
             done = [v.digest(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

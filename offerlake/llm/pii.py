@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from offerlake.llm import pii_tagger
-from offerlake.llm.common import read
+from offerlake.llm.common import read, sliced
 from offerlake.llm.pii_rules import KINDS, Span, base_spans, digits, luhn, ordered, small_parts
 
 #: Documents that the tagger may learn from, and windows of them that come to the driver.
@@ -192,7 +192,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> di
     ids = ids.orderBy(F.xxhash64("__id"), "__id").limit(SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             got = {w for t in b.column(0).to_pylist() for _, w in windows_of(t or "")}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(got), pa.string())], names=["w"])
 
@@ -215,7 +215,7 @@ def detect(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id"
         return [{"start": a, "end": b, "kind": k} for a, b, k in spans]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             got = find([t or "" for t in b.column(1).to_pylist()], shipped.value)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([rows(x) for x, _ in got], pa.list_(SPAN)), pa.array([rows(y) for _, y in got], pa.list_(SPAN))],
@@ -242,7 +242,7 @@ def redacted(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "tex
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             texts = b.column(at).to_pylist()
             got = find([t or "" for t in texts], shipped.value)
             new = [t and redact(t, s) for t, (_, s) in zip(texts, got)]

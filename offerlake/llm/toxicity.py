@@ -30,14 +30,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from offerlake.llm.common import read
+from offerlake.llm.common import read, sliced
 
 SLOT_BITS = 18
 FACTORS = 6
 #: Labelled rows of each class that a fit may use.
 PER_CLASS = 8_000
 #: Words whose slots a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 _memory: dict[bytes, tuple[int, ...]] = {}
 
@@ -212,7 +212,7 @@ def train(
     picked = docs.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col("__id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches, 512):
             got = [slots(t).tobytes() for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.binary())], names=["i", "y", "s"])
 
@@ -232,7 +232,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Machine(*shipped.value)
-        for b in batches:
+        for b in sliced(batches, 512):
             rows = [slots(t) for t in b.column(1).to_pylist()]
             starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
             flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
