@@ -26,7 +26,7 @@ from offerlake.operators.clean import (
     source_filter,
     standardize,
 )
-from offerlake.operators.dedup import deduplicate, distinct_sources, exists_frame, keep_first
+from offerlake.operators.dedup import deduplicate, distinct_sources, exists_frame, keep_first, single_source
 from offerlake.sources.lake import LakePaths, read_table, union_evolving
 from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
@@ -212,6 +212,18 @@ def d4_distinct_sources(spark, sf_dir):
     return distinct_sources(both_bronze(spark, sf_dir))
 
 
+@register("d5_single_source")
+def d5_single_source(spark, sf_dir):
+    """The one site of each site's rows, as the guard finds it, beside placeholders and NULLs."""
+    frames = []
+    for site in ("olx", "otodom"):
+        rows = bronze(spark, sf_dir, site).select("offer_source", "seq")
+        source = F.when(F.col("seq") % 5 == 0, F.lit("MISSING")).when(F.col("seq") % 7 != 0, F.col("offer_source"))
+        found = single_source(rows.withColumn("offer_source", source))
+        frames.append(rows.groupBy(F.lit(found).alias("site")).agg(F.count(F.lit(1)).alias("n")))
+    return frames[0].unionAll(frames[1])
+
+
 @register("a1_exists")
 def a1_exists(spark, sf_dir):
     return exists_frame(both_bronze(spark, sf_dir), F.col("offer_source").contains("olx"), "has_olx")

@@ -126,6 +126,7 @@ oracle("p11_drop_consumed", f"with {_F5} select * exclude (media_types, lift, eq
 oracle("p16_source_filter", f"with {_U} select * from u where contains(offer_source, 'olx')")
 oracle("s1_read_table", "select * from lineitem")
 oracle("s6_read_schema", "select l_orderkey, l_linenumber, l_extendedprice, l_shipdate from lineitem")
+oracle("d5_single_source", "select 'olx' as site, count(*) as n from orders union all select 'otodom', count(*) from lineitem")
 oracle("s5_union_evolving", f"with {_U} select * from u")
 
 _STD4 = f"{_F4}, {o.standardized_cte('f4', o.F4_STRINGS, ('date_scraped', 'seq'))}"

@@ -102,3 +102,15 @@ def test_single_source_guard(spark):
 def test_drop_null_columns(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "a int, b string")
     assert drop_null_columns(df).columns == ["a"]
+
+
+def test_source_guard_ignores_nulls_and_placeholders(spark):
+    from offerlake.operators.dedup import single_source
+
+    def guard(*sources):
+        return single_source(spark.createDataFrame([(x,) for x in sources], "offer_source string"))
+
+    assert guard("olx", None, "MISSING", "brak informacji") == "olx"
+    for bad in ((None,), ("MISSING", None), ("olx", "otodom"), ("other", None)):
+        with pytest.raises(ValueError):
+            guard(*bad)

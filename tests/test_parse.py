@@ -80,3 +80,10 @@ def test_flags_and_strings(spark):
     assert one(spark, parse.stored_image_path("x"), "full/abc.jpg") == "abc.jpg"
     df = spark.createDataFrame([(None, "Warszawa", "maz")], "d string, c string, r string")
     assert df.select(parse.join_location("d", "c", "r")).first()[0] == ";Warszawa;maz"
+
+
+def test_days_of_text_never_fail(spark):
+    rows = [("garbage", None), ("2024-01-22 10:00:00", "2024-01-22"), ("2024-02-30", None), ("", None), (None, None)]
+    df = spark.createDataFrame(rows, "d string, want string")
+    for r in df.select("d", "want", parse.scrape_date("d").alias("x"), parse.offer_date(F.lit("Dzisiaj 12:00"), "d").alias("y")).collect():
+        assert (r["x"] and str(r["x"])) == r["want"] == (r["y"] and str(r["y"])), r
