@@ -13,8 +13,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-TABLES = ("orders", "lineitem", "events", "documents", "pages")
-SLOW = {"m10_train_save_score", "j4_run_pipeline"}
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def norm(v):
