@@ -56,7 +56,7 @@ GROUP_ROWS = 20_000
 #: Shingles of the texts that one tree joins; larger components are cut by set size.
 TREE_SHINGLES = 2_000_000
 #: Words whose hash a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 _memory: dict[bytes, int] = {}
 
@@ -481,6 +481,22 @@ def exact_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "u binary, v binary")
 
 
+def most_frequent(summaries: DataFrame) -> list[tuple[int, int]]:
+    """(token, df) of shingles that many texts share, at most FREQUENT of them.
+
+    The bound is met by the smallest power of two of df (16 at least) that so
+    many reach; their number by powers is a few rows, so nothing is sorted.
+    """
+    top = summaries.groupBy("token").agg(F.sum("df").alias("df")).filter("df >= 16")
+    power = F.floor(F.log2("df")).cast("int").alias("power")
+    left, least = FREQUENT, 63
+    for r in top.groupBy(power).count().orderBy(F.col("power").desc()).collect():
+        if r["count"] > left:
+            break
+        left, least = left - r["count"], r["power"]
+    return [(r["token"], r["df"]) for r in top.filter(F.floor(F.log2("df")) >= least).collect()]
+
+
 def jaccard_classes(
     docs: DataFrame,
     width: int = 3,
@@ -494,11 +510,7 @@ def jaccard_classes(
     spark = docs.sparkSession
     made = materialize(sets(docs, width, id_col, text_col))
     texts = made.filter("token is null").select("id", "n", "digest", "node")
-    # Shingles that many texts share: a list of at most FREQUENT rows comes to the driver.
-    top = made.filter("token is not null").groupBy("token").agg(F.sum("df").alias("df"))
-    top = top.filter("df >= 16").orderBy(F.col("df").desc(), "token").limit(FREQUENT).collect()
-    frequent = spark.sparkContext.broadcast([(r["token"], r["df"]) for r in top])
-
+    frequent = spark.sparkContext.broadcast(most_frequent(made.filter("token is not null")))
     rows = prefixes(docs, frequent, percent, width, text_col, group_rows)
     sketches = made.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     rough = components(candidates(rows, sketches, percent))

@@ -117,8 +117,15 @@ def counts(text: Column) -> Column:
     )
 
 
-def features(c: Column) -> dict[str, Column]:
-    """Ratios that rules may bound, over the struct of ``counts``."""
+def flat(c: Column) -> dict[str, Column]:
+    """The longs of ``counts`` by name."""
+    of_words = ("n_words", "word_chars", "n_repeat_words", "n_stop_words", "n_upper_words", "n_exclamations")
+    of_lines = ("n_lines", "n_dup_lines", "n_ellipsis_lines")
+    return {"n_symbols": c["n_symbols"]} | {n: c["w"][n] for n in of_words} | {n: c["l"][n] for n in of_lines}
+
+
+def features(c: dict[str, Column]) -> dict[str, Column]:
+    """Ratios that rules may bound, over ``flat`` counts."""
 
     def ratio(a: str, b: str) -> Column:
         return F.when(c[b] > 0, c[a].cast("double") / c[b]).otherwise(F.lit(0.0))
@@ -150,16 +157,32 @@ def compile_rules(rules: Sequence[Rule], values: dict[str, Column]) -> Column:
     return first
 
 
+def verdict(text: Column, rules: Sequence[Rule] = RULES) -> Column:
+    """Counts, base_failed, broken_rule and kept as one struct.
+
+    The counts are bound as one value: a filter on the verdict would otherwise
+    be rewritten to count anew at each mention.
+    """
+
+    def of_counts(c: Column) -> Column:
+        n = flat(c)
+        base = (n["n_words"] < 50) | (100 * n["n_repeat_words"] > 50 * n["n_words"])
+        return F.struct(
+            *[v.alias(k) for k, v in n.items()],
+            base.alias("base_failed"),
+            compile_rules(rules, features(n)).alias("broken_rule"),
+        )
+
+    def with_kept(v: Column) -> Column:
+        kept = ~v["base_failed"] & v["broken_rule"].isNull()
+        return v.withField("kept", kept)
+
+    return let(let(counts(text), of_counts), with_kept)
+
+
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text") -> DataFrame:
     """The input's rows with a struct ``__q``: counts, base_failed, broken_rule and kept."""
-    flat = ("n_symbols", "w.*", "l.*")
-    d = docs.withColumn("__c", counts(F.col(text_col)))
-    d = d.withColumn("__c", F.struct(*[F.col(f"__c.{c}") for c in flat]))
-    c = F.col("__c")
-    base = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
-    d = d.withColumn("__v", F.struct(base.alias("base_failed"), compile_rules(rules, features(c)).alias("broken_rule")))
-    kept = ~F.col("__v.base_failed") & F.col("__v.broken_rule").isNull()
-    return d.withColumn("__q", F.struct("__c.*", "__v.*", kept.alias("kept"))).drop("__c", "__v")
+    return docs.withColumn("__q", verdict(F.col(text_col), rules))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

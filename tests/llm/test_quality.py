@@ -5,7 +5,7 @@ import pytest
 from conftest_llm import DOCS, text
 from pyspark.sql import functions as F
 
-from offerlake.llm.quality import RULES, STOP_WORDS, Rule, compile_rules, counts, features, judge
+from offerlake.llm.quality import RULES, STOP_WORDS, Rule, compile_rules, counts, features, flat, judge
 
 
 def plain(t):
@@ -59,8 +59,7 @@ def test_the_table_is_data(spark):
     rules = [Rule("few", "n_words", 100, None), Rule("many", "n_words", None, 10)]
     q = judge(docs, rules).first()["__q"]
     assert q["broken_rule"] == "few"
-    flat = docs.select(counts(F.col("text")).alias("c")).select("c.n_symbols", "c.w.*", "c.l.*")
-    one = flat.select(F.struct("*").alias("c")).select(compile_rules(rules[1:], features(F.col("c"))).alias("x"))
+    one = docs.select(counts(F.col("text")).alias("c")).select(compile_rules(rules[1:], features(flat(F.col("c")))).alias("x"))
     assert one.first()["x"] == "many"
 
 
@@ -70,6 +69,12 @@ def test_the_plan_is_one_projection_without_python(spark):
     assert not re.search("Exchange|Python|Arrow|Pandas|Aggregate", plan)
 
 
+def test_a_filter_on_the_verdict_counts_once(spark):
+    docs = spark.createDataFrame([(1, "a", None, None, None)], DOCS)
+    plan = judge(docs).filter("__q.kept").select(*docs.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1
+
+
 def test_defined_cases(odd, empty, clashing):
     got = judge(odd)
     assert got.count() == odd.count() and judge(empty).count() == 0
