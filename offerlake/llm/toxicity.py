@@ -12,7 +12,7 @@ each class, the ones with the smallest hash of their id (a bounded sample;
 labels are the only use made of the label table).  Scoring covers every row.
 
 Defined cases: NULL, empty and blank texts have no terms and score
-``sigmoid(w0)``; a doc_id that is labelled more than once counts as toxic if
+``sigmoid(w0)``, the share of toxic labels; a doc_id that is labelled more than once counts as toxic if
 any label says so; NULL labels are left out; without labels of both classes
 every row scores the share of toxic labels (0 without labels); a NULL id
 counts as held out; repeated rows score alike.
@@ -35,7 +35,7 @@ from offerlake.llm.common import read, sliced
 SLOT_BITS = 18
 FACTORS = 6
 #: Labelled rows of each class that a fit may use.
-PER_CLASS = 8_000
+PER_CLASS = 4_000
 #: Words whose slots a worker remembers.
 REMEMBERED = 100_000
 
@@ -100,6 +100,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def fit(
     rows: list[np.ndarray],
     labels: np.ndarray,
+    prior: float | None = None,
     factors: int = FACTORS,
     epochs: int = 12,
     least_steps: int = 1_500,
@@ -110,7 +111,9 @@ def fit(
 ) -> Machine:
     """Logistic loss, AdaGrad, L2 on what a batch touches; both classes weigh alike.
 
-    A small sample gets more epochs, until ``least_steps`` batches were seen.
+    The bias stays at ``prior``, the share of toxic labels (the sample's own if
+    None): a text without known terms is scored by it, however the classes
+    were sampled.  A small sample gets more epochs, until ``least_steps`` batches were seen.
     """
     n_slots = 1 << SLOT_BITS
     y = np.asarray(labels, np.float64)
@@ -124,9 +127,9 @@ def fit(
     place[known] = np.arange(len(known))
     rows = [p[p >= 0] for p in (place[r] for r in rows)]
     w, v = np.zeros(len(known)), rng.normal(0, 0.01, (len(known), factors))
-    gw, gv, g0 = np.full(len(known), 1e-6), np.full((len(known), factors), 1e-6), 1e-6
-    # Without terms a text is most likely clean: the prior is the natural one.
-    w0 = float(np.log(y.mean() / (1 - y.mean())))
+    gw, gv = np.full(len(known), 1e-6), np.full((len(known), factors), 1e-6)
+    share = min(max(float(y.mean()) if prior is None else prior, 1e-6), 1 - 1e-6)
+    w0 = float(np.log(share / (1 - share)))
     cost = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     cost = cost / cost.mean()
     for _ in range(max(epochs, -(-least_steps * batch // len(rows)))):
@@ -138,8 +141,6 @@ def fit(
             starts = np.concatenate([[0], np.cumsum(sizes)])
             m = Machine(w0, w, v)
             d = (sigmoid(m.raw(flat, starts)) - y[pick]) * cost[pick] / len(pick)
-            g0 += d.sum() ** 2
-            w0 -= rate * d.sum() / np.sqrt(g0)
             if not len(flat):
                 continue
             row = np.repeat(np.arange(len(pick)), sizes)
@@ -185,13 +186,18 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(labels: DataFrame, per_class: int, id_col: str, label_col: str) -> DataFrame:
-    """At most ``per_class`` ids of each class, by the smallest hash: (id, label)."""
-    one = (
+def learnable(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """One label for each id that a fit may see: (id, __y)."""
+    return (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(id_col)
         .agg(F.max(F.col(label_col)).cast("int").alias("__y"))
     )
+
+
+def sample(labels: DataFrame, per_class: int, id_col: str, label_col: str) -> DataFrame:
+    """At most ``per_class`` ids of each class, by the smallest hash: (id, __y)."""
+    one = learnable(labels, id_col, label_col)
     order = [F.xxhash64(id_col), F.col(id_col)]
     return one.filter("__y = 0").orderBy(*order).limit(per_class).unionAll(
         one.filter("__y = 1").orderBy(*order).limit(per_class)
@@ -220,7 +226,8 @@ def train(
     rows = picked.select("__id", "__y", text_col).mapInArrow(run, f"i {kind}, y int, s binary").toPandas()
     # Arrival order must not matter.
     rows = rows.sort_values(["i", "s"]).drop_duplicates(["i", "s"])
-    return fit([np.frombuffer(s, np.int32) for s in rows["s"]], rows["y"].to_numpy())
+    prior = learnable(labels, id_col, label_col).agg(F.avg("__y")).first()[0]
+    return fit([np.frombuffer(s, np.int32) for s in rows["s"]], rows["y"].to_numpy(), prior)
 
 
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
