@@ -11,7 +11,8 @@ earlier, in a row of a smaller id or earlier in the same text.
    size merge.  Segments seen before are copies as a whole.  Segments that
    share their gram with others are opened.
 3. Opened segments fetch their bytes, meet again by gram, and each of their
-   strings is looked up by its fingerprint: all but the first go.
+   strings is looked up by its fingerprint: all but the first go.  A gram with
+   very many opened segments deals its strings by their fingerprints instead.
 4. Each text loses the union of these ranges.
 
 Texts travel compressed.  Strings are compared by 64-bit fingerprints, within
@@ -32,9 +33,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import read, sliced, whole_groups
+from offerlake.llm.common import lookup, read, sliced, whole_groups
 from offerlake.llm.suffix_index import Family, anchors, fingerprint, found_in, mix, running
-from offerlake.session import scratch_path
+from offerlake.session import materialize, scratch_path
 
 #: Texts whose suffixes a task makes, and searches for copies, at once.
 SLICE = 1_000
@@ -42,6 +43,8 @@ SLICE = 1_000
 BATCH = 65_536
 #: Text bytes whose suffixes one task indexes.
 TASK_BYTES = 64 << 20
+#: Opened segments of one gram from which their strings are dealt one by one.
+HOT_SEGMENTS = 2_000
 #: Bytes of opened segments that a task compares at once.
 OPEN_BYTES = 1 << 20
 
@@ -127,34 +130,71 @@ def scanned(rows: DataFrame, n_tasks: int, batch_rows: int) -> DataFrame:
     return dealt.mapInArrow(run, "gram long, doc long, at long, open boolean")
 
 
+def marked(opened: DataFrame) -> DataFrame:
+    """Opened segments with ``hot``: whether their gram has more than HOT_SEGMENTS of them."""
+    hot = opened.groupBy("gram").count().filter(F.col("count") > HOT_SEGMENTS).select("gram", F.lit(True).alias("hot"))
+    return lookup(opened, materialize(hot), ["gram"])
+
+
 def opened_bytes(opened: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """The bytes of opened segments: gram, doc, start, bytes."""
-    lists = opened.groupBy("doc").agg(F.collect_list("gram").alias("grams"), F.collect_list("at").alias("ats"))
-    names = ["gram", "doc", "start", "bytes"]
+    """What opened segments hold: gram, doc, start, bytes, string.
+
+    A segment of a hot gram gives a row for each of its strings, with the
+    string's fingerprint and no bytes; others give one row with their bytes.
+    """
+    columns = ("gram", "at", "hot")
+    lists = opened.groupBy("doc").agg(*[F.collect_list(F.coalesce(c, F.lit(False)) if c == "hot" else c).alias(c) for c in columns])
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    names = ["gram", "doc", "start", "bytes", "string"]
+
+    def rows(doc: int, text: bytes, grams: list[int], ats: list[int], hots: list[bool]):
+        for gram, at, hot in zip(grams, ats, hots):
+            lo = at >> 7
+            piece = text[lo : lo + (at & 127) - 1 + length]
+            if len(piece) < length:  # another row of the same id holds the segment
+                continue
+            if hot:
+                for i, h in enumerate(strings(np.array([gram]), [piece], length)[0].view(np.int64).tolist()):
+                    yield gram, doc, lo + i, None, h
+            else:
+                yield gram, doc, lo, piece, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 512):
-            gram, doc, start, part = [], [], [], []
-            texts = unpacked(b.column(1))
-            for d, t, gs, ats in zip(b.column(0).to_pylist(), texts, b.column(2).to_pylist(), b.column(3).to_pylist()):
-                for g, at in zip(gs, ats):
-                    lo = at >> 7
-                    piece = t[lo : lo + (at & 127) - 1 + length]
-                    if len(piece) >= length:  # shorter only if another row has the same id
-                        gram.append(g)
-                        doc.append(d)
-                        start.append(lo)
-                        part.append(piece)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(part, pa.binary())],
-                names=names,
-            )
-
-    return texts.join(lists, "doc").select("doc", "z", "grams", "ats").mapInArrow(
-        run, "gram long, doc long, start long, bytes binary"
+        for b in sliced(batches, 256):
+            out = []
+            for doc, text, *lists in zip(b.column(0).to_pylist(), unpacked(b.column(1)), *(b.column(i).to_pylist() for i in (2, 3, 4))):
+                out.extend(rows(doc, text, *lists))
+            cols = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    return texts.join(lists, "doc").select("doc", "z", *columns).mapInArrow(
+        run, "gram long, doc long, start long, bytes binary, string long"
     )
 
 
+def strings(gram: np.ndarray, parts: list[bytes], length: int):
+    """Fingerprints of the strings of segments, with the segment and the place in it of each."""
+    sizes = np.array([len(p) for p in parts])
+    n = sizes - length + 1
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(sizes) - sizes, n) + inside
+    row = np.repeat(np.arange(len(parts)), n)
+    sums = running(np.frombuffer(b"".join(parts), np.uint8))
+    return mix(fingerprint(sums, at, at + length) + mix(gram[row].view(np.uint64))), row, inside
+
+
+def later_strings(rows: DataFrame, length: int) -> DataFrame:
+    """Ranges (doc, lo, hi) of the hot grams' strings (string, doc, start) that occurred before.
+
+    The first place is a minimum that is combined before the shuffle; the join
+    to it is one that adaptive execution splits at a string of very many places.
+    """
+    place = F.struct("doc", "start")
+    first = rows.groupBy("string").agg(F.min(place).alias("first"))
+    later = rows.join(first, "string").filter(place != F.col("first"))
+    return later.select("doc", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
+
+
 class Seen:
     """First places of one gram's strings, for the batches that follow."""
 
@@ -168,13 +208,7 @@ class Seen:
         Segments come by gram, then in the order of texts; what is kept between
         calls is the distinct strings of the last gram.
         """
-        sizes = np.array([len(p) for p in parts])
-        n = sizes - length + 1
-        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(np.cumsum(sizes) - sizes, n) + inside
-        row = np.repeat(np.arange(len(parts)), n)
-        sums = running(np.frombuffer(b"".join(parts), np.uint8))
-        h = mix(fingerprint(sums, at, at + length) + mix(gram[row].view(np.uint64)))
+        h, row, inside = strings(gram, parts, length)
         d, s = doc[row], start[row] + inside
         values, first, inv = np.unique(h, return_index=True, return_inverse=True)
         first_d, first_s = d[first], s[first]
@@ -251,10 +285,14 @@ def removals(
     scanned(suffixes(docs, length, id_col, text_col), tasks, batch_rows).write.parquet(path)
     found = spark.read.parquet(path)
     texts = packed(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
-    strings = compared(opened_bytes(found.filter("open"), texts, length), length)
+    held = scratch_path(spark, "suffix-open")
+    opened_bytes(marked(found.filter("open")), texts, length).write.parquet(held)
+    held = spark.read.parquet(held)
+    cold = compared(held.filter("string is null").select("gram", "doc", "start", "bytes"), length)
+    hot = later_strings(held.filter("string is not null").select("string", "doc", "start"), length)
     lo = F.shiftright("at", 7)
     whole = found.filter("not open").select("doc", lo.alias("lo"), (lo + F.col("at").bitwiseAND(127) - 1 + length).alias("hi"))
-    return per_text(whole.unionAll(strings))
+    return per_text(whole.unionAll(cold).unionAll(hot))
 
 
 def per_text(ranges: DataFrame) -> DataFrame:

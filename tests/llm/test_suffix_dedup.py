@@ -59,6 +59,7 @@ def test_equals_a_plain_version(spark, monkeypatch, seed, sizes):
     if sizes:
         monkeypatch.setattr(suffix_dedup, "SLICE", 3)
         monkeypatch.setattr(suffix_dedup, "OPEN_BYTES", 500)
+        monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 2)
         monkeypatch.setattr(suffix_index, "PIECE", 64)
     rows = shared_passages(seed, 60)
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(5)
