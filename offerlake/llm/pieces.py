@@ -73,7 +73,9 @@ class Vocabulary:
             raise ValueError("vocabularies that squeeze white space are not supported")
         self.names = [str(i) for i in range(len(self.text))]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        # Two generations: frequent words move on to the new one, the rest is forgotten.
         self.memory: dict[str, tuple[list[int], str, str]] = {}
+        self.older: dict[str, tuple[list[int], str, str]] = {}
 
     def merge_short(self, text: str) -> list[str]:
         """``merge`` for a short text: the agenda is a flat list, one entry for each pair."""
@@ -178,15 +180,17 @@ class Vocabulary:
 
     def remembered(self, part: str) -> tuple[list[int], str, str]:
         """Ids, their decimal list and their text, for one part."""
-        ids = self.ids_of(part)
-        try:
-            text = "".join([self.text[i] for i in ids])
-        except TypeError:  # byte pieces
-            text = self.raw(ids)
-        out = ids, ",".join([self.names[i] for i in ids]), text
+        out = self.memory.get(part) or self.older.get(part)
+        if out is None:
+            ids = self.ids_of(part)
+            try:
+                text = "".join([self.text[i] for i in ids])
+            except TypeError:  # byte pieces
+                text = self.raw(ids)
+            out = ids, ",".join([self.names[i] for i in ids]), text
         if len(part) <= 64:
             if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
+                self.older, self.memory = self.memory, {}
             self.memory[part] = out
         return out
 
