@@ -74,8 +74,8 @@ class Vocabulary:
         self.names = [str(i) for i in range(len(self.text))]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         # Two generations: frequent words move on to the new one, the rest is forgotten.
-        self.memory: dict[str, tuple[list[int], str, str]] = {}
-        self.older: dict[str, tuple[list[int], str, str]] = {}
+        self.memory: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str, str]] = {}
 
     def merge_short(self, text: str) -> list[str]:
         """``merge`` for a short text: the agenda is a flat list, one entry for each pair."""
@@ -178,7 +178,7 @@ class Vocabulary:
     def decode(self, ids: Iterable[int]) -> str:
         return self.raw(ids, first=True)
 
-    def remembered(self, part: str) -> tuple[list[int], str, str]:
+    def remembered(self, part: str) -> tuple[tuple[int, ...], str, str]:
         """Ids, their decimal list and their text, for one part."""
         out = self.memory.get(part) or self.older.get(part)
         if out is None:
@@ -187,7 +187,8 @@ class Vocabulary:
                 text = "".join([self.text[i] for i in ids])
             except TypeError:  # byte pieces
                 text = self.raw(ids)
-            out = ids, ",".join([self.names[i] for i in ids]), text
+            # Tuples of numbers and strings are no work for the garbage collector, lists are.
+            out = tuple(ids), ",".join([self.names[i] for i in ids]), text
         if len(part) <= 64:
             if len(self.memory) >= REMEMBERED:
                 self.older, self.memory = self.memory, {}
