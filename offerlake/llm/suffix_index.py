@@ -89,8 +89,8 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 class Run(NamedTuple):
     """A suffix array: one entry for each distinct segment, sorted by gram.
 
-    ``both`` holds the sorted keys of (gram, segment) for look-ups; ``told`` marks
-    entries that were reported already.
+    ``both`` holds the sorted keys of (gram, segment) for look-ups and ``entry`` the
+    entry of each; ``told`` marks entries that were reported already.
     """
 
     rank: int
@@ -100,12 +100,22 @@ class Run(NamedTuple):
     at: np.ndarray
     told: np.ndarray
     both: np.ndarray
+    entry: np.ndarray
 
 
 def key(gram: np.ndarray, segment: np.ndarray) -> np.ndarray:
     return mix(gram + mix(segment))
 
 
+def repeated(level: Run, both: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys a level holds, and which of these it holds at another place."""
+    known = found_in(both, level.both)
+    hit = level.entry[np.searchsorted(level.both, both[known])]
+    moved = known.copy()
+    moved[known] = (level.doc[hit] != doc[known]) | (level.at[hit] != at[known])
+    return known, moved
+
+
 def found_in(values: np.ndarray, sorted_values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(len(values), bool)
@@ -119,6 +129,8 @@ class Family:
     ``add`` takes the next batch and reports: ``copies``, suffixes whose segment
     occurred before, and ``open``, distinct segments that share a gram with
     another one, of which some strings may be equal.  Each segment is opened once.
+    A suffix at the very place of the segment's first one is that of a repeated
+    row and no copy, whether they meet in one batch or over two.
     """
 
     def __init__(self):
@@ -133,11 +145,12 @@ class Family:
         head = np.maximum.accumulate(np.where(again, 0, np.arange(len(gram))))
         same = again & (doc == doc[head]) & (at == at[head])
         both = key(gram, segment)
-        known = np.zeros(len(gram), bool)
+        known, moved = np.zeros(len(gram), bool), np.zeros(len(gram), bool)
         for level in self.levels:
-            known |= found_in(both, level.both)
+            for mark, found in zip((known, moved), repeated(level, both, doc, at)):
+                mark |= found
         new = ~again & ~known
-        copies = (again & ~same) | known
+        copies = (again & ~same & ~known) | moved
         result = [doc[copies], at[copies]]
         gram, segment, doc, at, both = (x[new] for x in (gram, segment, doc, at, both))
         shared = np.zeros(len(gram), bool)
@@ -155,7 +168,8 @@ class Family:
             level.told[tell] = True
             opened.append((level.gram[tell], level.doc[tell], level.at[tell]))
         opened.append((gram[shared], doc[shared], at[shared]))
-        self._push(Run(0, gram, segment, doc, at, shared, np.sort(both)))
+        entry = np.argsort(both, kind="stable")
+        self._push(Run(0, gram, segment, doc, at, shared, both[entry], entry))
         return result, [np.concatenate(x) for x in zip(*opened)]
 
     def _push(self, run: Run) -> None:
@@ -168,4 +182,8 @@ def merge(a: Run, b: Run) -> Run:
     """Two suffix arrays of equal rank as one of the next; their segments are distinct."""
     order = np.argsort(np.concatenate([a.gram, b.gram]), kind="stable")  # two runs: a linear merge
     parts = [np.concatenate([getattr(a, f), getattr(b, f)])[order] for f in ("gram", "segment", "doc", "at", "told")]
-    return Run(a.rank + 1, *parts, np.sort(np.concatenate([a.both, b.both]), kind="stable"))
+    now = np.empty(len(order), np.int64)
+    now[order] = np.arange(len(order))
+    both, entry = np.concatenate([a.both, b.both]), now[np.concatenate([a.entry, b.entry + len(a.gram)])]
+    order = np.argsort(both, kind="stable")
+    return Run(a.rank + 1, *parts, both[order], entry[order])

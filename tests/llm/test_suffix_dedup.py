@@ -127,6 +127,31 @@ def test_levels_grow_geometrically_and_report_each_segment_once():
     assert len(family.levels) == bin(20).count("1")
 
 
+@pytest.mark.parametrize("cuts", [(0, 9), (0, 3, 9), (0, 3, 5, 9), tuple(range(10))])
+def test_a_repeated_row_is_no_copy_over_batches(cuts):
+    # (gram, segment, doc, at); places of two and three rows, the third segment also at a later place.
+    rows = [(7, 1, 1, 0), (7, 2, 1, 40), (8, 3, 2, 0), (8, 3, 2, 0), (8, 3, 2, 0), (9, 4, 2, 50), (9, 4, 2, 50), (8, 3, 5, 0), (8, 3, 5, 0)]
+    family, copies = Family(), []
+    for lo, hi in zip(cuts, cuts[1:]):
+        g, s, d, a = (np.array(x) for x in zip(*rows[lo:hi]))
+        (cd, ca), _ = family.add(g.astype(np.uint64), s.astype(np.uint64), d, a)
+        copies += zip(cd.tolist(), ca.tolist())
+    assert copies == [(5, 0), (5, 0)]
+
+
+def test_repeated_rows_parted_over_batches(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SLICE", 1)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    rows = [r for r in shared_passages(4, 12) for _ in range(2)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(5)
+    spark.conf.set(limit, "3")
+    try:
+        assert found(dedup(docs, batch_rows=1)) == plain(rows)
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_repeated_strings_of_opened_segments():
     a, b, c = b"q" + b"abcdefghij" * 3, b"z" + b"abcdefghij" * 3, b"abcdefghij" * 3
     want = [(2, 41 + k, 62 + k) for k in range(10)] + [(3, 7 + k, 28 + k) for k in range(10)]
