@@ -11,8 +11,9 @@ that overlap by half; each is decoded by Viterbi.  The spans of all windows of a
 text are then reconciled together: equal ones add their scores, those cut by
 a window's edge yield to whole ones, finds that fail their kind's test are
 dropped, and of the rest the non-overlapping set of the largest total score is
-kept, beside the base spans, which always stay.  Text without a trigger cannot
-hold a find that passes the tests, so nothing is left out by this.
+kept, beside the base spans, which always stay.  The triggers come from the
+tests' own patterns and windows cover all that may belong to an address around
+them, so no text that passes the tests goes undecoded.
 
 Defined cases: NULL texts are empty and hold nothing; very long texts take
 time in proportion to their length; repeated rows get the same spans; an
@@ -43,12 +44,20 @@ SAMPLE_WINDOWS = 800
 #: Characters of a window; windows overlap by half.
 WIDTH = 96
 
-TRIGGER = re.compile(r"[0-9@]|[(\[{<] ?(?:at|dot) ?[)\]}>]|\bat [A-Za-z0-9-]{1,40} dot\b")
-
-_WORD, _DOT = r"[A-Za-z0-9_%+-]+", r"(?: ?[(\[{<] ?dot ?[)\]}>] ?| dot |\.)"
-_AT = r"(?: ?[(\[{<] ?at ?[)\]}>] ?| at | ?@ ?)"
+_IN, _OPEN, _SHUT = r"[A-Za-z0-9_%+-]", r"[(\[{<]", r"[)\]}>]"
+_WORD = f"{_IN}++"
+_DOT = rf"(?: ?{_OPEN} ?[Dd][Oo][Tt] ?{_SHUT} ?| [Dd][Oo][Tt] |\.)"
+_AT = f"(?: ?{_OPEN} ?[Aa][Tt] ?{_SHUT} ?| [Aa][Tt] | ?@ ?)"
 _SPELLED = re.compile(f"{_WORD}(?:{_DOT}{_WORD})*{_AT}{_WORD}(?:{_DOT}{_WORD})+")
 
+#: What every find holds: a digit, or the middle of ``_SPELLED``.
+TRIGGER = re.compile(
+    f"[0-9@]|{_OPEN} ?(?:[Aa][Tt]|[Dd][Oo][Tt]) ?{_SHUT}|[Aa](?<={_IN} [Aa])[Tt](?= {_WORD}{_DOT}{_IN})"
+)
+_AFTER = re.compile(f" ?(?:{_SHUT} ?)?{_WORD}(?:{_DOT}{_WORD})++")
+#: What stands before the middle, read backwards.
+_BEFORE = re.compile(rf" ?{_WORD}(?:(?: ?{_SHUT} ?[Tt][Oo][Dd] ?{_OPEN} ?| [Tt][Oo][Dd] |\.){_WORD})*+")
+
 #: Fixed examples, so that the kinds are known whatever the sample holds.
 EXAMPLES = {
     "email": ("jane.roe@example.org", "sales-team42@mail.example.com", "info@shop.example.co.uk", "x_y+z@a-b.net"),
@@ -114,15 +123,27 @@ def examples(windows: list[str], seed: int = 3) -> list[tuple[str, list[Span]]]:
     return out
 
 
+def regions(text: str) -> list[tuple[int, int]]:
+    """Triggers, each with all that may belong to a spelled-out address around it, by start."""
+    out, back = [], None
+    for m in TRIGGER.finditer(text):
+        lo, hi = m.span()
+        if not text[lo].isdigit() and (after := _AFTER.match(text, hi)):
+            back = text[::-1] if back is None else back
+            if before := _BEFORE.match(back, len(text) - lo):
+                lo, hi = len(text) - before.end(), after.end()
+        out.append((lo, hi))
+    return sorted(out)
+
+
 def windows_of(text: str) -> list[tuple[int, str]]:
     """Windows (start, text) that overlap by half and cover the surroundings of every trigger."""
     half, out, done = WIDTH // 2, [], -1
-    for m in TRIGGER.finditer(text):
+    for lo, hi in regions(text):
         # Window k starts at k * half; a trigger at t lies in windows t // half - 1 and t // half.
-        for k in range(max(0, m.start() // half - 1), (m.end() - 1) // half + 1):
-            if k > done:
-                out.append((k * half, text[k * half : k * half + WIDTH]))
-                done = k
+        for k in range(max(done + 1, lo // half - 1, 0), (hi - 1) // half + 1):
+            out.append((k * half, text[k * half : k * half + WIDTH]))
+            done = k
     return out
 
 

@@ -167,3 +167,26 @@ def test_query_equals_base_rules(spark, tmp_path, monkeypatch):
         assert set(listed) <= set(r["spans"].split(",")) or not listed
         assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(k == x[2] for x in b) for k in ("email", "ip", "card", "phone")]
     assert rows(pii.op3_pii(spark, str(tmp_path)).select("doc_id")) == [(1,), (2,), (3,)]
+
+def test_what_passes_holds_a_trigger_and_is_covered():
+    r = random.Random(8)
+    parts = ["jane", "roe", "at", "AT", " at ", " At ", " dot ", " DOT ", ".", "(at)", " [ AT ] ", "{dot}", " < Dot > ", "@", " @ ", "x" * 60, "a-b", "7", " ", "dot"]
+    listed = ["jane.roe at example.org", "jane dot roe at example.org", "JANE (AT) EXAMPLE (DOT) ORG", "at at b.c", "a at " + "b" * 99 + " dot c"]
+    found = 0
+    for t in listed + ["".join(r.choice(parts) for _ in range(r.randint(3, 12))) for _ in range(60_000)]:
+        if any(pii.passes(k, t) for k in ("email", "ip", "card", "phone")):
+            found += 1
+            assert pii.TRIGGER.search(t), t
+            whole = "q " * 90 + t + " q" * 90
+            held = {i for lo, w in pii.windows_of(whole) for i in range(lo, lo + len(w))}
+            assert set(range(180, 180 + len(t))) <= held, t
+    assert found > 150 and all(pii.passes("email", t) for t in listed)
+
+
+@pytest.mark.parametrize("t", ["a." * 150_000, "a dot " * 60_000, "a at " * 80_000, "a at b." * 60_000, "a(at)" * 80_000])
+def test_windows_of_long_runs_take_linear_time(t):
+    import time
+
+    start = time.time()
+    pii.windows_of(t)
+    assert time.time() - start < 5
