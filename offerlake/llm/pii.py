@@ -9,9 +9,10 @@ Every character that could belong to a find lies near a trigger: a digit, an
 at sign, or a spelled-out one.  The text around triggers is cut into windows
 that overlap by half; each is decoded by Viterbi.  The spans of all windows of a
 text are then reconciled together: equal ones add their scores, those cut by
-a window's edge yield to whole ones, finds that fail their kind's test are
-dropped, and of the rest the non-overlapping set of the largest total score is
-kept, beside the base spans, which always stay.  The triggers come from the
+a window's edge yield to whole ones or, where no window holds the whole, are
+joined with their like in the next window, finds that fail their kind's test
+are dropped, and of the rest the non-overlapping set of the largest total score
+is kept, beside the base spans, which always stay.  The triggers come from the
 tests' own patterns and windows cover all that may belong to an address around
 them, so no text that passes the tests goes undecoded.
 
@@ -36,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from offerlake.llm import pii_tagger
 from offerlake.llm.common import read, sliced
-from offerlake.llm.pii_rules import KINDS, Span, base_spans, digits, luhn, ordered, small_parts
+from offerlake.llm.pii_rules import KINDS, LOCAL, Span, base_spans, digits, luhn, ordered, small_parts
 
 #: Documents that the tagger may learn from, and windows of them that come to the driver.
 SAMPLE = 2_000
@@ -55,6 +56,8 @@ TRIGGER = re.compile(
     f"[0-9@]|{_OPEN} ?(?:[Aa][Tt]|[Dd][Oo][Tt]) ?{_SHUT}|[Aa](?<={_IN} [Aa])[Tt](?= {_WORD}{_DOT}{_IN})"
 )
 _AFTER = re.compile(f" ?(?:{_SHUT} ?)?{_WORD}(?:{_DOT}{_WORD})++")
+_WORDS = re.compile(f"{_IN}*+")
+_LETTERS = LOCAL - {"."}
 #: What stands before the middle, read backwards.
 _BEFORE = re.compile(rf" ?{_WORD}(?:(?: ?{_SHUT} ?[Tt][Oo][Dd] ?{_OPEN} ?| [Tt][Oo][Dd] |\.){_WORD})*+")
 
@@ -117,9 +120,25 @@ def examples(windows: list[str], seed: int = 3) -> list[tuple[str, list[Span]]]:
         left = left + " " if left else left
         end = rng.choice(("", "", ".", ",", "###", "!!"))
         text = left + value + end + (" " + right if right else "")
-        out.append((text[:WIDTH], [(len(left), len(left) + len(value), kind)] if len(left) + len(value) <= WIDTH else []))
+        out.append((text[:WIDTH], [(len(left), min(len(left) + len(value), WIDTH), kind)] if len(left) < WIDTH else []))
         c = rng.choice(clean)[: WIDTH // 2]
         out.append(((c + " " + decoy(rng) + " " + c)[:WIDTH], []))
+    return out + long_examples(clean, rng)
+
+
+def long_examples(clean: list[str], rng: random.Random) -> list[tuple[str, list[Span]]]:
+    """Windows somewhere over spelled-out addresses of up to twice their width, some in capitals."""
+    out = []
+    for _ in range(600):
+        words = ["".join(rng.choice("aeioulnrstdmkbcgph") for _ in range(rng.randint(2, 11))) for _ in range(rng.randint(3, 16))]
+        at = rng.randint(1, min(4, len(words) - 2))
+        value = rewrite("email", ".".join(words[:at]) + "@" + ".".join(words[at:]), rng)
+        c, d = (rng.choice(clean)[:WIDTH] for _ in "ab")
+        if rng.random() < 0.25:
+            c, value, d = c.upper(), value.upper(), d.upper()
+        text, start, end = f"{c} {value} {d}", len(c) + 1, len(c) + 1 + len(value)
+        lo = rng.randint(max(0, start - WIDTH // 2), max(0, end - WIDTH // 2))
+        out.append((text[lo : lo + WIDTH], [(max(start - lo, 0), min(end - lo, WIDTH, len(text) - lo), "email")]))
     return out
 
 
@@ -147,6 +166,44 @@ def windows_of(text: str) -> list[tuple[int, str]]:
     return out
 
 
+def joined(text: str, decoded: list[tuple[int, int, list[Span]]]) -> list[tuple[int, int, str, float]]:
+    """Spans that no window holds whole, from fragments of a kind that meet in the overlap of neighbouring windows.
+
+    At least one of two fragments must be cut by its window's edge there.
+    """
+    half, out = WIDTH // 2, []
+    chains: list[list] = []  # [start, end, kind, score, whether cut at the end], all of the last window
+
+    def close(chain: list) -> None:
+        lo, hi, kind, score, _ = chain
+        k = max(0, (lo - 1) // half)  # the last window that has the start inside
+        if hi >= k * half + WIDTH and k * half + WIDTH < len(text):
+            out.append((lo, hi, kind, score))
+
+    last = -WIDTH
+    for at, length, spans in decoded:
+        if at != last + half:
+            for c in chains:
+                close(c)
+            chains = []
+        now = []
+        for a, b, kind, score in spans:
+            lo, hi, cut = at + a, at + b, b == length and at + length < len(text)
+            # Of a window's spans only its last can reach the next one's edge, so few are looked through.
+            for i, c in enumerate(chains):
+                if c[2] == kind and c[0] < lo <= c[1] and hi >= c[1] and (c[4] or a == 0):
+                    lo, score = c[0], score + c[3]
+                    del chains[i]
+                    break
+            now.append([lo, hi, kind, score, cut])
+        for c in chains:
+            close(c)
+        chains, last = now, at
+    for c in chains:
+        close(c)
+    return out
+
+
 def passes(kind: str, value: str) -> bool:
     """The tests that an added find must pass, whatever its spelling."""
     d = digits(value)
@@ -160,6 +217,14 @@ def passes(kind: str, value: str) -> bool:
     return bool(_SPELLED.fullmatch(value))
 
 
+def word_before(text: str, at: int) -> int:
+    """Length of the run of an address's characters that ends at a place."""
+    lo = at
+    while lo and text[lo - 1] in _LETTERS:
+        lo -= 1
+    return at - lo
+
+
 def reconcile(text: str, base: list[Span], decoded: list[tuple[int, int, list[tuple[int, int, str, float]]]]) -> list[Span]:
     """Base spans and the best non-overlapping set of added ones, over all windows of a text.
 
@@ -170,12 +235,14 @@ def reconcile(text: str, base: list[Span], decoded: list[tuple[int, int, list[tu
         for a, b, kind, score in spans:
             cut = (a == 0 and at > 0) or (b == length and at + length < len(text))
             if cut or score <= 0:
-                continue  # the next window holds it whole
+                continue  # another window holds it whole, or its parts are joined
             while a < b and text[at + a] in " .,;:!?#$%&*":
                 a += 1
             while b > a and text[at + b - 1] in " .,;:!?#$%&*":
                 b -= 1
             lo, hi = at + a, at + b
+            if kind == "email" and passes(kind, text[lo:hi]):  # an address begins and ends with whole words
+                lo, hi = lo - word_before(text, lo), _WORDS.match(text, hi).end()
             if hi - lo < 4 or text[lo - 1 : lo].isalnum() and lo or text[hi : hi + 1].isalnum():
                 continue
             if passes(kind, text[lo:hi]) and not any(x < hi and lo < y for x, y, _ in base):
@@ -202,6 +269,7 @@ def find(texts: list[str], model: dict[str, np.ndarray]) -> list[tuple[list[Span
     out, at = [], 0
     for t, b, ws in zip(texts, base, cuts):
         got = [(lo, len(w), decoded[at + i]) for i, (lo, w) in enumerate(ws)]
+        got.append((0, len(t), joined(t, got)))
         at += len(ws)
         out.append((b, reconcile(t, b, got)))
     return out

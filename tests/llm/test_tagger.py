@@ -133,6 +133,44 @@ def test_spans_cut_by_a_window_edge_give_way():
     assert pii.reconcile(t, [], [(0, 12, [(4, 12, "phone", 9.0)]), (6, 12, [(0, 10, "phone", 9.0)])]) == []
 
 
+def address(r, size):
+    """A spelled-out address of about so many characters."""
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(40)]
+    out = f"{words[0]} dot {words[1]} (at) {words[2]} dot {words[3]}"
+    for w in words[4:]:
+        out += f" dot {w}" if len(out) < size else ""
+    return out
+
+
+@pytest.mark.parametrize("size", [50, 60, 70, 95, 96, 97, 120, 150])
+def test_long_spans_are_found_at_every_offset(monkeypatch, size):
+    value = address(random.Random(size), size)
+    for offset in range(2 * pii.WIDTH):
+        t = "x" * offset + " " + value + " " + "y" * 120
+        a, z = offset + 1, offset + 1 + len(value)
+
+        def decode(model, windows):
+            got = []
+            for lo, w in pii.windows_of(t):
+                lo, hi = max(a - lo, 0), min(z - lo, len(w))
+                got.append([(lo, hi, "email", 1.0)] if lo < hi else [])
+            return got
+
+        monkeypatch.setattr(pii_tagger, "decode", decode)
+        assert pii.find([t], {}) == [([], [(a, z, "email")])], offset
+
+
+def test_long_spellings_are_found_by_the_tagger(model):
+    r, hits, cases = random.Random(6), 0, []
+    for i in range(96):
+        v = address(r, 50 + i)
+        left = re.sub(r"[0-9]", "", text(3000 + i, 30))[: 20 + i] + " "
+        cases.append((left + v + ", " + re.sub(r"[0-9]", "", text(4000 + i, 9)), (len(left), len(left) + len(v), "email")))
+    for (t, want), (_, spans) in zip(cases, pii.find([c[0] for c in cases], model)):
+        hits += want in spans
+    assert hits >= 0.5 * len(cases), hits
+
+
 def test_redaction():
     t = "a x@y.org b 1.2.3.4"
     assert pii.redact(t, base_spans(t)) == "a <EMAIL> b <IP>"
