@@ -1,6 +1,7 @@
 """Operator 5, licence scans: canonical digest lookup.
 
-A text is brought to one canonical form: lower case; copyright lines dropped;
+A text is brought to one canonical form: lower case; lines that state who holds
+the rights dropped (running text that opens a line with the word stays);
 every run of characters that are neither letters nor digits turned into one
 space; equivalent spellings replaced.  Two texts that differ in nothing else
 share the digest of that form, so whole texts are matched to known licences by
@@ -22,6 +23,11 @@ from offerlake.llm.common import lookup, read
 from offerlake.llm.licence_texts import NOTICES, SPELLINGS, TEXTS
 from offerlake.session import materialize
 
+#: The word within running text, at a line's end or before what is no holder: marked by capitals, as texts are lower case.
+RUNNING = (
+    r"(?m)\bcopyright([^\pL\pN\n©]*$|[^\pL\pN\n©]+(?:notices?|holders?|owners?|licen[cs]es?|laws?|statements?|permissions?"
+    r"|interests?|treaty|rights?|patents?|trademarks?|protection|disclaimers?|status|and|or|on|in|is|as|to|for|of|the (?:software|library|program))\b)"
+)
 #: A line that only states who holds the rights: it opens with the word or the sign.
 COPYRIGHT = r"(?m)^[^\pL\pN\n]*(?:copyright\b|©|c\) *[0-9]{4}|all rights reserved)[^\n]*$"
 NOT_TEXT = r"[^\pL\pN\n]+"
@@ -30,7 +36,9 @@ NOT_TEXT = r"[^\pL\pN\n]+"
 def canonical_lines(text: Column) -> Column:
     """Canonical lines of a text: an array without empty lines."""
     t = F.lower(F.coalesce(text, F.lit("")))
+    t = F.regexp_replace(t, RUNNING, "COPYRIGHT$1")
     t = F.regexp_replace(t, COPYRIGHT, "")
+    t = F.replace(t, F.lit("COPYRIGHT"), F.lit("copyright"))
     t = F.regexp_replace(t, NOT_TEXT, " ")
     for variant, kept in SPELLINGS:
         t = F.replace(t, F.lit(variant), F.lit(kept))
@@ -84,7 +92,7 @@ def _sql_lines(text: str) -> str:
     """DuckDB text of ``canonical_lines``."""
     t = f"lower(coalesce({text}, ''))"
     # This engine's classes need braces; its word boundary is the same here.
-    for pattern, by in ((COPYRIGHT, ""), (NOT_TEXT, " ")):
+    for pattern, by in ((RUNNING, r"COPYRIGHT\1"), (COPYRIGHT, ""), ("COPYRIGHT", "copyright"), (NOT_TEXT, " ")):
         t = f"regexp_replace({t}, '{pattern.replace(chr(92) + 'pL', chr(92) + 'p{L}').replace(chr(92) + 'pN', chr(92) + 'p{N}')}', '{by}', 'g')"
     for variant, kept in SPELLINGS:
         t = f"replace({t}, '{variant}', '{kept}')"

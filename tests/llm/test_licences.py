@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from conftest_llm import DOCS
 
@@ -48,3 +50,14 @@ def test_defined_cases(odd, empty, clashing, licences):
     assert scan(odd, licences).count() == odd.count() and scan(empty, licences).count() == 0
     assert set(clashing.columns) < set(scan(clashing, licences).columns)
     assert scan(odd, licences.limit(0)).filter("__licence is not null").count() == 0
+
+
+@pytest.mark.parametrize("width", [9, 30, 41, 60, 72, 100, 10**6])
+def test_known_texts_at_other_widths(spark, licences, width):
+    wrapped = [textwrap.fill(" ".join(t.split()), width, break_long_words=False, break_on_hyphens=False) for _, t in TEXTS]
+    assert licence(spark, licences, *wrapped) == [k for k, _ in TEXTS]
+
+
+def test_lines_that_state_a_holder_are_dropped(spark, licences):
+    stated = ["Copyright (c) 2021 A. Person", "Copyright © Notice Ltd", "copyright 1999-2004 Holder", "COPYRIGHT Jane Roe", "Copyright by the authors of x", "* Copyright: The Example Authors"]
+    assert licence(spark, licences, *[c + "\n\n" + MIT for c in stated]) == ["MIT"] * len(stated)
