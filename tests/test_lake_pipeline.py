@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from offerlake.operators.schema import BRONZE_SCHEMAS, SILVER_SCHEMA, ensure_schema
 from offerlake.plans.pipeline import bronze_to_silver, run_pipeline, write_silver
 from offerlake.sources import fixtures, lake

@@ -14,7 +14,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from offerlake.catalog import silver_both
 from offerlake.plans.gold import ANALYTICS_COLUMNS, price_analytics
