@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,17 @@ def sliced(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield b.slice(at, rows)
 
 
+def batches_of_bytes(batches: Iterable[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Record batches cut so that the texts of ``column`` fill at most ``limit`` bytes; a longer text comes alone."""
+    for b in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        a = 0
+        while a < b.num_rows:
+            e = int(np.searchsorted(size, (size[a - 1] if a else 0) + limit, "right"))
+            yield b.slice(a, max(1, e - a))
+            a = max(a + 1, e)
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
     """Record batches sorted by their first column, regrouped so that no group is cut."""
     rest = None

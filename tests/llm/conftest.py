@@ -4,19 +4,9 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-
-#: Words for texts that differ.
-WORDS = "house on the hill with garden and view of lake near old town for sale by owner bright warm quiet".split()
-
-
-def text(seed: int, n: int) -> str:
-    """n words, the same for the same seed."""
-    import random
-
-    r = random.Random(seed)
-    return " ".join(r.choice(WORDS) + str(r.randint(0, 400)) for _ in range(n))
+from conftest_llm import DOCS, text  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -45,8 +35,3 @@ def clashing(odd):
 
     names = "id n size shard slot law target source_size taken token df digest node key place comp root u v doc z lo hi ranges kept score i q w t"
     return odd.select("*", *[F.lit("x").alias(c) for c in names.split()])
-
-
-def rows(df):
-    """Rows as a sorted list, NULL first."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,9 +1,19 @@
-"""Names of this folder's conftest under a module name of its own."""
+"""Names that this folder's tests share."""
 
-from importlib.util import module_from_spec, spec_from_file_location
-from pathlib import Path
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
-_spec = spec_from_file_location("llm_conftest", Path(__file__).with_name("conftest.py"))
-_module = module_from_spec(_spec)
-_spec.loader.exec_module(_module)
-DOCS, rows, text = _module.DOCS, _module.rows, _module.text
+#: Words for texts that differ.
+WORDS = "house on the hill with garden and view of lake near old town for sale by owner bright warm quiet".split()
+
+
+def text(seed: int, n: int) -> str:
+    """n words, the same for the same seed."""
+    import random
+
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + str(r.randint(0, 400)) for _ in range(n))
+
+
+def rows(df):
+    """Rows as a sorted list, NULL first."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
