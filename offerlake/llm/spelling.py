@@ -46,6 +46,8 @@ SLIP = 31
 #: Code points up to which words walk the trie.
 LONG = 48
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words whose states one task of a level handles.
+TASK_WORDS = 50_000
 #: Bit that marks a word's end among the bits of the letters a to z.
 _END = 1 << 26
 
@@ -54,7 +56,7 @@ def counted_words(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", letters: int = LETTERS, occurrences: int = OCCURRENCES
 ) -> DataFrame:
     """(word, n): runs of letters, some of them with a code point left out, that are long and frequent enough."""
-    runs = F.regexp_extract_all(F.col(text_col), F.lit("([A-Za-zÀ-ÿ]{%d,})" % letters))
+    runs = F.regexp_extract_all(F.col(text_col), F.lit("([A-Za-zÀ-ÿ]{%d,}+)" % letters))
     found = docs.select(F.col(id_col).cast("string").alias("id"), F.explode(runs).alias("run"))
     found = found.select("id", F.translate("run", _UPPER, _LOWER).alias("run"))
     h = F.crc32(F.concat(F.coalesce("id", F.lit("")), F.lit(":"), "run").cast("binary"))
@@ -75,68 +77,66 @@ def start_depth(w: str = "w") -> str:
     return f"if(startswith({w}, '>'), 1 + (length({w}) - 1) div 2, length({w}) - (length({w}) - 1) div 2)"
 
 
+def code(text: str, at: str) -> str:
+    """SQL: the code point at a place of a marked word, 0 past its end."""
+    return f"if({at} > length({text}), 0, ascii(substr({text}, {at}, 1)))"
+
+
 def bits(c: str) -> tuple[str, str]:
-    """SQL for the bits of a character: of a to z (and a word's end, an empty string), and of U+00C0 to U+00FF."""
-    low = f"if({c} = '', {_END}L, if(ascii({c}) < 128, shiftleft(1L, ascii({c}) - 97), 0L))"
-    return low, f"if(ascii({c}) >= 192, shiftleft(1L, ascii({c}) - 192), 0L)"
+    """SQL for the bits of a code point: of a to z and a word's end (0), and of U+00C0 to U+00FF."""
+    low = f"if({c} = 0, {_END}L, if({c} < 128, shiftleft(1L, {c} - 97), 0L))"
+    return low, f"if({c} >= 192, shiftleft(1L, {c} - 192), 0L)"
 
 
 def leads_to(c: str) -> str:
-    """SQL: whether the child's characters hold ``c``, or a word's end where ``c`` is empty."""
+    """SQL: whether the code points after the child hold ``c``, or a word's end where it is 0."""
     low, high = bits(c)
     return f"((low & {low}) != 0 or (high & {high}) != 0)"
 
 
 def edge_table(words: DataFrame, letters: int = LETTERS) -> DataFrame:
-    """Edges of the trie: depth, node, c, child, and the bits of what leaves the child (low, high).
+    """Edges of the trie: depth, node, c (the edge's code point), and the bits of what leaves the child (low, high).
 
     Only edges below the depth where the shortest words' states start.
     """
     first = 2 + letters // 2  # the first child that any state reaches
     ways = marked(words).select("w", F.explode(F.sequence(F.lit(first), F.length("w"))).alias("k"))
-    low, high = bits("substr(w, k + 1, 1)")
-    ways = ways.select(F.expr("left(w, k)").alias("child"), F.expr(low).alias("low"), F.expr(high).alias("high"))
-    nodes = ways.groupBy("child").agg(F.bit_or("low").alias("low"), F.bit_or("high").alias("high"))
-    return nodes.select(
-        (F.length("child") - 1).alias("depth"),
-        F.expr("left(child, length(child) - 1)").alias("node"),
-        F.expr("right(child, 1)").alias("c"),
-        "child",
-        "low",
-        "high",
-    ).sortWithinPartitions("depth")
+    ways = ways.select(F.expr("left(w, k)").alias("child"), F.expr(code("w", "k + 1")).alias("next"))
+    low, high = bits("next")
+    nodes = ways.groupBy("child").agg(F.bit_or(F.expr(low)).alias("low"), F.bit_or(F.expr(high)).alias("high"))
+    depth = (F.length("child") - 1).alias("depth")
+    return nodes.select(depth, F.expr("left(child, length(child) - 1) node"), F.expr("ascii(right(child, 1)) c"), "low", "high")
 
 
 def walked_pairs(words: DataFrame, letters: int = LETTERS) -> DataFrame:
     """Near pairs (word, near) of words of at most LONG code points; each pair from one side at least."""
     spark = words.sparkSession
-    deepest = words.agg(F.max(F.length("word"))).first()[0]
-    if deepest is None:
-        return words.select("word", F.col("word").alias("near")).limit(0)
-    base = scratch_path(spark, "spelling-trie")
-    edge_table(words, letters).write.parquet(f"{base}/edges")
+    deepest, count = words.agg(F.max(F.length("word")), F.count("*")).first()
+    if not count:
+        return words.select("word", F.col("word").alias("near"))
+    # A level of few words needs few files.
+    tasks = max(spark.sparkContext.defaultParallelism, count // TASK_WORDS)
+    first, base = 1 + letters // 2, scratch_path(spark, "spelling-trie")
+    edge_table(words, letters).coalesce(tasks).sortWithinPartitions("depth").write.parquet(f"{base}/edges")
     edges = spark.read.parquet(f"{base}/edges")
     starts = marked(words).withColumn("start", F.expr(start_depth()))
-    here, then = "substr(w, k + 1, 1)", "substr(w, k + 2, 1)"
-    carry = f"e = 1 and c = {here} and {leads_to(then)}"
-    replace = f"e = 0 and k < length(w) and c > {here} and {leads_to(then)}"
-    insert = f"e = 0 and (k = length(w) or c != {here}) and {leads_to(here)}"
-    for depth in range(1 + letters // 2, deepest + 2):
+    # here: the word's next code point, then: the one after it.
+    carry = f"e = 1 and c = here and {leads_to('then')}"
+    replace = f"e = 0 and here != 0 and c > here and {leads_to('then')}"
+    insert = f"e = 0 and c != here and {leads_to('here')}"
+    for depth in range(first, deepest + 2):
         states = starts.filter((F.col("start") <= depth) & (F.length("w") >= depth)).select(
-            "w", F.lit(depth).alias("k"), F.expr(f"left(w, {depth})").alias("node"), F.lit(0).alias("e")
+            "w", F.lit(depth).alias("k"), F.expr(f"left(w, {depth}) node"), F.lit(0).alias("e")
         )
-        if depth > 1 + letters // 2:
-            states = states.unionAll(spark.read.parquet(f"{base}/level={depth}").filter("not done").drop("done"))
+        if depth > first:
+            states = states.unionAll(spark.read.parquet(f"{base}/level={depth}").filter("not done").select(*states.columns))
+        states = states.selectExpr("*", f"{code('w', 'k + 1')} here", f"{code('w', 'k + 2')} then")
         step = edges.filter(F.col("depth") == depth).drop("depth")
         joined = states.join(step, "node").filter(f"({carry}) or ({replace}) or ({insert})")
-        moved = joined.select(
-            "w",
-            F.explode(F.expr(f"filter(array(if(e = 1 or {replace}, k + 1, null), if({insert}, k, null)), x -> x is not null)")).alias("k"),
-            F.col("child").alias("node"),
-            F.lit(1).alias("e"),
-        )
-        moved.withColumn("done", F.expr("k = length(w)")).write.parquet(f"{base}/level={depth + 1}")
-    ends = spark.read.option("basePath", base).parquet(*[f"{base}/level={d + 1}" for d in range(1 + letters // 2, deepest + 2)])
+        places = f"if(e = 1, array(k + 1), if({replace}, if({insert}, array(k, k + 1), array(k + 1)), array(k)))"
+        moved = joined.select("w", F.explode(F.expr(places)).alias("k"), F.expr("concat(node, char(c)) node"), F.lit(1).alias("e"))
+        moved.withColumn("done", F.expr("k = length(w)")).coalesce(tasks).write.parquet(f"{base}/level={depth + 1}")
+    ends = spark.read.option("basePath", base).parquet(*[f"{base}/level={d + 1}" for d in range(first, deepest + 2)])
     plain = lambda c: F.expr(f"if(startswith({c}, '>'), substr({c}, 2), reverse(substr({c}, 2)))")
     return ends.filter("done").select(plain("w").alias("word"), plain("node").alias("near"))
 
