@@ -33,12 +33,16 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm.common import lookup, read, sliced, whole_groups
+from offerlake.llm.common import batches_of_bytes, lookup, read, sliced, whole_groups
 from offerlake.llm.suffix_index import Family, anchors, fingerprint, found_in, mix, running
 from offerlake.session import materialize, scratch_path
 
-#: Texts whose suffixes a task makes, and searches for copies, at once.
-SLICE = 1_000
+#: Bytes of texts whose suffixes a task makes, and searches for copies, at once; a longer text comes alone.
+SLICE_BYTES = 4 << 20
+#: Compressed bytes of texts that a task opens at once.
+PACKED_BYTES = 1 << 20
+#: Rows that a task hands on at once.
+ROWS = 8_192
 #: Suffixes of one batch of the index.
 BATCH = 65_536
 #: Text bytes whose suffixes one task indexes.
@@ -54,7 +58,7 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = zstandard.ZstdCompressor(level=3)
-        for b in sliced(batches, 512):
+        for b in batches_of_bytes(batches, 1, SLICE_BYTES):
             z = [c.compress((t or "").encode()) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(z, pa.binary())], names=["doc", "z"])
 
@@ -79,7 +83,7 @@ def suffixes(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFr
     names = ["gram", "segment", "doc", "at", "copy"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, SLICE):
+        for b in batches_of_bytes(batches, 1, SLICE_BYTES):
             rows = sorted(zip(b.column(0).to_pylist(), b.column(1).to_pylist()), key=lambda r: r[0])
             parts = []
             for doc, t in rows:
@@ -147,25 +151,38 @@ def opened_bytes(opened: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
     names = ["gram", "doc", "start", "bytes", "string"]
 
-    def rows(doc: int, text: bytes, grams: list[int], ats: list[int], hots: list[bool]):
-        for gram, at, hot in zip(grams, ats, hots):
-            lo = at >> 7
-            piece = text[lo : lo + (at & 127) - 1 + length]
-            if len(piece) < length:  # another row of the same id holds the segment
-                continue
-            if hot:
-                for i, h in enumerate(strings(np.array([gram]), [piece], length)[0].view(np.int64).tolist()):
-                    yield gram, doc, lo + i, None, h
-            else:
-                yield gram, doc, lo, piece, None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 256):
-            out = []
-            for doc, text, *lists in zip(b.column(0).to_pylist(), unpacked(b.column(1)), *(b.column(i).to_pylist() for i in (2, 3, 4))):
-                out.extend(rows(doc, text, *lists))
-            cols = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        whole: list[tuple] = []
+        dealt: list[list[np.ndarray]] = []  # strings of hot grams
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if whole:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*whole), kinds)], names=names)
+            if dealt:
+                gram, doc, start, h = (pa.array(np.concatenate(x)) for x in zip(*dealt))
+                yield pa.RecordBatch.from_arrays([gram, doc, start, pa.nulls(len(gram), pa.binary()), h], names=names)
+            whole.clear()
+            dealt.clear()
+
+        n = 0
+        for b in batches_of_bytes(batches, 1, PACKED_BYTES):
+            for i in range(b.num_rows):
+                doc, text = b.column(0)[i].as_py(), unpacked(b.column(1).slice(i, 1))[0]
+                for gram, at, hot in zip(*(b.column(c)[i].as_py() for c in (2, 3, 4))):
+                    lo, count = at >> 7, at & 127
+                    piece = text[lo : lo + count - 1 + length]
+                    if len(piece) < length:  # another row of the same id holds the segment
+                        continue
+                    if hot:
+                        h = strings(np.array([gram]), [piece], length)[0].view(np.int64)
+                        dealt.append([np.full(len(h), gram), np.full(len(h), doc), lo + np.arange(len(h)), h])
+                    else:
+                        whole.append((gram, doc, lo, piece, None))
+                    n += count if hot else 1
+                    if n >= ROWS:
+                        yield from told()
+                        n = 0
+        yield from told()
 
     return texts.join(lists, "doc").select("doc", "z", *columns).mapInArrow(
         run, "gram long, doc long, start long, bytes binary, string long"
@@ -282,11 +299,13 @@ def removals(
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
     path = scratch_path(spark, "suffix-scan")
-    scanned(suffixes(docs, length, id_col, text_col), tasks, batch_rows).write.parquet(path)
+    # The tasks' results are a part of the input; as many files as its size asks for hold them.
+    files = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    scanned(suffixes(docs, length, id_col, text_col), tasks, batch_rows).coalesce(files).write.parquet(path)
     found = spark.read.parquet(path)
     texts = packed(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)
     held = scratch_path(spark, "suffix-open")
-    opened_bytes(marked(found.filter("open")), texts, length).write.parquet(held)
+    opened_bytes(marked(found.filter("open")), texts, length).coalesce(files).write.parquet(held)
     held = spark.read.parquet(held)
     cold = compared(held.filter("string is null").select("gram", "doc", "start", "bytes"), length)
     hot = later_strings(held.filter("string is not null").select("string", "doc", "start"), length)
@@ -325,7 +344,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     names = ["doc", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in sliced(batches, 512):
+        for b in batches_of_bytes(batches, 1, PACKED_BYTES):
             rows = []
             for t, lo, hi in zip(unpacked(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 kept, n = cut(t, np.array(lo, np.int64), np.array(hi, np.int64)) if lo else (t, 0)

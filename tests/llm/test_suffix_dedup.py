@@ -57,7 +57,9 @@ def shared_passages(seed, n):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_a_plain_version(spark, monkeypatch, seed, sizes):
     if sizes:
-        monkeypatch.setattr(suffix_dedup, "SLICE", 3)
+        monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 600)
+        monkeypatch.setattr(suffix_dedup, "PACKED_BYTES", 300)
+        monkeypatch.setattr(suffix_dedup, "ROWS", 40)
         monkeypatch.setattr(suffix_dedup, "OPEN_BYTES", 500)
         monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 2)
         monkeypatch.setattr(suffix_index, "PIECE", 64)
@@ -140,7 +142,7 @@ def test_a_repeated_row_is_no_copy_over_batches(cuts):
 
 
 def test_repeated_rows_parted_over_batches(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SLICE", 1)
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 1)
     limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(limit)
     rows = [r for r in shared_passages(4, 12) for _ in range(2)]
