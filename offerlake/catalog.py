@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerlake.functions import parse, vocab
-from offerlake.operators import extract, ml, sites
+from offerlake.operators import extract, ml, search, sites
 from offerlake.operators.clean import (
     categorical_columns,
     drop_all_null,
@@ -516,11 +516,13 @@ def x13_raw_pages_otodom(spark, sf_dir):
 
 # ------------------------------------------------------------- price model
 
-# One plain fit of the price model (M6), so that a check takes seconds.  The search
-# (M7, M10) is ``ml.train_price_model``; with DEFAULT_GRID it fits 30 models of
-# 100 to 900 trees and is not registered.
+# One plain fit of the price model (M6).
 PLAIN_TREES = {"stepSize": 0.1, "maxDepth": 5, "maxIter": 20}
 
+# The search that queries run: DEFAULT_GRID's rates, all draws and folds, with few and shallow trees.
+# README has the measured time of DEFAULT_GRID itself, which is the default of ``ml.train_price_model``.
+SEARCH_GRID = {"stepSize": ml.DEFAULT_GRID["stepSize"], "maxDepth": (2, 3, 5), "maxIter": (4, 8, 12)}
+
 
 def gold(spark, sf_dir, passes: int = 1):
     """The ML gold table; materialised once when the query reads it several times (fits)."""
@@ -600,6 +602,23 @@ def m2_impute_mode(spark, sf_dir):
     return ml.Imputer({c: imp.fills[c] for c in ml.MODE_COLUMNS}).transform(g)
 
 
+@register("m2_fold_fills")
+def m2_fold_fills(spark, sf_dir):
+    """Mean and mode of every imputed column over each fold's training rows, counted once for all folds.
+
+    The fold is the whole price modulo 3, which SQL can say too.
+    """
+    g = gold(spark, sf_dir, passes=2)
+    folded = g.withColumn("fold", (F.floor("price_total").cast("long") % 3).cast("int"))
+    fills = search.fold_fills(folded, 3, ml.MEAN_COLUMNS, ml.MODE_COLUMNS)
+    rows = [
+        (f, c, None if c in ml.MEAN_COLUMNS else v, None if v is None or c not in ml.MEAN_COLUMNS else round(v, 6))
+        for f, values in enumerate(fills)
+        for c, v in values.items()
+    ]
+    return spark.createDataFrame(rows, "fold int, column string, value string, mean double")
+
+
 @register("m3_impute_const")
 def m3_impute_const(spark, sf_dir):
     g, imp = _fitted(spark, sf_dir)
@@ -654,6 +673,15 @@ def m6_fit_and_score(spark, sf_dir):
     )
 
 
+@register("m7_staged_search")
+def m7_staged_search(spark, sf_dir):
+    """Ten draws of SEARCH_GRID over three price-stratified folds of the whole gold table: their mean RMSE."""
+    g = gold(spark, sf_dir, passes=2)
+    found = ml.train_price_model(g, grid=SEARCH_GRID, stored=True).candidates
+    rows = [(p["stepSize"], p["maxDepth"], p["maxIter"], e) for p, e in found]
+    return spark.createDataFrame(rows, "learning_rate double, depth int, trees int, rmse double")
+
+
 # ------------------------------------------------------- ingest and whole run
 
 def _land_fixture(spark, sf_dir, root, site):
@@ -695,20 +723,28 @@ def s2_append_twice(spark, sf_dir):
     return read_table(spark, p.silver)
 
 
-def _whole_run(spark, sf_dir):
-    """Ingest, silver of both sites and both gold tables, without the model search; the written paths."""
+def _whole_run(spark, sf_dir, **kwargs):
+    """Ingest, silver of both sites, both gold tables and, on request, the price model; the written paths."""
     from offerlake.streaming.ingest import ingest
 
     root = scratch_path(spark, "lake")
     for site in ("olx", "otodom"):
         _land_fixture(spark, sf_dir, root, site)
     ingest(spark, root)
-    return run_pipeline(spark, root, train=False)
+    return run_pipeline(spark, root, **{"train": False, **kwargs})
+
+
+@register("j4_train")
+def j4_train(spark, sf_dir):
+    """A whole run with its last step: the gold rows scored by the model that the search found and saved."""
+    run = _whole_run(spark, sf_dir, train=True, train_kwargs={"grid": SEARCH_GRID})
+    gold_rows = read_table(spark, run["ml"])
+    return ml.predict(ml.load_model(run["model"]), gold_rows).select(*gold_rows.columns, "prediction")
 
 
 @register("j4_run_pipeline")
 def j4_run_pipeline(spark, sf_dir):
-    """The analytics gold table as written by a whole run (model search left out, see PLAIN_TREES)."""
+    """The analytics gold table as written by a whole run (``j4_train`` runs the model step too)."""
     return read_table(spark, _whole_run(spark, sf_dir)["analytics"])
 
 

@@ -13,10 +13,9 @@ import itertools
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from offerlake.functions import vocab
+from offerlake.operators import search
 from offerlake.operators.clean import categorical_columns, drop_columns, drop_null_columns
 from offerlake.session import checkpoint_dir, materialize
 
@@ -119,6 +119,26 @@ class Imputer:
         return df.withColumns(e)
 
 
+def imputed_columns(
+    df: DataFrame, mean_cols: Sequence[str] = MEAN_COLUMNS, mode_cols: Sequence[str] = MODE_COLUMNS
+) -> tuple[list[str], list[str]]:
+    """The columns filled by a mean and by a mode that ``df`` has."""
+    return [c for c in mean_cols if c in df.columns], [c for c in mode_cols if c in df.columns]
+
+
+def constant_fills(
+    df: DataFrame,
+    filled: Sequence[str],
+    const_cols: Sequence[str] = CONST_COLUMNS,
+    fill_value: str = vocab.MISSING_CATEGORY,
+    target: str = TARGET,
+) -> dict[str, str]:
+    """M3: the listed columns and every other string column that no mean or mode fills (the remainder rule)."""
+    listed = {*filled, target}
+    rest = [f.name for f in df.schema.fields if f.name not in listed and isinstance(f.dataType, StringType)]
+    return {c: fill_value for c in [*(c for c in const_cols if c in df.columns), *rest]}
+
+
 def fit_imputer(
     df: DataFrame,
     mean_cols: Sequence[str] = MEAN_COLUMNS,
@@ -127,20 +147,13 @@ def fit_imputer(
     fill_value: str = vocab.MISSING_CATEGORY,
     target: str = TARGET,
 ) -> Imputer:
-    """Fit mean, mode and constant imputation on the columns that are present;
-    every other string column gets the constant too (the remainder rule)."""
-    have = set(df.columns)
-    mean_cols = [c for c in mean_cols if c in have]
-    mode_cols = [c for c in mode_cols if c in have]
+    """Fit mean, mode and constant imputation on the columns that are present."""
+    mean_cols, mode_cols = imputed_columns(df, mean_cols, mode_cols)
     fills: dict[str, object] = dict(mean_values(df, mean_cols))
     if mode_cols:
         for r in mode_table(df, mode_cols).collect():  # one row per column
             fills[r["column"]] = r["value"]
-    listed = set(mean_cols) | set(mode_cols) | {target}
-    rest = [f.name for f in df.schema.fields if f.name not in listed and isinstance(f.dataType, StringType)]
-    for c in [c for c in const_cols if c in have] + rest:
-        fills.setdefault(c, fill_value)
-    return Imputer(fills)
+    return Imputer(constant_fills(df, [*mean_cols, *mode_cols], const_cols, fill_value, target) | fills)
 
 
 def as_categories(df: DataFrame, cats: Sequence[str]) -> DataFrame:
@@ -343,6 +356,14 @@ def prepare(gold: DataFrame, target: str = TARGET, stored: bool = False) -> Prep
     return Prepared(df, target, encoder, [c for c in df.columns if c not in cats and c != target])
 
 
+def fold_imputers(folded: DataFrame, folds: int, target: str = TARGET) -> list[Imputer]:
+    """For each fold the imputer of its training rows, from statistics that are counted once for all folds."""
+    plain = folded.drop("fold")
+    means, modes = imputed_columns(plain)
+    constants = constant_fills(plain, [*means, *modes], target=target)
+    return [Imputer(constants | fills) for fills in search.fold_fills(folded, folds, means, modes)]
+
+
 def train_price_model(
     gold: DataFrame,
     grid: Mapping[str, Sequence] = DEFAULT_GRID,
@@ -352,39 +373,42 @@ def train_price_model(
     parallelism: int = 4,
     target: str = TARGET,
     stored: bool = False,
+    ledger: str | None = None,
 ) -> FitResult:
     """P17-P20, encoding (M4), then imputation (M1-M3), assembly (M5) and trees (M6)
     searched (M7) over stratified folds (M8) by RMSE (A6); refit on all rows.
 
     Means and modes are fitted inside each fold, on its training rows only.  A
     fold's vectors are made once and stored on executors' disks (recomputed if
-    one is lost); the candidates differ in their trees alone and read that
-    copy, ``parallelism`` of them at a time.  The passes over ``gold`` read one
-    stored copy: pass ``stored=True`` when it already is one (read from a
-    written table, or checkpointed), otherwise it is checkpointed first.
+    one is lost); draws that differ in their number of trees alone share one
+    fit, and the fits of a fold read that copy, ``parallelism`` of them at a time.
+    ``ledger`` names a table (on shared storage) in which finished fits are
+    written down: a search that was cut off goes on from there.  The passes over
+    ``gold`` read one stored copy: pass ``stored=True`` when it already is one
+    (read from a written table, or checkpointed), otherwise it is checkpointed first.
     """
     p = prepare(gold, target, stored)
     params = sample_params(grid, n_iter, seed)
+    wanted = search.staged(params)
     folded = assign_folds(p.df, folds, target, seed)
-    scores = [[] for _ in params]
-    for f in range(folds):
+    book = search.Ledger(p.df.sparkSession, ledger, search.digest(p.df, seed=seed, folds=folds) if ledger else "")
+    open_folds = [f for f in range(folds) if not all(book.holds(fit, f, counts) for fit, counts in wanted.items())]
+    imputers = fold_imputers(folded, folds, target) if open_folds else []
+    for f in open_folds:
         train, test = (folded.filter(side).drop("fold") for side in (F.col("fold") != f, F.col("fold") == f))
-        imputer = p.imputer(train)
-        fit_on, try_on = (p.vectors(x, imputer).persist(StorageLevel.DISK_ONLY) for x in (train, test))
+        fit_on, try_on = (p.vectors(x, imputers[f]).persist(StorageLevel.DISK_ONLY) for x in (train, test))
 
-        def error(i: int) -> float:
-            scored = p.trees(params[i], seed).fit(fit_on).transform(try_on)
-            return rmse(scored, label=target).first()[0]
+        def errors(fit: str, counts: Sequence[int]) -> list[tuple[int, float, int]]:
+            model = p.trees({**json.loads(fit), "maxIter": counts[-1]}, seed).fit(fit_on)
+            return search.stage_errors(model, try_on, target, counts)
 
-        pool = ThreadPool(min(parallelism, len(params)))
         try:
-            for i, e in enumerate(pool.map(inheritable_thread_target(folded.sparkSession)(error), range(len(params)))):
-                scores[i].append(e)
+            search.run_fits(book, f, wanted, errors, parallelism)
         finally:
-            pool.close()
             fit_on.unpersist()
             try_on.unpersist()
-    means = [float(np.mean(x)) for x in scores]
+    fit_of = [json.dumps({k: v for k, v in x.items() if k != "maxIter"}, sort_keys=True) for x in params]
+    means = [float(np.mean([book.error(fit, f, x["maxIter"]) for f in range(folds)])) for fit, x in zip(fit_of, params)]
     best = int(np.argmin(means))
     return FitResult(p.fit(params[best], seed), params[best], means[best], list(zip(params, means)))
 

@@ -372,7 +372,7 @@ oracle("x13_raw_pages_otodom", f"select page_id, 'otodom' as offer_source, {_TIT
 
 # ------------------------------------------------------------- price model
 
-_GOLD = f"{_BOTH}, gold as (select {', '.join(ML_FEATURES)} from silver where price_total is not null)"
+_GOLD = f"{_BOTH}, gold as materialized (select {', '.join(ML_FEATURES)} from silver where price_total is not null)"
 _TYPES = dict(o.SILVER_TYPES)
 _MEAN = ("size", "rent")
 _MODE = (
@@ -422,7 +422,7 @@ oracle(
 
 # The means are made once; as subqueries of every row's projection they made the check run out of time.
 _MEANS = "means as materialized (select " + ", ".join(f"cast(avg({c}) as float) as {c}_mean" for c in _MEAN) + " from gold)"
-_MEAN_FILL = {c: f"coalesce({c}, (select {c}_mean from means))" for c in _MEAN}
+_MEAN_FILL = {c: f"coalesce({c}, {c}_mean)" for c in _MEAN}
 _MODE_FILL = {
     c: f"coalesce({c}, (select cast(value as {_TYPES[c]}) from modes where \"column\" = {o.q(c)}))" for c in _MODE
 }
@@ -430,7 +430,9 @@ _CONST_FILL = {c: f"coalesce({c}, 'MISSING')" for c in _CONST}
 
 
 def _replace(fills: dict) -> str:
-    return "select * replace (" + ", ".join(f"{e} as {c}" for c, e in fills.items()) + ") from gold"
+    """Gold with columns replaced; the one row of means is joined once, not looked up by each row."""
+    means = ", means" if any(c in fills for c in _MEAN) else ""
+    return "select gold.* replace (" + ", ".join(f"{e} as {c}" for c, e in fills.items()) + f") from gold{means}"
 
 
 oracle("m1_impute_mean", f"{_GOLD}, {_MEANS} {_replace(_MEAN_FILL)}")
@@ -445,6 +447,25 @@ oracle(
     + " from imp",
 )
 
+
+
+def _fold_fills(k: int = 3) -> str:
+    """Mean and mode of each column over the rows of the other folds (fold: whole price modulo k)."""
+    fold = f"cast(cast(floor(price_total) as bigint) % {k} as integer)"
+    parts = []
+    for f in range(k):
+        rows = f"gold where {fold} <> {f}"
+        parts += [f"select {f} as fold, {o.q(c)} as \"column\", cast(null as varchar) as value, round(avg(cast({c} as double)), 6) as mean from {rows}" for c in _MEAN]
+        modes = _mode_rows().replace("from gold where", f"from gold where {fold} <> {f} and")
+        parts.append(
+            f"select {f} as fold, \"column\", value, cast(null as double) as mean from ({modes}) "
+            "qualify row_number() over (partition by \"column\" order by n desc, num asc nulls first, txt asc nulls first) = 1"
+        )
+    return " union all ".join(f"({x})" for x in parts)
+
+
+oracle("m2_fold_fills", f"{_GOLD} {_fold_fills()}")
+
 # Fold sizes follow from the global rank alone (fold = rank mod 3), whatever order ties take.
 oracle(
     "m8_folds",

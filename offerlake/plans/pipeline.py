@@ -80,7 +80,8 @@ def run_pipeline(
     result = {"silver": paths.silver, "analytics": paths.gold_analytics, "ml": paths.gold_ml}
     if train:
         gold = lake.read_table(spark, paths.gold_ml, fmt)
-        fit = ml.train_price_model(gold, stored=True, **(train_kwargs or {}))  # a table scan: no second copy
+        # A table scan: no second copy.  A restarted run goes on from the ledger of finished fits.
+        fit = ml.train_price_model(gold, stored=True, **{"ledger": paths.search_ledger, **(train_kwargs or {})})
         ml.save_model(fit.model, paths.model)
         result["model"] = paths.model
         result["rmse"] = fit.best_rmse

@@ -44,6 +44,10 @@ class LakePaths:
     def model(self) -> str:
         return f"{self.root.rstrip('/')}/gold/price_model"
 
+    @property
+    def search_ledger(self) -> str:
+        return self.checkpoint("price-model-search")
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 

@@ -72,16 +72,17 @@ def test_training_takes_any_number_of_categories_and_rare_ones(spark, tmp_root):
     assert ml.rmse(got).first()[0] < spread
 
 
-def test_imputation_is_fitted_on_each_folds_training_rows(spark, monkeypatch):
-    seen, fit = [], ml.fit_imputer
-
-    def noted(df, **kw):
-        seen.append(df.count())
-        return fit(df, **kw)
-
-    monkeypatch.setattr(ml, "fit_imputer", noted)
-    ml.train_price_model(priced(spark, 90, 5), grid={"stepSize": (0.1,), "maxDepth": (2,), "maxIter": (2,)}, n_iter=1)
-    assert seen == [0, 60, 60, 60, 90]  # names of fills, three folds, the refit
+def test_fold_imputers_equal_a_fit_on_each_folds_training_rows(spark):
+    """From sums and counts of all folds, as the imputer of the other folds' rows would have it."""
+    folded = ml.assign_folds(priced(spark, 200, 5), 3).withColumn("n_rooms", F.expr("cast(price_total as int) % 4"))
+    folded = folded.withColumn("year_built", F.expr("if(fold = 1, null, cast(price_total as int) % 7)"))
+    folded = folded.withColumn("has_tv", F.expr("if(fold = 2, n_rooms > 1, null)")).withColumn("building_type", F.expr("nullif('x', 'x')"))
+    for f, imputer in enumerate(ml.fold_imputers(folded, 3)):
+        want = ml.fit_imputer(folded.filter(F.col("fold") != f).drop("fold")).fills
+        got = imputer.fills
+        assert got["size"] == pytest.approx(want["size"], rel=1e-12)
+        assert {c: v for c, v in got.items() if c != "size"} == {c: v for c, v in want.items() if c != "size"}
+        assert "has_tv" not in got or f != 2
 
 
 def test_folds_balanced_by_price(spark):
