@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from offerlake.functions import parse, vocab
 from offerlake.operators import extract, ml, search, sites
@@ -28,11 +29,12 @@ from offerlake.operators.clean import (
 )
 from offerlake.operators.dedup import deduplicate, distinct_sources, exists_frame, keep_first, single_source
 from offerlake.sources.lake import LakePaths, read_table, union_evolving
-from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
+from offerlake.operators.schema import BRONZE_SCHEMAS, SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics
 from offerlake.plans.pipeline import bronze_to_silver, run_pipeline, write_silver
 from offerlake.session import apply_query_conf, materialize, scratch_path
 from offerlake.sources import fixtures, listing_pages
+from offerlake.sources.bronze import read_bronze
 from offerlake.sources.fixtures import FIXTURE_ORDER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -686,7 +688,6 @@ def m7_staged_search(spark, sf_dir):
 
 def _land_fixture(spark, sf_dir, root, site):
     """The fixture rows as the crawler's landing batches (bronze schema, JSON files)."""
-    from offerlake.operators.schema import BRONZE_SCHEMAS, ensure_schema
     from offerlake.streaming.ingest import land_batch
 
     rows = ensure_schema(bronze(spark, sf_dir, site), BRONZE_SCHEMAS[site])
@@ -694,24 +695,59 @@ def _land_fixture(spark, sf_dir, root, site):
 
 
 def _ingested_twice(spark, sf_dir, site):
-    """Land a site's rows, ingest them twice (the rerun must add nothing), read bronze back."""
+    """Land a site's rows, ingest them twice (the rerun must add nothing); the lake's paths."""
     from offerlake.streaming.ingest import ingest
 
     root = scratch_path(spark, "lake")
     _land_fixture(spark, sf_dir, root, site)
     ingest(spark, root, sites=(site,))
     ingest(spark, root, sites=(site,))
-    return read_table(spark, LakePaths(root).bronze(site))
+    return LakePaths(root)
 
 
 @register("s4_stream_ingest")
 def s4_stream_ingest(spark, sf_dir):
-    return _ingested_twice(spark, sf_dir, "olx")
+    return read_bronze(spark, _ingested_twice(spark, sf_dir, "olx"), "olx")
 
 
 @register("s4_stream_ingest_otodom")
 def s4_stream_ingest_otodom(spark, sf_dir):
-    return _ingested_twice(spark, sf_dir, "otodom")
+    return read_bronze(spark, _ingested_twice(spark, sf_dir, "otodom"), "otodom")
+
+
+@register("s4_batch_counts")
+def s4_batch_counts(spark, sf_dir):
+    """Rows that the micro-batches counted while they passed, by site, without a look at the tables."""
+    from offerlake.streaming.ingest import batch_counts
+
+    per_site = [
+        batch_counts(spark, _ingested_twice(spark, sf_dir, site), site).agg(
+            F.lit(site).alias("site"), F.sum("rows").alias("rows"), F.sum("rescued").alias("rescued")
+        )
+        for site in ("olx", "otodom")
+    ]
+    return per_site[0].unionAll(per_site[1])
+
+
+@register("s5_evolving_ingest")
+def s5_evolving_ingest(spark, sf_dir):
+    """OLX rows in two landed batches that hold two fields the schema lacks; one of these gets a column in between.
+
+    The promoted field has its typed column for the rows of both batches, the other one is still rescued.
+    """
+    from offerlake.sources.bronze import RESCUED, promote
+    from offerlake.streaming.ingest import ingest, land_batch
+
+    p = LakePaths(scratch_path(spark, "lake"))
+    rows = bronze(spark, sf_dir, "olx")
+    extra = rows.select("*", (F.col("seq") % 50 / 10).alias("agent_rating"), F.concat(F.lit("C"), F.col("seq") % 7).alias("energy_class"))
+    whole = ensure_schema(extra, StructType([*BRONZE_SCHEMAS["olx"].fields, *extra.select("seq", "agent_rating", "energy_class").schema.fields]))
+    for odd in (0, 1):
+        land_batch(whole.filter(F.col("seq") % 2 == odd).drop("seq"), p, "olx")
+        ingest(spark, p.root, sites=("olx",))
+        promote(spark, p, "olx", {"agent_rating": "double"})
+    got = read_bronze(spark, p, "olx", rescued=True)
+    return got.withColumn("energy_class", F.get_json_object(RESCUED, "$.energy_class")).drop(RESCUED)
 
 
 @register("s2_append_twice")

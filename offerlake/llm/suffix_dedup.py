@@ -300,7 +300,7 @@ def removals(
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
     path = scratch_path(spark, "suffix-scan")
     # The tasks' results are a part of the input; as many files as its size asks for hold them.
-    files = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    files = max(spark.sparkContext.defaultParallelism, -(-4 * total // task_bytes))
     scanned(suffixes(docs, length, id_col, text_col), tasks, batch_rows).coalesce(files).write.parquet(path)
     found = spark.read.parquet(path)
     texts = packed(docs.filter(F.col(id_col).isNotNull()), id_col, text_col)

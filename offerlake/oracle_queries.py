@@ -486,6 +486,17 @@ oracle("m9_predict_no_model", f"{_GOLD} select *, cast({vocab.NO_MODEL_PREDICTIO
 oracle("s4_stream_ingest", o.bronze_rows(o.F4, "olx", o.F4_COLUMNS))
 
 oracle("s4_stream_ingest_otodom", o.bronze_rows(o.F5, "otodom", o.F5_COLUMNS))
+oracle(
+    "s4_batch_counts",
+    f"select 'olx' as site, count(*) as rows, 0 as rescued from ({o.F4}) union all select 'otodom', count(*), 0 from ({o.F5})",
+)
+# Fields that the schema lacks are kept, with their column or without one.
+oracle(
+    "s5_evolving_ingest",
+    o.bronze_rows(o.F4, "olx", o.F4_COLUMNS).replace(
+        " from (", ", cast(seq % 50 as double) / 10 as agent_rating, 'C' || (seq % 7) as energy_class from (", 1
+    ),
+)
 oracle(
     "s2_append_twice",
     f"with {o.olx_silver_ctes()}, s as (select * from silver_olx) select * from s union all select * from s",

@@ -13,6 +13,7 @@ from offerlake.operators.schema import SILVER_SCHEMA, ensure_schema
 from offerlake.plans.gold import ml_dataset, price_analytics, sorted_for_write
 from offerlake.session import shuffle_partitions
 from offerlake.sources import lake
+from offerlake.sources.bronze import read_bronze
 
 
 def bronze_to_silver(
@@ -59,8 +60,8 @@ def run_pipeline(
     """Bronze -> silver for each site, both gold tables, then the price model.
 
     Every stage hands over a written table (the lineage is cut at each write),
-    so a lost executor only re-runs the current stage.  Bronze files may have
-    evolving schemas (S5).  ``partitions`` sets the shuffle partitions of the
+    so a lost executor only re-runs the current stage.  Bronze is read with its
+    site's stored schema, promoted columns included (S5).  ``partitions`` sets the shuffle partitions of the
     silver build, whose shuffles carry whole bronze rows
     (``session.shuffle_partitions_for`` gives a number that fits a table).
     """
@@ -68,7 +69,7 @@ def run_pipeline(
 
     paths = lake.LakePaths(root)
     for site in sites_in_order:
-        bronze = lake.read_table(spark, paths.bronze(site), fmt, merge_schema=True)
+        bronze = read_bronze(spark, paths, site, fmt)  # the stored schema: no footer is opened to find it
         found = single_source(bronze)  # D5 on the raw source column: a one-column scan
         if found != site:
             raise ValueError(f"bronze table of {site!r} holds offers of {found!r}")

@@ -44,6 +44,9 @@ class LakePaths:
     def model(self) -> str:
         return f"{self.root.rstrip('/')}/gold/price_model"
 
+    def schemas(self, site: str) -> str:
+        return f"{self.root.rstrip('/')}/_schemas/{site}"
+
     @property
     def search_ledger(self) -> str:
         return self.checkpoint("price-model-search")

@@ -1,13 +1,15 @@
 """Lake round trips, schema evolution, streaming ingest and the whole run."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
 from offerlake.operators.schema import BRONZE_SCHEMAS, SILVER_SCHEMA, ensure_schema
 from offerlake.plans.pipeline import bronze_to_silver, run_pipeline, write_silver
-from offerlake.sources import fixtures, lake
-from offerlake.streaming.ingest import ingest, land_batch
+from offerlake.sources import bronze, fixtures, lake
+from offerlake.streaming.ingest import batch_counts, ingest, land_batch, start_ingest
 
 
 def test_round_trip_and_evolution(spark, tmp_root):
@@ -90,8 +92,56 @@ def test_ingest_counts_all_of_many_micro_batches(spark, tmp_root):
 
     rows = ensure_schema(spark.range(240).selectExpr("cast(id as string) as offer_id", "'olx' as offer_source"), BRONZE_SCHEMAS["olx"])
     land_batch(rows.coalesce(1), lake.LakePaths(tmp_root), "olx", batch_size=2)  # 120 files
+    p = lake.LakePaths(tmp_root)
     assert ingest(spark, tmp_root, sites=("olx",), max_files_per_trigger=1) == {"olx": 240}
     assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 0}
+    land_batch(rows.limit(3), p, "olx")
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 3}
+    counts = batch_counts(spark, p, "olx")
+    assert counts.count() >= 121 and counts.agg(F.sum("rows")).first()[0] == 243
+    assert {tuple(r) for r in counts.filter("batch < 120").select("rows", "rescued").collect()} == {(2, 0)}
+
+
+def test_a_count_lost_with_its_driver_is_made_up_for(spark, tmp_root, monkeypatch):
+    p = lake.LakePaths(tmp_root)
+    for n in (4, 5):
+        land_batch(spark.range(n).selectExpr("cast(id as string) as offer_id"), p, "olx")
+        q = start_ingest(spark, p, "olx")  # commits, but its counts are never written
+        q.awaitTermination()
+    land_batch(spark.range(6).selectExpr("cast(id as string) as offer_id"), p, "olx")
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 15}
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 0}
+    assert batch_counts(spark, p, "olx").agg(F.sum("rows")).first()[0] == 15
+
+
+def test_unknown_fields_are_rescued_and_promoted(spark, tmp_root):
+    p = lake.LakePaths(tmp_root)
+    lines = [
+        '{"offer_id": "1", "offer_source": "olx", "price_total": "5", "rooms": 3, "tags": ["a", "b"], "note": null}',
+        '{"offer_id": "2", "rooms": "4", "owner": {"name": "x"}}',
+        "no json",
+        "",
+        '{"offer_id": "3"}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(p.landing("olx"))
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 4}
+    kept = {r["offer_id"]: r["_rescued"] for r in bronze.read_bronze(spark, p, "olx", rescued=True).collect()}
+    assert json.loads(kept["1"]) == {"rooms": "3", "tags": '["a","b"]'} and kept["3"] is None
+    assert json.loads(kept["2"]) == {"rooms": "4", "owner": '{"name":"x"}'} and kept[None] == "no json"
+    found = {r["field"]: (r["n"], r["type"]) for r in bronze.rescued_fields(spark, p, "olx").collect()}
+    assert found == {"rooms": (2, "bigint"), "tags": (1, "string"), "owner": (1, "string")}
+    assert bronze.promote(spark, p, "olx", {"rooms": "bigint", "tags": "array<string>"}) == 1
+    assert bronze.promote(spark, p, "olx", {"rooms": "bigint"}) == 1
+    with pytest.raises(ValueError):
+        bronze.promote(spark, p, "olx", {"rooms": "string"})
+    more = ['{"offer_id": "4", "rooms": 5, "tags": ["c"]}', '{"offer_id": "5", "rooms": "many"}']
+    spark.createDataFrame([(x,) for x in more], "value string").coalesce(1).write.mode("append").text(p.landing("olx"))
+    ingest(spark, tmp_root, sites=("olx",))
+    got = {r["offer_id"]: (r["rooms"], r["tags"], r["_rescued"]) for r in bronze.read_bronze(spark, p, "olx", rescued=True).collect()}
+    assert got["1"] == (3, ["a", "b"], None) and got["2"][0] == 4 and json.loads(got["2"][2]) == {"owner": '{"name":"x"}'}
+    assert got["4"] == (5, ["c"], None) and got["5"] == (None, None, '{"rooms":"many"}') and got[None] == (None, None, "no json")
+    plan = bronze.read_bronze(spark, p, "olx")._jdf.queryExecution().toString()
+    assert "rooms" in plan and "_rescued" not in bronze.read_bronze(spark, p, "olx").columns
 
 
 def test_two_appends_are_two_copies_and_overwrite_is_one(spark, tmp_root):
