@@ -770,6 +770,21 @@ def _whole_run(spark, sf_dir, **kwargs):
     return run_pipeline(spark, root, **{"train": False, **kwargs})
 
 
+@register("j1_incremental_silver")
+def j1_incremental_silver(spark, sf_dir):
+    """OLX silver after three landed batches, each brought into it on its own; equal to one build from all rows."""
+    from offerlake.plans.incremental import update_silver
+    from offerlake.streaming.ingest import ingest, land_batch
+
+    p = LakePaths(scratch_path(spark, "lake"))
+    rows = bronze(spark, sf_dir, "olx")
+    for part in (2, 0, 1):
+        land_batch(ensure_schema(rows.filter(F.col("seq") % 3 == part), BRONZE_SCHEMAS["olx"]), p, "olx")
+        ingest(spark, p.root, sites=("olx",))
+        update_silver(spark, p, "olx")
+    return read_table(spark, p.silver)
+
+
 @register("j4_train")
 def j4_train(spark, sf_dir):
     """A whole run with its last step: the gold rows scored by the model that the search found and saved."""

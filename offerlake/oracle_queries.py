@@ -509,6 +509,7 @@ _RUN = (
     f"with {o.olx_silver_ctes(bronze=True)}, {o.otodom_silver_ctes(bronze=True)}, "
     "silver as (select * from silver_olx union all select * from silver_otodom) "
 )
+oracle("j1_incremental_silver", f"with {o.olx_silver_ctes(bronze=True)} select * from silver_olx")
 oracle("j4_silver", f"{_RUN} select * from silver")
 oracle("j4_ml", f"{_RUN} select {', '.join(ML_FEATURES)} from silver where price_total is not null")
 oracle(

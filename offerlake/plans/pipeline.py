@@ -56,6 +56,7 @@ def run_pipeline(
     train: bool = True,
     train_kwargs: dict | None = None,
     partitions: int | None = None,
+    incremental: bool = False,
 ) -> dict:
     """Bronze -> silver for each site, both gold tables, then the price model.
 
@@ -64,11 +65,18 @@ def run_pipeline(
     site's stored schema, promoted columns included (S5).  ``partitions`` sets the shuffle partitions of the
     silver build, whose shuffles carry whole bronze rows
     (``session.shuffle_partitions_for`` gives a number that fits a table).
+    ``incremental`` takes only the micro-batches that bronze has got since the last
+    run (``plans.incremental``) instead of building silver from all of it.
     """
     from offerlake.operators import ml  # heavy import only when training
+    from offerlake.plans.incremental import update_silver
 
     paths = lake.LakePaths(root)
     for site in sites_in_order:
+        if incremental:
+            with shuffle_partitions(spark, partitions):
+                update_silver(spark, paths, site, fmt, order_by=order_by, compat_dates=compat_dates)
+            continue
         bronze = read_bronze(spark, paths, site, fmt)  # the stored schema: no footer is opened to find it
         found = single_source(bronze)  # D5 on the raw source column: a one-column scan
         if found != site:

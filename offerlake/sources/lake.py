@@ -47,6 +47,9 @@ class LakePaths:
     def schemas(self, site: str) -> str:
         return f"{self.root.rstrip('/')}/_schemas/{site}"
 
+    def state(self, site: str) -> str:
+        return f"{self.root.rstrip('/')}/_state/{site}"
+
     @property
     def search_ledger(self) -> str:
         return self.checkpoint("price-model-search")
