@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from offerlake.functions import html as H
 from offerlake.functions import parse, vocab
 from offerlake.operators import extract, ml, search, sites
 from offerlake.operators.clean import (
@@ -456,7 +457,7 @@ def x5_olx_details(spark, sf_dir):
 
 @register("x6_olx_state")
 def x6_olx_state(spark, sf_dir):
-    p = listing_pages.olx_pages(spark, sf_dir).withColumn("state", extract.olx_state_json())
+    p = listing_pages.olx_pages(spark, sf_dir).withColumn("state", H.json_document(extract.olx_state_json()))
     return _extract(p, **extract.olx_state_fields(F.col("state")))
 
 
@@ -468,13 +469,13 @@ def x7_otodom_details(spark, sf_dir):
 
 @register("x8_otodom_ids")
 def x8_otodom_ids(spark, sf_dir):
-    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", H.json_document(extract.next_data()))
     return _extract(p, **extract.otodom_ids(F.col("doc")))
 
 
 @register("x9_otodom_images")
 def x9_otodom_images(spark, sf_dir):
-    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", H.json_document(extract.next_data()))
     return _extract(p, image_urls=extract.otodom_image_urls(F.col("doc")))
 
 
@@ -485,7 +486,7 @@ def x10_otodom_prices(spark, sf_dir):
 
 @register("x11_otodom_dates")
 def x11_otodom_dates(spark, sf_dir):
-    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", extract.next_data())
+    p = listing_pages.otodom_pages(spark, sf_dir).withColumn("doc", H.json_document(extract.next_data()))
     return _extract(p, **extract.otodom_dates(F.col("doc")))
 
 

@@ -124,3 +124,18 @@ def script_body(html: ColumnOrName, script_id: str) -> Column:
     """Text of ``<script id="...">``; NULL when the page has none."""
     tag = open_tag("script", "id", script_id)
     return F.when(_c(html).rlike(tag), F.regexp_extract(_c(html), rf"(?s){tag}(.*?)</(?i:script)\s*>", 1))
+
+
+def json_document(text: Column) -> Column:
+    """A JSON text with what is read from it: (doc, v), v its VARIANT, parsed once for all fields.
+
+    NULL where a VARIANT cannot hold the text (a key that occurs twice, say); ``json_text`` reads the text then.
+    """
+    return F.transform(F.array(text), lambda t: F.struct(t.alias("doc"), F.try_parse_json(t).alias("v")))[0]
+
+
+def json_text(document: Column, path: str) -> Column:
+    """The value at a path of a ``json_document`` as text; NULL if missing or null."""
+    return F.when(document["v"].isNotNull(), F.try_variant_get(document["v"], path, "string")).otherwise(
+        F.get_json_object(document["doc"], path)
+    )

@@ -210,9 +210,9 @@ def olx_state_json(h: str = "html") -> Column:
 
 
 def olx_state_fields(state: Column) -> dict[str, Column]:
-    """Price text and the three location names ('' when the value is null)."""
+    """Price text and the three location names ('' when the value is null), of a ``json_document``."""
     def path(p):
-        return F.when(state.isNotNull(), F.coalesce(F.get_json_object(state, p), F.lit("")))
+        return F.when(state["doc"].isNotNull(), F.coalesce(H.json_text(state, p), F.lit("")))
 
     return {
         "price_total": path("$.ad.ad.price.displayValue"),
@@ -240,7 +240,7 @@ def olx_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "htm
     """X13 for OLX: one F1 bronze row per page."""
     crawled = crawled_at if crawled_at is not None else F.current_timestamp()
     # What several columns read is made once, in a projection below theirs.
-    pages = pages.withColumns({"__items": olx_detail_items(h), "__state": olx_state_json(h)})
+    pages = pages.withColumns({"__items": olx_detail_items(h), "__state": H.json_document(olx_state_json(h))})
     d = olx_details(F.col("__items"))
     st = olx_state_fields(F.col("__state"))
     posted = H.direct_text(h, "span", "data-cy", "ad-posted-at")
@@ -314,11 +314,11 @@ def otodom_prices(h: str = "html") -> dict[str, Column]:
 
 
 def otodom_ids(doc: Column) -> dict[str, Column]:
-    """Prefixed id, city, district, region; district and region default to ''."""
+    """Prefixed id, city, district, region of a ``json_document``; district and region default to ''."""
     def path(p):
-        return F.get_json_object(doc, f"{_NEXT}{p}")
+        return H.json_text(doc, f"{_NEXT}{p}")
 
-    present = doc.isNotNull()
+    present = doc["doc"].isNotNull()
     return {
         "offer_id": F.when(present, F.concat(F.lit("otodom_"), F.coalesce(path(".id"), F.lit("")))),
         "city": F.when(present, F.coalesce(path(".target.City"), F.lit(""))),
@@ -329,14 +329,14 @@ def otodom_ids(doc: Column) -> dict[str, Column]:
 
 def otodom_image_urls(doc: Column, size: str = "medium") -> Column:
     """The image URL of one size for every image of the ad."""
-    images = F.from_json(F.get_json_object(doc, f"{_NEXT}.images"), "array<map<string,string>>")
+    images = F.from_json(H.json_text(doc, f"{_NEXT}.images"), "array<map<string,string>>")
     return F.transform(images, lambda m: F.try_element_at(m, F.lit(size)))
 
 
 def otodom_dates(doc: Column) -> dict[str, Column]:
     """X11: creation and modification instants -> 'YYYY-MM-DD' of their own zone (T4)."""
     def day(p):
-        return F.date_format(parse.iso_local_date(F.get_json_object(doc, f"{_NEXT}{p}")), "yyyy-MM-dd")
+        return F.date_format(parse.iso_local_date(H.json_text(doc, f"{_NEXT}{p}")), "yyyy-MM-dd")
 
     return {"offer_date": day(".createdAt"), "modified_date": day(".modifiedAt")}
 
@@ -344,7 +344,7 @@ def otodom_dates(doc: Column) -> dict[str, Column]:
 def otodom_bronze(pages: DataFrame, crawled_at: Column | None = None, h: str = "html", img_size: str = "medium") -> DataFrame:
     """X13 for otodom: one F2 bronze row per page."""
     crawled = crawled_at if crawled_at is not None else F.current_timestamp()
-    pages = pages.withColumns({"__doc": next_data(h), "__cells": otodom_cells(h)})
+    pages = pages.withColumns({"__doc": H.json_document(next_data(h)), "__cells": otodom_cells(h)})
     doc = F.col("__doc")
     ids = otodom_ids(doc)
     paras = H.all_inner(H.element_inner(H.visible(F.col(h)), "div", "data-cy", "adPageAdDescription"), "p")

@@ -190,3 +190,12 @@ def test_seeds_of_a_page_number_that_nobody_saw_a_table_of(spark):
     pages = page(spark, "", "https://h.pl/x?page=2000003")
     got = X.crawl_seeds(pages)
     assert got.agg(F.count("*"), F.max("page"), F.countDistinct("page")).first()[:] == (2000003, 2000003, 2000003)
+
+
+def test_a_json_document_is_read_like_its_text(spark):
+    """By VARIANT where it can hold the text, else from the text: keys that occur twice, texts that are no JSON."""
+    docs = ['{"a": {"b": 1, "c": null, "d": "x", "e": true}}', '{"a": {"b": 1, "b": 2}}', "no json", "", "[1]", None, '{"a": {"b": 12345678901234567890}}']
+    df = spark.createDataFrame([(d,) for d in docs], "t string").select("t", H.json_document(F.col("t")).alias("j"))
+    for path in ("$.a.b", "$.a.c", "$.a.d", "$.a.e", "$.x"):
+        rows = df.select(H.json_text(F.col("j"), path).alias("got"), F.get_json_object("t", path).alias("want")).collect()
+        assert [r["got"] for r in rows] == [r["want"] for r in rows], path
