@@ -58,6 +58,13 @@ class LakePaths:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 
 
+def children(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder of any store that Spark reads, None where there is no such folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else None
+
+
 def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
