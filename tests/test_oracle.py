@@ -64,4 +64,5 @@ def test_entry_runs(spark):
 def test_queries_of_this_library_all_have_an_oracle():
     from offerlake.catalog import REGISTRY
 
-    assert set(REGISTRY) <= set(E.oracle_sql())
+    # What a fitted model says is not for SQL; tests/test_search.py holds these two against plain fits.
+    assert set(REGISTRY) - {"j4_train", "m7_staged_search"} <= set(E.oracle_sql())

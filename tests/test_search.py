@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
+from paths import SF_SMALL
 from test_ml import priced
 
 from offerlake.operators import ml, search
@@ -88,3 +89,29 @@ def test_fold_statistics_take_two_passes(spark, monkeypatch):
     search.fold_fills(folded.withColumn("fold", F.expr("fold * 3")), 9, ["size"], ["heating_type", "has_lift"])
     assert len(jobs.getJobIdsForGroup("fills-9")) == three
     spark.sparkContext.setJobGroup("", "")
+
+
+def test_candidates_equal_a_fit_for_each_draw_and_fold(spark):
+    """The search against plain fits: every draw with its own number of trees, imputed by its fold's training rows."""
+    df = priced(spark, 90, 5)
+    found = ml.train_price_model(df, grid={**GRID, "stepSize": (0.3,)}, n_iter=3)
+    p = ml.prepare(df)
+    folded = ml.assign_folds(p.df, 3)
+    for params, rmse in found.candidates:
+        errors = []
+        for f in range(3):
+            train, test = folded.filter(F.col("fold") != f).drop("fold"), folded.filter(F.col("fold") == f).drop("fold")
+            fills = p.imputer(train)
+            model = p.trees(params, 2137).fit(p.vectors(train, fills))
+            errors.append(ml.rmse(model.transform(p.vectors(test, fills)), label=ml.TARGET).first()[0])
+        assert rmse == pytest.approx(sum(errors) / 3, rel=1e-6)
+    assert found.best_rmse == min(e for _, e in found.candidates)
+
+
+def test_whole_run_with_its_model_step_scores_every_gold_row(spark):
+    from offerlake import catalog
+
+    scored = catalog.j4_train(spark, SF_SMALL).select("price_total", "prediction").toPandas()
+    assert len(scored) == catalog.gold(spark, SF_SMALL).count() and scored.notna().all().all()
+    error = ((scored.price_total - scored.prediction) ** 2).mean() ** 0.5
+    assert error < scored.price_total.std()
