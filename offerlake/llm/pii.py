@@ -26,8 +26,9 @@ from __future__ import annotations
 
 import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -143,14 +144,22 @@ def long_examples(clean: list[str], rng: random.Random) -> list[tuple[str, list[
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Triggers, each with all that may belong to a spelled-out address around it, by start."""
-    out, back = [], None
+    """Triggers, each with all that may belong to a spelled-out address around it, by start.
+
+    A run of words and dots ends at every sign that stands for "at", so no run
+    is walked by more than the two signs around it.  A spelled-out dot is part
+    of the run: one that the last run holds has no larger run of its own.
+    """
+    out, back, reach = [], None, 0
     for m in TRIGGER.finditer(text):
         lo, hi = m.span()
+        if lo < reach and m.group().lstrip("([{< ")[0] in "dD":
+            continue
         if not text[lo].isdigit() and (after := _AFTER.match(text, hi)):
             back = text[::-1] if back is None else back
             if before := _BEFORE.match(back, len(text) - lo):
                 lo, hi = len(text) - before.end(), after.end()
+                reach = max(reach, hi)
         out.append((lo, hi))
     return sorted(out)
 
@@ -231,6 +240,13 @@ def reconcile(text: str, base: list[Span], decoded: list[tuple[int, int, list[tu
     ``decoded``: (start, length, spans) of each window.
     """
     votes: dict[Span, float] = {}
+    starts = [a for a, _, _ in base]  # base spans come by start
+    ends = list(accumulate((b for _, b, _ in base), max))
+
+    def meets_base(lo: int, hi: int) -> bool:
+        i = bisect_left(starts, hi)  # of those that begin before the end, one ends after the start
+        return i > 0 and ends[i - 1] > lo
+
     for at, length, spans in decoded:
         for a, b, kind, score in spans:
             cut = (a == 0 and at > 0) or (b == length and at + length < len(text))
@@ -245,13 +261,13 @@ def reconcile(text: str, base: list[Span], decoded: list[tuple[int, int, list[tu
                 lo, hi = lo - word_before(text, lo), _WORDS.match(text, hi).end()
             if hi - lo < 4 or text[lo - 1 : lo].isalnum() and lo or text[hi : hi + 1].isalnum():
                 continue
-            if passes(kind, text[lo:hi]) and not any(x < hi and lo < y for x, y, _ in base):
+            if passes(kind, text[lo:hi]) and not meets_base(lo, hi):
                 votes[lo, hi, kind] = votes.get((lo, hi, kind), 0.0) + score
     # Weighted interval scheduling over the candidates, by their ends.
     spans = sorted(votes, key=lambda s: (s[1], s[0], s[2]))
-    ends, best = [s[1] for s in spans], [(0.0, ())]
+    shut, best = [s[1] for s in spans], [(0.0, ())]
     for i, s in enumerate(spans):
-        before = best[bisect_right(ends, s[0], 0, i)]
+        before = best[bisect_right(shut, s[0], 0, i)]
         take = (before[0] + votes[s], (before[1], s))
         best.append(max(best[-1], take, key=lambda x: x[0]))
     chain, added = best[-1][1], []
