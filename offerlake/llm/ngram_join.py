@@ -11,13 +11,14 @@ text's connected component.  Equal sets are one node throughout.
    passages that many texts share out of the prefixes.
 2. Two linked sets share a shingle among the first ``n - need + 1`` of both.
    Each text sends these to their shingle's group with its size and place.
+   Groups are counted, and large ones split, by a second common shingle or
+   into blocks that meet pairwise, before any task holds one.
    Groups of one end there.  Small groups emit their pairs, each pair once
    after a distinct; then both texts' sketches are compared: how many members
    fall into each hash cell.  The sum of the cells' differences never exceeds
    the sets' difference, so pairs beyond the bound are no links.  Large groups
    fetch the sketches first and emit a spanning forest of the candidates
-   instead of all pairs; a frequent shingle's group is cut into blocks that
-   meet pairwise.
+   instead of all pairs.
 3. Connected candidates are gathered with their texts, in ranges of set size
    when one component is large, and joined exactly: a prefix tree of the
    ordered sets is walked by each set, sharing the partial overlap of common
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from offerlake.llm.common import read, sliced, whole_groups
+from offerlake.llm.common import BROADCAST_ROWS, read, sliced, whole_groups
 from offerlake.llm.components import components
 from offerlake.llm.prefix_tree import forest
 from offerlake.session import materialize, scratch_path
@@ -51,8 +52,8 @@ from offerlake.session import materialize, scratch_path
 FREQUENT = 50_000
 #: Entries of a task's summary of frequent shingles.
 SUMMARY = 50_000
-#: Rows of one block of a frequent shingle's group.
-GROUP_ROWS = 20_000
+#: Rows of a shingle's group that one task compares; larger groups are split.
+GROUP_ROWS = 2_000
 #: Shingles of the texts that one tree joins; larger components are cut by set size.
 TREE_SHINGLES = 2_000_000
 #: Words whose hash a worker remembers.
@@ -245,8 +246,8 @@ class Order:
 COLUMNS = ["key", "node", "place"]
 
 
-def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str, group_rows: int) -> DataFrame:
-    """One row of COLUMNS per prefix shingle of each distinct set."""
+def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str) -> DataFrame:
+    """One row of COLUMNS per prefix shingle of each distinct set, and one for the shingle that follows the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = Order(frequent.value), set()
@@ -261,19 +262,9 @@ def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str,
                     seen.clear()
                 seen.add(d)
                 n = len(s)
-                ordered, df = order.sort(s)
                 p = n + percent * n // -100 + 1  # n - ceil(percent / 100 * n) + 1
-                key, df, pos = ordered[:p], df[:p], np.arange(p)
-                parts = df // group_rows + 1
-                if parts.max(initial=1) > 1:
-                    # Blocks of a large group meet pairwise: a row goes to each pair of its block.
-                    own = int.from_bytes(d[8:12], "little") % parts
-                    each = np.repeat(np.arange(p), parts)
-                    other = np.arange(len(each)) - np.repeat(np.cumsum(parts) - parts, parts)
-                    lo, hi = np.minimum(own[each], other), np.maximum(own[each], other)
-                    pair = ((hi * (hi + 1)) // 2 + lo).astype(np.uint64)
-                    key, pos = np.where(parts[each] > 1, mix(key[each] + pair), key[each]), pos[each]
-                out.append(np.stack([key.view(np.int64), np.full(len(key), node_of(d)), (n << 32) | pos], axis=1))
+                key = order.sort(s)[0][: p + 1]
+                out.append(np.stack([key.view(np.int64), np.full(len(key), node_of(d)), (n << 32) | np.arange(len(key))], axis=1))
                 size += len(key)
                 if size >= 20_000:
                     yield table(out, COLUMNS)
@@ -284,6 +275,45 @@ def prefixes(docs: DataFrame, frequent, percent: int, width: int, text_col: str,
     return docs.select(F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{c} long" for c in COLUMNS))
 
 
+def dealt(rows: DataFrame, percent: int, group_rows: int) -> DataFrame:
+    """Prefix rows under the keys by which they meet, in groups of about ``group_rows`` at most.
+
+    Groups are counted, and those with more rows are split in one of two ways,
+    whichever makes fewer rows.  Two different sets that link at more than 50
+    percent have two shingles in common, both among the prefixes and the
+    shingles that follow them; so a row may meet others under its shingle and each later
+    one.  Or the group, and what such pairs of shingles leave too large, is cut
+    into blocks that meet pairwise.
+    """
+    pos = F.col("place").bitwiseAND(0xFFFFFFFF)
+    later = F.expr(f"(place >> 32) - ({percent} * (place >> 32) + 99) div 100 + 1") - pos  # 0: follows the prefix
+    first = rows.filter(later > 0)
+    counted = materialize(first.groupBy("key").count().filter(F.col("count") > group_rows).select("key"))
+    n = counted.limit(BROADCAST_ROWS + 1).count()
+    if not n:
+        return first
+
+    def few(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n <= BROADCAST_ROWS else df  # one row for each large group
+
+    rest = first.join(few(counted), "key", "left_anti")
+    hot = materialize(first.join(few(counted), "key", "left_semi").distinct())  # a set comes once from each task
+    parts = F.floor(F.col("df") / group_rows) + 1
+    size = hot.groupBy("key").agg(F.count("*").alias("df"), F.sum(later).alias("ahead"))
+    size = size.select("key", (F.lit(percent > 50) & (F.col("ahead") < F.col("df") * parts)).alias("paired"))
+    hot = hot.join(few(size), "key")
+    one = hot.filter("paired").select(*COLUMNS)
+    two = rows.join(one.select("node").distinct(), "node", "left_semi").distinct()
+    two = two.select("node", F.col("key").alias("second"), pos.alias("at"))
+    pairs = one.join(two, "node").filter(F.col("at") > pos).select(F.xxhash64("key", "second").alias("key"), "node", "place")
+    both = materialize(pairs.unionAll(hot.filter("not paired").select(*COLUMNS)))
+    large = both.groupBy("key").agg(F.count("*").alias("df")).filter(F.col("df") > group_rows).select("key", parts.alias("parts"))
+    cut = both.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "parts")).withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
+    block = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return rest.unionAll(cut.select(F.when(F.col("parts") == 1, F.col("key")).otherwise(block).alias("key"), "node", "place"))
+
+
 def table(rows: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
     m = np.concatenate(rows)
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(m[:, i])) for i in range(m.shape[1])], names=names)
@@ -402,11 +432,13 @@ def large_edges(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
 
 
-def candidates(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def candidates(rows: DataFrame, sketches: DataFrame, percent: int, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Candidate links (u, v) between nodes."""
-    path = scratch_path(rows.sparkSession, "shingle-groups")
-    grouped(rows, percent).write.parquet(path)
-    found = rows.sparkSession.read.parquet(path)
+    spark = rows.sparkSession
+    kept, path = scratch_path(spark, "prefixes"), scratch_path(spark, "shingle-groups")
+    rows.write.parquet(kept)
+    grouped(dealt(spark.read.parquet(kept), percent, group_rows), percent).write.parquet(path)
+    found = spark.read.parquet(path)
     pairs = found.filter("key is null").select(F.col("node").alias("u"), F.col("place").alias("v"))
     return alike(pairs, sketches, percent).unionAll(large_edges(found.filter("key is not null"), sketches, percent))
 
@@ -484,17 +516,24 @@ def exact_links(placed: DataFrame, width: int, percent: int) -> DataFrame:
 def most_frequent(summaries: DataFrame) -> list[tuple[int, int]]:
     """(token, df) of shingles that many texts share, at most FREQUENT of them.
 
-    The bound is met by the smallest power of two of df (16 at least) that so
-    many reach; their number by powers is a few rows, so nothing is sorted.
+    Those of the largest powers of two of df (16 at least) are taken, and of the
+    last power as many as fit, by hash; only the numbers by power and by hash
+    bucket are gathered, so nothing is sorted.
     """
     top = summaries.groupBy("token").agg(F.sum("df").alias("df")).filter("df >= 16")
-    power = F.floor(F.log2("df")).cast("int").alias("power")
-    left, least = FREQUENT, 63
-    for r in top.groupBy(power).count().orderBy(F.col("power").desc()).collect():
+    top = top.withColumn("power", F.floor(F.log2("df")).cast("int")).withColumn("part", F.pmod(F.xxhash64("token"), F.lit(1024)))
+    left, least, parts = FREQUENT, 64, 0
+    for r in top.groupBy("power").count().orderBy(F.col("power").desc()).collect():
         if r["count"] > left:
+            for e in top.filter(F.col("power") == r["power"]).groupBy("part").count().orderBy("part").collect():
+                if e["count"] > left:
+                    break
+                left, parts = left - e["count"], e["part"] + 1
+            least = r["power"] + 1
             break
         left, least = left - r["count"], r["power"]
-    return [(r["token"], r["df"]) for r in top.filter(F.floor(F.log2("df")) >= least).collect()]
+    taken = (F.col("power") >= least) | ((F.col("power") == least - 1) & (F.col("part") < parts))
+    return [(r["token"], r["df"]) for r in top.filter(taken).select("token", "df").collect()]
 
 
 def jaccard_classes(
@@ -511,9 +550,9 @@ def jaccard_classes(
     made = materialize(sets(docs, width, id_col, text_col))
     texts = made.filter("token is null").select("id", "n", "digest", "node")
     frequent = spark.sparkContext.broadcast(most_frequent(made.filter("token is not null")))
-    rows = prefixes(docs, frequent, percent, width, text_col, group_rows)
+    rows = prefixes(docs, frequent, percent, width, text_col)
     sketches = made.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    rough = components(candidates(rows, sketches, percent))
+    rough = components(candidates(rows, sketches, percent, group_rows))
 
     nodes = texts.filter("digest is not null and id is not null").groupBy("digest", "node", "n").agg(F.min("id").alias("id"))
     members = materialize(nodes.join(rough, "node").select(F.col("root").alias("comp"), "digest", "id", "n"))

@@ -152,6 +152,35 @@ def test_order_puts_frequent_shingles_last():
     assert Order([]).sort(s)[0].tolist() == s.tolist()
 
 
+def test_the_list_of_frequent_shingles_is_filled(spark):
+    rows = spark.range(60_000).selectExpr("id as token", "1000000L as df")
+    got = ngram_join.most_frequent(rows.unionAll(spark.range(90_000, 90_010).selectExpr("id", "5000000L")))
+    assert 45_000 < len(got) <= ngram_join.FREQUENT and {t for t, d in got if d == 5_000_000} == set(range(90_000, 90_010))
+    assert ngram_join.most_frequent(rows.filter("df < 0")) == []
+
+
+@pytest.mark.parametrize("alike", [False, True])
+def test_large_groups_are_split_and_lose_no_pair(spark, alike):
+    """2,000 sets that all share a shingle: unlike ones part by a second shingle, others into blocks."""
+    r, n, percent, limit = random.Random(3), 40, 80, 100
+    p = n - 32 + 1
+    sets = [[7, *sorted(r.sample(range(100, 115 if alike else 20_000), p))] for _ in range(2_000)]
+    rows = [(k, i, n << 32 | at) for i, s in enumerate(sets) for at, k in enumerate(s)]
+    got = ngram_join.dealt(spark.createDataFrame(rows, "key long, node long, place long"), percent, limit).collect()
+    groups = {}
+    for x in got:
+        groups.setdefault(x["key"], set()).add(x["node"])
+    assert max(map(len, groups.values())) < 4 * limit
+    met = {(a, b) for g in groups.values() if len(g) > 1 for a in g for b in g if a < b}
+    for a in range(0, 2_000, 7):
+        for b in range(a + 1, 2_000):
+            common = set(sets[a]) & set(sets[b])
+            if len(common) >= 2 and (alike or b % 3 == 0):
+                assert (a, b) in met
+    if not alike:
+        assert len(got) < 2 * len(rows)  # no row for each block
+
+
 def test_words_are_split_and_lowered_as_defined():
     a, b = shingles("A b\x0bC É x", 3), shingles("a B\x0cc É X", 3)
     assert a.tolist() == b.tolist() and len(a) == 3
