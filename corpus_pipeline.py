@@ -6,8 +6,8 @@ last return the columns of ``docs``, whatever they are.
 
 Defined cases: an empty table passes through as an empty result; NULL, empty
 and blank texts fail the quality rules; rows without an id stay when the rules
-keep them; rows that share id and text count as one document; a NULL source is
-a source of its own.
+keep them; rows that share id and text count as one document, rows that share
+an id but not a text as several; a NULL source is a source of its own.
 """
 
 from __future__ import annotations
@@ -28,12 +28,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id; repeated rows once."""
-    classes = ngram_join.jaccard_classes(docs.select("doc_id", "text"), **NEAR)
-    stay = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stay, "doc_id", "left_semi")
+    """Of each group of near copies the document of the smallest id; repeated rows once.
+
+    A document is an id with a text, so that of texts under one id each is
+    judged for itself; near copies among them leave the one of the smallest hash.
+    """
+    name = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("h")))
+    classes = ngram_join.jaccard_classes(docs.select(name.alias("name"), "text"), id_col="name", **NEAR)
+    stay = classes.filter("name = component_id").select("name.*").distinct()
     plain = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*plain))
+    same = Window.partitionBy("doc_id", "__h").orderBy(F.xxhash64(*plain))
+    hashed = docs.withColumn("__h", F.xxhash64("text"))
+    named = hashed.join(stay.withColumnRenamed("h", "__h"), ["doc_id", "__h"], "left_semi")
     once = named.withColumn("__i", F.row_number().over(same)).filter("__i = 1").select(*docs.columns)
     return once.unionAll(docs.filter("doc_id is null"))
 
