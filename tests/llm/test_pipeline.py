@@ -78,6 +78,17 @@ def test_one_document_of_each_group_stays(stages):
     assert after == sorted([i for i, _ in kept] + [None], key=repr)
 
 
+def test_texts_that_share_an_id_are_judged_each_for_itself(spark):
+    t = sentence(900, 60)
+    near = " ".join(["changed", *t.split()[1:]])
+    other, third = sentence(901, 60), sentence(902, 60)
+    data = [(1, t), (2, other), (2, near), (2, other), (3, third), (3, third + " more"), (None, t)]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in data], DOCS)
+    kept = sorted(((r["doc_id"], r["text"]) for r in pipeline.keep_first_of_near_copies(spark, docs, "").collect()), key=repr)
+    assert len(kept) == 4 and (1, t) in kept and (2, other) in kept and (None, t) in kept
+    assert [x for i, x in kept if i == 3][0] in (third, third + " more")
+
+
 def test_personal_data_goes_and_the_rest_stays(stages):
     before = {r["doc_id"]: r["text"] for r in stages[1].collect()}
     for r in stages[2].collect():
