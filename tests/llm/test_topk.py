@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from offerlake.llm import topk
-from offerlake.llm.topk import best_blocks, top_k
+from offerlake.llm.topk import best_blocks, box_bounds, search, top_k
 
 VECS = "vec_id long, embedding array<float>, label int"
 
@@ -79,3 +79,59 @@ def test_blocks_below_the_kth_score_are_not_read():
 def test_clashing_columns(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in data(60)], VECS).selectExpr("*", "1 as id", "2 as v", "3 as n", "4 as s", "5 as q")
     assert found(top_k(df, df.filter("vec_id % 50 = 0"), 5)) == plain(data(60), 5)
+
+
+def small_units(monkeypatch, **sizes):
+    for name, v in sizes.items():
+        monkeypatch.setattr(topk, name, v)
+
+
+def clusters(n_clusters=32, size=64):
+    """Vectors around far centres, one for each component, in mixed order."""
+    r = np.random.default_rng(3)
+    rows = np.concatenate([40 * c + r.normal(0, 0.1, (size, n_clusters)) for c in np.eye(n_clusters)])
+    ids = r.permutation(len(rows))
+    return [(int(i), [float(x) for x in v.astype(np.float32)]) for i, v in zip(ids, rows)]
+
+
+def test_few_pairs_of_shard_and_chunk_meet_on_clusters(spark, monkeypatch):
+    small_units(monkeypatch, SHARD=64, CHUNK=64, GROUP=4, BLOCK=8, SHARD_PAGE=5, CHUNK_PAGE=3)
+    rows = clusters()
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECS)
+    queries = df.filter("vec_id % 4 = 0")
+    _, first, more = search(df, queries, 5, 256.0, "vec_id", "embedding")
+    shipped = first.select("shard", "chunk").unionAll(more.select("shard", "chunk")).distinct().count()
+    assert shipped * 5 < (len(rows) / 64) * (len(rows) / 4 / 64)
+    assert found(top_k(df, queries, 5)) == plain(rows, 5, every=4)
+
+
+@pytest.mark.parametrize("sizes", [(9, 4, 3, 2, 2), (50, 7, 2, 1, 1), (8192, 8192, 64, 1024, 16)])
+def test_rounds_find_all_where_bounds_prune_nothing(spark, monkeypatch, sizes):
+    small_units(monkeypatch, **dict(zip(("SHARD", "CHUNK", "GROUP", "SHARD_PAGE", "CHUNK_PAGE"), sizes)))
+    rows = data(200, 6, seed=8)
+    rows[10:40] = [(i, rows[3][1]) for i in range(10, 40)]  # ties over many shards
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECS)
+    assert found(top_k(df, df.filter("vec_id % 10 = 0"), 5)) == plain(rows, 5, every=10)
+
+
+def test_fewer_rows_in_a_shard_than_asked_for(spark, monkeypatch):
+    small_units(monkeypatch, SHARD=2, CHUNK=2, GROUP=1)
+    rows = data(30, 3)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECS)
+    assert found(top_k(df, df.filter("vec_id % 10 = 0"), 7)) == plain(rows, 7, every=10)
+
+
+def test_no_pair_without_a_key(spark):
+    df = spark.createDataFrame([(i, v, 0) for i, v in data(120)], VECS)
+    plan = top_k(df, df.filter("vec_id % 50 = 0"), 5)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_box_bounds_hold():
+    r = np.random.default_rng(5)
+    for _ in range(50):
+        q, s = (np.floor(r.normal(0, 50, (6, 4)) + r.normal(0, 80, (1, 4))) for _ in range(2))
+        bound, _ = box_bounds(q.max(0, keepdims=True), q.min(0, keepdims=True), s.max(0, keepdims=True), s.min(0, keepdims=True))
+        assert (q @ s.T).max() <= bound[0, 0]
+        assert all((x == q @ s.T).all() for x in box_bounds(q, q, s, s))
+    assert np.isinf(box_bounds(*[np.full((1, 2), 3e9)] * 4)[0]).all()
