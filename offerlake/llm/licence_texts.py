@@ -18,6 +18,8 @@ LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
 OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
 SOFTWARE."""
 
+_MIT_NO_ATTRIBUTION = _MIT_GRANT.split(", subject to")[0] + ".\n\n" + _MIT_GRANT[_MIT_GRANT.index("THE SOFTWARE IS") :]
+
 _ISC_GRANT = """Permission to use, copy, modify, and/or distribute this software for any
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies."""
@@ -71,6 +73,101 @@ appreciated but is not required.
 misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
 
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+
+In jurisdictions that recognize copyright laws, the author or authors
+of this software dedicate any and all copyright interest in the
+software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and
+successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this
+software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+OTHER DEALINGS IN THE SOFTWARE."""
+
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer,
+must be included in all copies of the Software, in whole or in part, and
+all derivative works of the Software, unless such copies or derivative
+works are solely in the form of machine-executable object code generated by
+a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT
+SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE
+FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE."""
+
+_WTFPL = """TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
+
+0. You just DO WHAT THE FUCK YOU WANT TO."""
+
+_APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+_MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at {scheme}://mozilla.org/MPL/2.0/."""
+
+_GNU_HEADER = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {name} as published by
+the Free Software Foundation, either version {version} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the
+GNU {name} for more details.
+
+You should have received a copy of the GNU {name}
+along with this program. If not, see <{scheme}://www.gnu.org/licenses/>."""
+
+#: Headers that stand at the top of a file for a licence of many pages.
+HEADERS = (
+    ("Apache-2.0", _APACHE_HEADER),
+    ("Apache-2.0", _APACHE_HEADER.replace("http:", "https:")),
+    *(("MPL-2.0", _MPL_HEADER.format(scheme=s)) for s in ("http", "https")),
+    *(
+        (f"{short}-{version}-or-later", _GNU_HEADER.format(name=name, version=version.removesuffix(".0"), scheme=scheme))
+        for short, version, name in (
+            ("GPL", "2.0", "General Public License"),
+            ("GPL", "3.0", "General Public License"),
+            ("LGPL", "3.0", "Lesser General Public License"),
+            ("AGPL", "3.0", "Affero General Public License"),
+        )
+        for scheme in ("http", "https")
+    ),
+)
+
 #: (licence id, whole text); titles are optional, so texts are listed with and without them.
 TEXTS = (
     ("MIT", _MIT_GRANT),
@@ -85,6 +182,16 @@ TEXTS = (
     ("BSD-3-Clause", "BSD 3-Clause License\n" + _BSD_GRANT + "\n" + _BSD_NAMES + "\n" + _BSD_WARRANTY),
     ("Zlib", _ZLIB),
     ("Zlib", "zlib License\n" + _ZLIB),
+    ("MIT-0", _MIT_NO_ATTRIBUTION),
+    ("MIT-0", "MIT No Attribution\n" + _MIT_NO_ATTRIBUTION),
+    ("BSD-1-Clause", _BSD_GRANT.split("\n\n2.")[0].rstrip() + "\n" + _BSD_WARRANTY),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + "\nFor more information, please refer to <http://unlicense.org/>"),
+    ("Unlicense", _UNLICENSE + "\nFor more information, please refer to <https://unlicense.org/>"),
+    ("BSL-1.0", _BOOST),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n" + _BOOST),
+    ("WTFPL", _WTFPL),
+    *HEADERS,
 )
 
 #: (licence id, notice): one-line statements that stand for a whole text or a line of one.

@@ -8,10 +8,15 @@ share the digest of that form, so whole texts are matched to known licences by
 a hash join on digests.  The same digests of single lines find one-line
 notices inside longer texts.
 
+The known texts are those of ``licence_texts.py`` (short permissive licences, and
+the headers that stand for licences of many pages) and, where a caller has them,
+a table or a folder of reference texts, of any number and length.
+
 Defined cases: NULL, empty and blank texts, and texts of copyright lines
 alone, have no digest and match nothing; repeated rows match one by one; a
-digest that is listed for two licences goes to the first by name; an empty
-table or an empty list of licences gives no matches.
+digest that is listed for two licences goes to the first by name; reference
+texts that are NULL or blank, or have no name, are left out; an empty table or
+an empty list of licences gives no matches.
 """
 
 from __future__ import annotations
@@ -50,11 +55,23 @@ def digest(lines: Column) -> Column:
     return F.when(F.size(lines) > 0, F.sha2(F.array_join(lines, " "), 256))
 
 
-def known(spark: SparkSession, texts=TEXTS + NOTICES) -> DataFrame:
-    """Digests of known texts: (digest, licence)."""
+def known(spark: SparkSession, texts=TEXTS + NOTICES, reference: DataFrame | None = None) -> DataFrame:
+    """Digests of known texts: (digest, licence).
+
+    ``reference`` adds a table (licence, text), such as ``licence_folder`` reads.
+    """
     rows = spark.createDataFrame(list(texts), "licence string, text string")
+    if reference is not None:
+        rows = rows.unionAll(reference.select(F.col("licence").cast("string"), F.col("text").cast("string")))
     rows = rows.select(digest(canonical_lines(F.col("text"))).alias("digest"), "licence")
-    return rows.filter("digest is not null").groupBy("digest").agg(F.min("licence").alias("licence"))
+    return rows.filter("digest is not null and licence is not null").groupBy("digest").agg(F.min("licence").alias("licence"))
+
+
+def licence_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Reference texts (licence, text) from a folder of whole texts, each named <licence id>.txt."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
+    name = F.url_decode(F.replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), F.lit("+"), F.lit("%2B")))
+    return files.select(F.regexp_replace(name, r"\.txt$", "").alias("licence"), F.col("value").alias("text"))
 
 
 def scan(docs: DataFrame, licences: DataFrame, text_col: str = "text") -> DataFrame:
@@ -77,9 +94,12 @@ def notices(lines: Column, listed: list[tuple[str, str]]) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda x: by_digest[x]))), ",")
 
 
-def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digest, licence of the whole text and licences of notice lines, for every document."""
-    licences = materialize(known(spark))
+def op5_licence_scan(spark: SparkSession, sf_dir: str, reference: DataFrame | None = None) -> DataFrame:
+    """Digest, licence of the whole text and licences of notice lines, for every document.
+
+    ``reference`` (licence, text) adds licences to those of the package.
+    """
+    licences = materialize(known(spark, reference=reference))
     short = [(r["digest"], r["licence"]) for r in known(spark, NOTICES).collect()]  # a fixed list
     d = scan(read(spark, sf_dir, "documents").select("doc_id", "text"), licences)
     return d.select(

@@ -3,8 +3,8 @@ import textwrap
 import pytest
 from conftest_llm import DOCS
 
-from offerlake.llm.licence_texts import NOTICES, TEXTS
-from offerlake.llm.licences import known, op5_licence_scan, scan
+from offerlake.llm.licence_texts import HEADERS, NOTICES, TEXTS
+from offerlake.llm.licences import known, licence_folder, op5_licence_scan, scan
 
 MIT = next(t for k, t in TEXTS if k == "MIT")
 
@@ -61,3 +61,27 @@ def test_known_texts_at_other_widths(spark, licences, width):
 def test_lines_that_state_a_holder_are_dropped(spark, licences):
     stated = ["Copyright (c) 2021 A. Person", "Copyright © Notice Ltd", "copyright 1999-2004 Holder", "COPYRIGHT Jane Roe", "Copyright by the authors of x", "* Copyright: The Example Authors"]
     assert licence(spark, licences, *[c + "\n\n" + MIT for c in stated]) == ["MIT"] * len(stated)
+
+
+def test_a_folder_of_reference_texts(spark, tmp_path):
+    long = "\n".join(f"Section {i}. You may copy the Work under term {i}, see the copyright notice." for i in range(20_000))
+    (tmp_path / "texts").mkdir()
+    for name, text in (("Long-1.0", long), ("House+Rules-2", "Ask the owner first."), ("Blank", " \n"), ("MIT-copy", MIT)):
+        (tmp_path / "texts" / f"{name}.txt").write_text(text)
+    (tmp_path / "texts" / "README.md").write_text("no licence")
+    docs = [(1, long.upper().replace("\n", " "), "en", "s", 1), (2, "ask the owner\nfirst", "en", "s", 1), (3, MIT, "en", "s", 1),
+            (4, "no licence", "en", "s", 1), (5, None, "en", "s", 1), (6, long[:-1000], "en", "s", 1)]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    reference = licence_folder(spark, str(tmp_path / "texts"))
+    got = {r["doc_id"]: r["licence"] for r in op5_licence_scan(spark, str(tmp_path), reference).collect()}
+    assert got == {1: "Long-1.0", 2: "House+Rules-2", 3: "MIT", 4: None, 5: None, 6: None}
+
+
+def test_reference_rows_that_name_nothing(spark):
+    rows = spark.createDataFrame([(None, "some text"), ("x", None), ("y", ""), ("b", "one text"), ("a", "One text!")], "licence string, text string")
+    assert sorted(r["licence"] for r in known(spark, NOTICES[:1], rows).collect()) == ["MIT", "a"]
+
+
+def test_headers_under_a_holder(spark, licences):
+    texts = [f"Copyright (C) 2020 Jane Roe <jane@example.org>\n\n{t}" for _, t in HEADERS]
+    assert licence(spark, licences, *texts) == [k for k, _ in HEADERS]
