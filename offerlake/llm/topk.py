@@ -214,10 +214,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ordered(rows: DataFrame, parts: int) -> DataFrame:
-    """Rows (id, v) ranged over ``parts`` partitions by their two dominant components."""
+    """Rows (id, v) ranged over ``parts`` partitions by their two dominant components.
+
+    Where a session deals them over more partitions, neighbours are put
+    together again: units of work are as large as said, not as many as partitions.
+    """
     size = F.array_sort(F.transform("v", lambda x, i: F.struct((-F.abs(x)).alias("a"), F.when(x < 0, -i - 1).otherwise(i + 1).alias("i"))))
     keyed = rows.withColumn("__d", F.transform(F.slice(size, 1, 2), lambda s: s["i"]))
-    return keyed.repartitionByRange(parts, "__d", "id").sortWithinPartitions("__d", "id").select("id", "v")
+    return keyed.repartitionByRange(parts, "__d", "id").sortWithinPartitions("__d", "id").select("id", "v").coalesce(parts)
 
 
 def pages(key: str, parts: int, page: int) -> tuple[Column, int]:
