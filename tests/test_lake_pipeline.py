@@ -162,3 +162,24 @@ def test_bronze_columns_of_later_files_are_kept(spark, tmp_root):
     spark.range(2).selectExpr("id as offer_id", "'x' as extra").write.mode("append").parquet(p.bronze("olx"))
     got = lake.read_table(spark, p.bronze("olx"), merge_schema=True)
     assert got.filter("extra = 'x'").count() == 2 and got.count() == 5
+
+
+def test_landed_json_is_compressed_and_read_whole(spark, tmp_root):
+    import glob
+    import os
+
+    from offerlake.operators.schema import BRONZE_SCHEMAS, ensure_schema
+
+    p = lake.LakePaths(tmp_root)
+    rows = spark.range(2000).selectExpr("concat('id ', id) as offer_id", "'otodom' as offer_source", "concat('zażółć \n', id) as description")
+    items = ensure_schema(rows, BRONZE_SCHEMAS["otodom"])
+    land_batch(items.coalesce(1), p, "otodom")
+    plain = sum(len(r[0].encode()) + 1 for r in items.toJSON(use_unicode=True).map(lambda x: (x,)).collect())
+    files = glob.glob(f"{p.landing('otodom')}/part-*")
+    assert len(files) == 4 and sum(map(os.path.getsize, files)) * 4 < plain
+    land_batch(items.limit(3), p, "otodom", fmt="parquet")  # formats of their own compression stay as they are
+    assert len(glob.glob(f"{p.landing('otodom')}/part-*.parquet")) == 1
+    os.remove(glob.glob(f"{p.landing('otodom')}/part-*.parquet")[0])
+    assert ingest(spark, tmp_root, sites=("otodom",)) == {"otodom": 2000}
+    got = bronze.read_bronze(spark, p, "otodom")
+    assert sorted(map(str, got.collect())) == sorted(map(str, items.select(got.columns).collect()))
