@@ -114,3 +114,45 @@ def test_source_guard_ignores_nulls_and_placeholders(spark):
     for bad in ((None,), ("MISSING", None), ("olx", "otodom"), ("other", None)):
         with pytest.raises(ValueError):
             guard(*bad)
+
+
+def _plain_deduplicate(df, order_by, keys=("offer_id", "short_description")):
+    from offerlake.operators.dedup import keep_first
+
+    for k in keys:
+        df = keep_first(df, k, order_by)
+    return df
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packed_strings_leave_the_survivors_as_they_are(spark, seed):
+    """Ties are broken by every column in turn: NULLs, empty strings, prefixes and the packing's own marks included."""
+    import random
+
+    from offerlake.operators.dedup import deduplicate
+
+    r = random.Random(seed)
+    texts = [None, "", "a", "ab", "a\x00", "a\x01", "\x00", "\x01", "\x01\x02", "\x00\x01\x01", "\x02", "b", "ż\x01", "\\", "'"]
+    names = ["s", "offer_id", "x", "short_description", "y", "n", "z", "w"]
+    rows = [
+        (r.choice("pq"), r.choice("ijkl"), r.choice(texts), r.choice([None, "d", "e", "f"]), r.choice(texts), r.choice([None, 1, 2]), r.choice(texts), r.choice(texts), r.choice("12"))
+        for _ in range(300)
+    ]
+    df = spark.createDataFrame(rows, "s string, offer_id string, x string, short_description string, y string, n int, z string, w string, day string")
+    for order in (["day"], ["n", "day"], ["w"]):
+        got = deduplicate(df, order_by=order)
+        want = _plain_deduplicate(df, order)
+        assert got.columns == df.columns and got.schema == want.schema
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    # All rows in one group: the least row by every text in turn.
+    whole = df.select(F.lit("i").alias("offer_id"), F.lit("d").alias("short_description"), "x", "y", "z", "w")
+    assert deduplicate(whole, order_by=[]).collect() == _plain_deduplicate(whole, []).collect()
+
+
+def test_deduplicate_shuffles_packed_strings(spark):
+    from offerlake.operators.dedup import deduplicate
+
+    wide = spark.range(20).selectExpr("cast(id as string) offer_id", "'d' short_description", "1 as date_scraped", *[f"cast(id as string) c{i}" for i in range(20)])
+    plan = deduplicate(wide)._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert len(aggregates) == 2 and not any("c19" in line for line in aggregates)
