@@ -199,3 +199,48 @@ def test_a_json_document_is_read_like_its_text(spark):
     for path in ("$.a.b", "$.a.c", "$.a.d", "$.a.e", "$.x"):
         rows = df.select(H.json_text(F.col("j"), path).alias("got"), F.get_json_object("t", path).alias("want")).collect()
         assert [r["got"] for r in rows] == [r["want"] for r in rows], path
+
+
+def test_cells_are_found_in_one_pass_and_named_by_their_first_attribute(spark):
+    from offerlake.operators import extract
+
+    page = (
+        '<div data-testid="other" data-testid="table-value-floor">wrong</div><div data-testid="table-value-floor"></div>'
+        "<DIV class='x' DATA-TESTID = 'table-value-area' title='a\"b'>5\" > 4 &amp; more</div><div data-testid=\"table-value-area\">wrong</div>"
+        '<div data-testid="table-value-lift\'>wrong</div><div xdata-testid="table-value-rent">wrong</div>'
+        '<div\ndata-testid="table-value-rent" data-testid="table-value-car"\n>table-value-car<b>no</b></div>'
+    )
+    df = spark.createDataFrame([(1, page), (2, ""), (3, None)], "page_id long, html string").withColumn("cells", extract.otodom_cells())
+    got = {r["page_id"]: r.asDict() for r in df.select("page_id", *[e.alias(n) for n, e in extract.otodom_details(F.col("cells")).items()]).collect()}
+    want = {"size": '5" > 4 & more', "rent": "table-value-car"}
+    assert {k: v for k, v in got[1].items() if v is not None and k != "page_id"} == want
+    assert all(v is None for i in (2, 3) for k, v in got[i].items() if k != "page_id")
+    out = extract.otodom_bronze(df.drop("cells").withColumn("url", F.lit("u")))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("table-value-area|") <= 3  # in the lookahead twice: one pattern, not one for each column
+
+
+def test_one_row_group_is_spread_though_its_file_has_many_splits(spark, tmp_root):
+    """A file of a single row group and of enough bytes for a split per core is still read by one task."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from offerlake.sources import fixtures
+
+    n = 400_000
+    pq.write_table(pa.table({"k": list(range(n)), "x": [hash(i) * 0.37 % 1 for i in range(n)]}), f"{tmp_root}/t.parquet", row_group_size=n)
+    at, key = f"{tmp_root}/t.parquet", "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200k")
+    try:
+        scan = spark.read.parquet(at)
+        want = spark.sparkContext.defaultParallelism
+        assert scan.rdd.getNumPartitions() >= want
+        sizes = [r["count"] for r in fixtures.spread(scan).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == want and max(sizes) < 2 * n / want
+        many = scan.repartition(2 * want)
+        many.write.parquet(f"{tmp_root}/many")
+        stored = spark.read.parquet(f"{tmp_root}/many")
+        assert fixtures.spread(stored) is stored
+    finally:
+        spark.conf.set(key, before)
