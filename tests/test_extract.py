@@ -244,3 +244,18 @@ def test_one_row_group_is_spread_though_its_file_has_many_splits(spark, tmp_root
         assert fixtures.spread(stored) is stored
     finally:
         spark.conf.set(key, before)
+
+
+def test_tasks_of_too_many_rows_are_spread(spark, tmp_root, monkeypatch):
+    """Row groups enough for every core, but with more rows than a task should sort."""
+    from offerlake.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 500)
+    want = spark.sparkContext.defaultParallelism
+    spark.range(4000 * want).repartition(want).write.parquet(f"{tmp_root}/large")
+    scan = spark.read.parquet(f"{tmp_root}/large")
+    sizes = [r["count"] for r in fixtures.spread(scan).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 * want and max(sizes) <= 2 * 500
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 250_000)
+    empty = spark.range(0)
+    assert fixtures.spread(empty).count() == 0
