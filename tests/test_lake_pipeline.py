@@ -183,3 +183,12 @@ def test_landed_json_is_compressed_and_read_whole(spark, tmp_root):
     assert ingest(spark, tmp_root, sites=("otodom",)) == {"otodom": 2000}
     got = bronze.read_bronze(spark, p, "otodom")
     assert sorted(map(str, got.collect())) == sorted(map(str, items.select(got.columns).collect()))
+
+
+def test_small_landed_files_share_bronze_files(spark, tmp_root):
+    """Landed files of a few rows fill a split together: a bronze file holds many of them."""
+    paths = lake.LakePaths(tmp_root)
+    land_batch(spark.range(400).selectExpr("cast(id as string) as offer_id").coalesce(1), paths, "olx", batch_size=5)  # 80 files
+    assert ingest(spark, tmp_root, sites=("olx",)) == {"olx": 400}
+    table = spark.read.parquet(paths.bronze("olx"))
+    assert table.count() == 400 and len(table.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
