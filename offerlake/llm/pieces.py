@@ -36,7 +36,7 @@ SHORT = 32
 NEVER = float("inf")
 
 #: Words whose encoding a worker remembers; memory is bounded, results do not depend on it.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 
 class Vocabulary:
@@ -73,6 +73,8 @@ class Vocabulary:
             raise ValueError("vocabularies that squeeze white space are not supported")
         self.names = [str(i) for i in range(len(self.text))]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
+        #: Two characters that some piece holds side by side.
+        self.side_by_side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         # Two generations: frequent words move on to the new one, the rest is forgotten.
         self.memory: dict[str, tuple[tuple[int, ...], str, str]] = {}
         self.older: dict[str, tuple[tuple[int, ...], str, str]] = {}
@@ -178,17 +180,35 @@ class Vocabulary:
     def decode(self, ids: Iterable[int]) -> str:
         return self.raw(ids, first=True)
 
+    def runs(self, part: str) -> list[str]:
+        """A part cut where no merge can cross: between characters that no piece holds side by side."""
+        held = self.side_by_side
+        cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in held]
+        return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
+
+    def made(self, run: str) -> tuple[tuple[int, ...], str, str]:
+        """``remembered`` for a run, by its merges."""
+        number = self.ids
+        # Tuples of numbers and strings are no work for the garbage collector, lists are.
+        try:
+            ids = tuple([number[s] for s in self.merge(run)])
+            text = run.replace(MARK, " ")  # pieces hold their own text
+        except KeyError:  # byte pieces
+            ids = tuple(self.ids_of(run))
+            text = self.raw(ids)
+        return ids, ",".join([self.names[i] for i in ids]), text
+
     def remembered(self, part: str) -> tuple[tuple[int, ...], str, str]:
         """Ids, their decimal list and their text, for one part."""
         out = self.memory.get(part) or self.older.get(part)
         if out is None:
-            ids = self.ids_of(part)
-            try:
-                text = "".join([self.text[i] for i in ids])
-            except TypeError:  # byte pieces
-                text = self.raw(ids)
-            # Tuples of numbers and strings are no work for the garbage collector, lists are.
-            out = tuple(ids), ",".join([self.names[i] for i in ids]), text
+            runs = self.runs(part)
+            if len(runs) == 1:
+                out = self.made(part)
+            else:
+                get, make = self.memory.get, self.remembered
+                done = [get(r) or make(r) for r in runs]
+                out = tuple([i for d in done for i in d[0]]), ",".join([d[1] for d in done]), "".join([d[2] for d in done])
         if len(part) <= 64:
             if len(self.memory) >= REMEMBERED:
                 self.older, self.memory = self.memory, {}

@@ -82,3 +82,19 @@ def test_round_trip_and_digests(odd):
         assert made[r["doc_id"]]["n_tokens"] == len(r["ids"]) or r["doc_id"] is None
         if r["doc_id"] is not None:
             assert made[r["doc_id"]]["ids_sha256"] == hashlib.sha256(ids.encode()).hexdigest()
+
+
+def test_unremembered_words_are_cut_where_no_piece_crosses(vocabulary, monkeypatch):
+    """Runs are remembered, so that a word before a line end is known beside any other."""
+    for s in list(strings())[:1500]:
+        for part in vocabulary.parts(s):
+            runs = vocabulary.runs(part)
+            assert "".join(runs) == part
+            assert [i for r in runs for i in vocabulary.ids_of(r)] == vocabulary.ids_of(part), part
+    made = []
+    monkeypatch.setattr(vocabulary, "memory", {})
+    monkeypatch.setattr(vocabulary, "older", {})
+    monkeypatch.setattr(vocabulary, "made", lambda r, make=vocabulary.made: made.append(r) or make(r))
+    for t in ("word\nnext", "word\nother", "sword\nnext"):
+        assert vocabulary.encode(t) == vocabulary.library.encode(t)
+    assert made.count("next") == made.count("\n") == 1
