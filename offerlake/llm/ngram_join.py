@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from offerlake.llm.common import BROADCAST_ROWS, read, sliced, whole_groups
+from offerlake.llm.common import BROADCAST_ROWS, kept, read, sliced, whole_groups
 from offerlake.llm.components import components
 from offerlake.llm.prefix_tree import forest
 from offerlake.session import materialize, scratch_path
@@ -59,22 +59,21 @@ TREE_SHINGLES = 2_000_000
 #: Words whose hash a worker remembers.
 REMEMBERED = 100_000
 
-_memory: dict[bytes, int] = {}
-
 
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of a text's words, A-Z in lower case."""
     found = text.encode("utf-8", "surrogatepass").lower().split()
-    get = _memory.get
+    memory = kept("word hashes", dict)
+    get = memory.get
     out = []
     for w in found:
         h = get(w)
         if h is None:
             h = xxhash.xxh64_intdigest(w)
             if len(w) <= 64:
-                if len(_memory) >= REMEMBERED:
-                    _memory.clear()
-                _memory[w] = h
+                if len(memory) >= REMEMBERED:
+                    memory.clear()
+                memory[w] = h
         out.append(h)
     return np.array(out, np.uint64)
 

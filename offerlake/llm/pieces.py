@@ -23,11 +23,12 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from offerlake.llm.common import read, sliced
+from offerlake.llm.common import kept, read, sliced
 
 MARK = "▁"
 
@@ -75,9 +76,10 @@ class Vocabulary:
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         #: Two characters that some piece holds side by side.
         self.side_by_side = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
-        # Two generations: frequent words move on to the new one, the rest is forgotten.
-        self.memory: dict[str, tuple[tuple[int, ...], str, str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        # Two generations: frequent words move on to the new one, the rest is forgotten.  Ids alone: a word's
+        # decimal list and its text would take more than twice as much again, in every worker of an executor.
+        self.memory: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merge_short(self, text: str) -> list[str]:
         """``merge`` for a short text: the agenda is a flat list, one entry for each pair."""
@@ -143,6 +145,8 @@ class Vocabulary:
         """The marked text, cut where no merge can cross."""
         if not text:
             return []
+        if self.by_word and not (text[0] == " " or text[-1] == " " or "  " in text or MARK in text):
+            return [MARK + w for w in text.split(" ")]  # as below, faster
         marked = MARK + text.replace(" ", MARK)
         return WORDS.findall(marked) if self.by_word else [marked]
 
@@ -150,7 +154,7 @@ class Vocabulary:
         get, make = self.memory.get, self.remembered
         out: list[int] = []
         for p in self.parts(text):
-            out.extend((get(p) or make(p))[0])
+            out.extend(get(p) or make(p))
         return out
 
     def raw(self, ids: Iterable[int], first: bool = False) -> str:
@@ -186,20 +190,12 @@ class Vocabulary:
         cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in held]
         return [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])] if cuts else [part]
 
-    def made(self, run: str) -> tuple[tuple[int, ...], str, str]:
+    def made(self, run: str) -> tuple[int, ...]:
         """``remembered`` for a run, by its merges."""
-        number = self.ids
-        # Tuples of numbers and strings are no work for the garbage collector, lists are.
-        try:
-            ids = tuple([number[s] for s in self.merge(run)])
-            text = run.replace(MARK, " ")  # pieces hold their own text
-        except KeyError:  # byte pieces
-            ids = tuple(self.ids_of(run))
-            text = self.raw(ids)
-        return ids, ",".join([self.names[i] for i in ids]), text
-
-    def remembered(self, part: str) -> tuple[tuple[int, ...], str, str]:
-        """Ids, their decimal list and their text, for one part."""
+        return tuple(self.ids_of(run))  # tuples of numbers are no work for the garbage collector, lists are
+
+    def remembered(self, part: str) -> tuple[int, ...]:
+        """Ids of one part."""
         out = self.memory.get(part) or self.older.get(part)
         if out is None:
             runs = self.runs(part)
@@ -207,8 +203,7 @@ class Vocabulary:
                 out = self.made(part)
             else:
                 get, make = self.memory.get, self.remembered
-                done = [get(r) or make(r) for r in runs]
-                out = tuple([i for d in done for i in d[0]]), ",".join([d[1] for d in done]), "".join([d[2] for d in done])
+                out = tuple([i for r in runs for i in get(r) or make(r)])
         if len(part) <= 64:
             if len(self.memory) >= REMEMBERED:
                 self.older, self.memory = self.memory, {}
@@ -222,9 +217,12 @@ class Vocabulary:
         """
         get, make = self.memory.get, self.remembered
         done = [get(p) or make(p) for p in self.parts(text or "")]
-        ids = ",".join([d[1] for d in done])
-        decoded = "".join([d[2] for d in done]).removeprefix(" ")
-        return sum([len(d[0]) for d in done]), sha256(ids), sha256(decoded)
+        ids = list(chain.from_iterable(done))
+        try:
+            decoded = "".join(map(self.text.__getitem__, ids))
+        except TypeError:  # byte pieces
+            decoded = "".join([self.raw(d) for d in done])
+        return len(ids), sha256(",".join(map(self.names.__getitem__, ids))), sha256(decoded.removeprefix(" "))
 
 
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -248,15 +246,9 @@ def sha256(s: str) -> str:
     return hashlib.sha256(s.encode()).hexdigest()
 
 
-_loaded: dict[int, Vocabulary] = {}
-
-
 def load(model) -> Vocabulary:
     """The vocabulary of a broadcast model file, built once in each worker."""
-    if model.id not in _loaded:
-        _loaded.clear()
-        _loaded[model.id] = Vocabulary(model.value)
-    return _loaded[model.id]
+    return kept(("pieces", model.id), lambda: Vocabulary(model.value))
 
 
 class _Shipped:

@@ -98,3 +98,49 @@ def test_unremembered_words_are_cut_where_no_piece_crosses(vocabulary, monkeypat
     for t in ("word\nnext", "word\nother", "sword\nnext"):
         assert vocabulary.encode(t) == vocabulary.library.encode(t)
     assert made.count("next") == made.count("\n") == 1
+
+
+def test_remembered_words_hold_ids_alone(vocabulary, monkeypatch):
+    """Decimal lists and texts of hundreds of thousands of words, in every worker, were what an executor ran out of."""
+    import gc
+    import tracemalloc
+
+    monkeypatch.setattr(vocabulary, "memory", {})
+    monkeypatch.setattr(vocabulary, "older", {})
+    vocabulary.digest("a word")
+    gc.collect()
+    tracemalloc.start()
+    words = [f"word{i}" for i in range(20_000)]
+    at, known = tracemalloc.get_traced_memory()[0], len(vocabulary.memory)
+    for w in words:
+        vocabulary.digest(w)
+    gc.collect()
+    held = (tracemalloc.get_traced_memory()[0] - at) / (len(vocabulary.memory) - known)
+    tracemalloc.stop()
+    assert held < 270, held  # bytes a word: 181; 367 with the decimal list and the text
+
+
+def test_digests_of_byte_pieces_equal_the_library(vocabulary):
+    for s in list(strings())[:1500]:
+        ids = vocabulary.library.encode(s)
+        want = [hashlib.sha256(t.encode()).hexdigest() for t in (",".join(map(str, ids)), vocabulary.library.decode(ids))]
+        assert vocabulary.digest(s) == (len(ids), *want), s
+
+
+def test_a_worker_keeps_what_it_remembers_for_the_last_operator_alone(vocabulary):
+    from offerlake.llm import common, ngram_join
+
+    class Model:
+        with open(pieces.vocabulary_path(), "rb") as f:
+            id, value = "m", f.read()
+
+    v = pieces.load(Model)
+    assert pieces.load(Model) is v
+    ngram_join.word_hashes("some words")
+    assert list(common._kept) == ["word hashes"]
+    assert pieces.load(Model) is not v and len(common._kept) == 1
+
+
+def test_parts_of_texts_with_single_spaces_equal_the_pattern(vocabulary):
+    for s in [*strings(), "a b", "a  b", " a b", "a b ", "a\nb c", "\u2581a b"]:
+        assert vocabulary.parts(s) == (pieces.WORDS.findall(pieces.MARK + s.replace(" ", pieces.MARK)) if s else [])
