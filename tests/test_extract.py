@@ -246,6 +246,27 @@ def test_one_row_group_is_spread_though_its_file_has_many_splits(spark, tmp_root
         spark.conf.set(key, before)
 
 
+def test_tasks_of_too_many_rows_get_smaller_splits_where_row_groups_allow(spark, tmp_root, monkeypatch):
+    """A file of many row groups needs no shuffle: its splits are cut smaller."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from offerlake.sources import fixtures
+
+    n, key = 400_000, "spark.sql.files.maxPartitionBytes"
+    pq.write_table(pa.table({"k": list(range(n)), "x": [hash(i) * 0.37 % 1 for i in range(n)]}), f"{tmp_root}/t.parquet", row_group_size=5_000)
+    before = spark.conf.get(key)
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 20_000)
+    try:
+        scan = spark.read.parquet(f"{tmp_root}/t.parquet")
+        assert max(fixtures.task_rows(scan)) > 2 * 20_000
+        assert fixtures.spread(scan) is scan
+        sizes = fixtures.task_rows(scan)
+        assert sum(sizes) == n and max(sizes) <= 2 * 20_000
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_tasks_of_too_many_rows_are_spread(spark, tmp_root, monkeypatch):
     """Row groups enough for every core, but with more rows than a task should sort."""
     from offerlake.sources import fixtures
