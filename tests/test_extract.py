@@ -280,3 +280,30 @@ def test_tasks_of_too_many_rows_are_spread(spark, tmp_root, monkeypatch):
     monkeypatch.setattr(fixtures, "TASK_ROWS", 250_000)
     empty = spark.range(0)
     assert fixtures.spread(empty).count() == 0
+
+
+def test_row_groups_that_fit_the_memory_of_a_task_are_not_shuffled(spark, tmp_root, monkeypatch):
+    from offerlake.sources import fixtures
+
+    n = 4 * spark.sparkContext.defaultParallelism
+    spark.range(n * 3000).repartition(n).write.parquet(f"{tmp_root}/large")
+    cost = "spark.sql.files.openCostInBytes"
+    before = {k: spark.conf.get(k) for k in (fixtures.SPLIT, cost)}
+    try:
+        spark.conf.set(cost, spark.conf.get(fixtures.SPLIT))  # a task for each file
+        scan = spark.read.parquet(f"{tmp_root}/large")
+        monkeypatch.setattr(fixtures, "TASK_ROWS", 1000)  # each row group holds three times as many
+        monkeypatch.setattr(fixtures, "task_memory", lambda _: 4 * fixtures.TASK_BYTES)
+        assert fixtures.most_rows(spark) == 4000 and fixtures.spread(scan) is scan
+        monkeypatch.setattr(fixtures, "task_memory", lambda _: fixtures.TASK_BYTES)
+        assert fixtures.most_rows(spark) == 2000 and fixtures.spread(scan) is not scan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_the_memory_of_a_task_is_its_share_of_the_heap(spark):
+    from offerlake.session import task_memory
+
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert 0 < task_memory(spark) * spark.sparkContext.defaultParallelism <= 0.6 * heap
