@@ -72,6 +72,8 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte fallback")
         if sp.encode("a  b ") == sp.encode("a b"):
             raise ValueError("vocabularies that squeeze white space are not supported")
+        #: The same, with byte pieces of ASCII (line ends, mostly) as the characters that they stand for in any run.
+        self.plain = [chr(t) if isinstance(t, int) and t < 128 else t for t in self.text]
         self.names = [str(i) for i in range(len(self.text))]
         self.by_word = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         #: Two characters that some piece holds side by side.
@@ -184,6 +186,13 @@ class Vocabulary:
     def decode(self, ids: Iterable[int]) -> str:
         return self.raw(ids, first=True)
 
+    def text_of(self, ids: Iterable[int]) -> str:
+        """``raw`` for a part's ids, which mostly hold no byte pieces beyond ASCII."""
+        try:
+            return "".join(map(self.plain.__getitem__, ids))
+        except TypeError:
+            return self.raw(ids)
+
     def runs(self, part: str) -> list[str]:
         """A part cut where no merge can cross: between characters that no piece holds side by side."""
         held = self.side_by_side
@@ -219,9 +228,9 @@ class Vocabulary:
         done = [get(p) or make(p) for p in self.parts(text or "")]
         ids = list(chain.from_iterable(done))
         try:
-            decoded = "".join(map(self.text.__getitem__, ids))
-        except TypeError:  # byte pieces
-            decoded = "".join([self.raw(d) for d in done])
+            decoded = "".join(map(self.plain.__getitem__, ids))
+        except TypeError:  # byte pieces beyond ASCII
+            decoded = "".join(map(self.text_of, done))
         return len(ids), sha256(",".join(map(self.names.__getitem__, ids))), sha256(decoded.removeprefix(" "))
 
 

@@ -144,3 +144,13 @@ def test_a_worker_keeps_what_it_remembers_for_the_last_operator_alone(vocabulary
 def test_parts_of_texts_with_single_spaces_equal_the_pattern(vocabulary):
     for s in [*strings(), "a b", "a  b", " a b", "a b ", "a\nb c", "\u2581a b"]:
         assert vocabulary.parts(s) == (pieces.WORDS.findall(pieces.MARK + s.replace(" ", pieces.MARK)) if s else [])
+
+
+def test_line_ends_are_decoded_without_a_walk_over_bytes(vocabulary, monkeypatch):
+    texts = ["a\nb\tc\n\n", "\n", "one\r\ntwo \x00", "x\ny", " \n ▁\n"]
+    wants = [hashlib.sha256(vocabulary.library.decode(vocabulary.library.encode(t)).encode()).hexdigest() for t in texts]
+    mixed = "é漢\U0001f600\n漢a\n" * 3
+    want = hashlib.sha256(vocabulary.library.decode(vocabulary.library.encode(mixed)).encode()).hexdigest()
+    assert vocabulary.digest(mixed)[2] == want
+    monkeypatch.setattr(vocabulary, "raw", lambda *_, **__: pytest.fail("a text of ASCII was walked byte by byte"))
+    assert [vocabulary.digest(t)[2] for t in texts] == wants
