@@ -220,6 +220,47 @@ def test_cells_are_found_in_one_pass_and_named_by_their_first_attribute(spark):
     assert plan.count("table-value-area|") <= 3  # in the lookahead twice: one pattern, not one for each column
 
 
+def test_a_page_is_searched_once_for_each_anchor(spark):
+    pages = spark.createDataFrame([(1, "")], "page_id long, html string")
+    for column in (X.canonical_url(), X.meta_description(), X.next_data(), X.page_title(), H.direct_text("html", "a", "x", "y")):
+        plan = pages.select(column)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_extract(html#") == 1
+
+
+@pytest.mark.parametrize(
+    "tag,want",
+    [
+        ('<div a="1" id="v">', "in"),
+        ("<DIV\n\tID\x0b = 'v' b>", "in"),
+        ('<div id="w" id="v">', "in"),  # any attribute of the name
+        ('<div x="<b" id="v">', "in"),
+        ('<div x=" id="v">', "in"),  # white space before the name is all that is asked for
+        ('<div\xa0id="v">', None),
+        ('<div x="a>b" id="v">', None),  # a tag ends at the first '>'
+        ('<div xid="v">', None),
+        ('<div id="V">', None),
+        ('<divid="v">', None),
+        ('<div id="v"><p>first</p></div><div id="v">', "<p>first</p>"),
+        ('<b title="v">v</b> v <div id="v">', "in"),  # the value elsewhere before the tag
+        ('<div title="v" id="v">', "in"),
+    ],
+)
+def test_start_tags_are_found_by_an_attribute(spark, tag, want):
+    page = f'<p>{tag}in</div id="z"> v <i id="v">'
+    assert one(spark, page, H.element_inner("html", "div", "id", "v")) == (want if want != "in" else 'in</div id="z"> v <i id="v">')
+
+
+def test_a_tag_of_very_many_attributes_does_not_exhaust_the_stack(spark):
+    tag = "<div" + ' a="b"' * 50_000
+    assert one(spark, f'{tag} aria-label="x">1', H.direct_text("html", "div", "aria-label", "x")) == "1"
+    assert one(spark, f"{tag}>1", H.direct_text("html", "div", "aria-label", "x")) is None
+
+
+def test_attribute_values_in_either_quotes(spark):
+    for tag, want in (("<a href=\"x'y&amp;\">", "x'y&"), ("<a HREF = 'x\"y'>", 'x"y'), ("<a href=''>", ""), ("<a href=x>", None), ('<a href="x>', None)):
+        assert one(spark, tag, H.attribute_value(F.col("html"), "href")) == want
+
+
 def test_one_row_group_is_spread_though_its_file_has_many_splits(spark, tmp_root):
     """A file of a single row group and of enough bytes for a split per core is still read by one task."""
     import pyarrow as pa
