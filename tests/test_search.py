@@ -115,3 +115,14 @@ def test_whole_run_with_its_model_step_scores_every_gold_row(spark):
     assert len(scored) == catalog.gold(spark, SF_SMALL).count() and scored.notna().all().all()
     error = ((scored.price_total - scored.prediction) ** 2).mean() ** 0.5
     assert error < scored.price_total.std()
+
+
+def test_a_search_stores_columns_and_no_vectors(spark):
+    df = priced(spark, 90, 5)
+    p = ml.prepare(df)
+    imputer = p.imputer(p.df)
+    kept = p.stored(p.df, imputer)
+    assert len(kept.inputFiles()) > 0 and "features" not in kept.columns
+    assert {f.dataType.typeName() for f in kept.schema.fields} <= {"double", "float", "integer", "long", "boolean", "short"}
+    key = lambda d: sorted((r[0], tuple(r[1].toArray())) for r in d.collect())
+    assert key(p.assembled(kept)) == key(p.vectors(p.df, imputer))
