@@ -117,6 +117,30 @@ def test_whole_run_with_its_model_step_scores_every_gold_row(spark):
     assert error < scored.price_total.std()
 
 
+def test_queries_search_the_whole_grid(spark, monkeypatch):
+    from offerlake import catalog
+    from offerlake.plans import pipeline
+
+    asked = []
+    monkeypatch.setattr(catalog, "gold", lambda *a, **k: priced(spark, 30, 3))
+    monkeypatch.setattr(ml, "train_price_model", lambda rows, **kw: asked.append(kw) or ml.FitResult(None, {}, 0.0, [({"stepSize": 0.1, "maxDepth": 2, "maxIter": 100}, 1.0)]))
+    assert catalog.m7_staged_search(spark, SF_SMALL).count() == 1
+    monkeypatch.setattr(ml, "save_model", lambda model, path: None)
+    monkeypatch.setattr(ml, "load_model", lambda path: None)
+    monkeypatch.setattr(pipeline, "write_silver", lambda *a, **k: None)
+    for name in ("read_bronze", "bronze_to_silver", "sorted_for_write", "price_analytics", "ml_dataset"):
+        monkeypatch.setattr(pipeline, name, lambda *a, **k: priced(spark, 30, 3))
+    monkeypatch.setattr(pipeline, "single_source", lambda df: "olx")
+    monkeypatch.setattr(pipeline.lake, "overwrite_table", lambda *a, **k: None)
+    monkeypatch.setattr(pipeline.lake, "read_table", lambda *a, **k: priced(spark, 30, 3))
+    monkeypatch.setattr(catalog, "read_table", lambda *a, **k: priced(spark, 30, 3))
+    monkeypatch.setattr(catalog, "_whole_run", lambda spark, sf_dir, **kw: pipeline.run_pipeline(spark, "nowhere", sites_in_order=("olx",), **kw))
+    catalog.j4_train(spark, SF_SMALL)
+    assert len(asked) == 2
+    for kw in asked:  # nothing that makes the search smaller: the defaults are the source's grid, ten draws and three folds
+        assert not {"grid", "n_iter", "folds"} & kw.keys()
+
+
 def test_a_search_stores_columns_and_no_vectors(spark):
     df = priced(spark, 90, 5)
     p = ml.prepare(df)
